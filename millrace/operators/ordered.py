@@ -170,12 +170,17 @@ def quantiles(
     value: str,
     probs: Mapping[str, float],
     limit: int = GROUP_LIMIT,
+    discrete: bool = False,
 ) -> DataFrame:
-    """Exact interpolated quantiles per key (nulls ignored), one output column per probability."""
-    known = df.where(F.col(value).isNotNull()).select(*keys, value)
+    """Exact quantiles per key (nulls ignored), one output column per probability.
+
+    Interpolated, or with ``discrete`` the first value whose share of rows reaches the probability.
+    """
+    known = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias(value))
     top, rows = largest_group(known, keys)
     if top <= limit:
-        picks = [F.percentile(value, p).alias(name) for name, p in probs.items()]
+        kind = "percentile_disc" if discrete else "percentile_cont"
+        picks = [F.expr(f"{kind}({p}D) WITHIN GROUP (ORDER BY `{value}`) AS `{name}`") for name, p in probs.items()]
         return known.groupBy(*keys).agg(*picks) if keys else known.agg(*picks)
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     placed = running(counts, keys, [value], {"__upto": F.col("__n")}, limit)
@@ -185,23 +190,21 @@ def quantiles(
     else:
         whole = placed.withColumn("__size", F.lit(rows))
 
-    def at(rank: Column) -> Column:
-        here = (F.col("__upto") > rank) & (F.col("__upto") - F.col("__n") <= rank)
-        return F.max(F.when(here, F.col(value).cast("double")))
-
-    aggs = []
-    for i, p in enumerate(probs.values()):
-        target = F.lit(float(p)) * (F.col("__size") - 1)
-        aggs += [
-            at(F.floor(target)).alias(f"__lo{i}"),
-            at(F.ceil(target)).alias(f"__hi{i}"),
-            F.max(target - F.floor(target)).alias(f"__part{i}"),
-        ]
+    def at(place: Column) -> Column:
+        """The value in this 0-based place of the sorted rows."""
+        here = (F.col("__upto") > place) & (F.col("__upto") - F.col("__n") <= place)
+        return F.max(F.when(here, F.col(value)))
+
+    aggs, outputs = [], []
+    for i, (name, p) in enumerate(probs.items()):
+        lo, hi, part = f"__lo{i}", f"__hi{i}", f"__part{i}"
+        if discrete:
+            place = F.greatest(F.ceil(F.lit(float(p)) * F.col("__size")) - 1, F.lit(0))
+            aggs.append(at(place).alias(lo))
+            outputs.append(F.col(lo).alias(name))
+        else:
+            place = F.lit(float(p)) * (F.col("__size") - 1)
+            aggs += [at(F.floor(place)).alias(lo), at(F.ceil(place)).alias(hi), F.max(place - F.floor(place)).alias(part)]
+            outputs.append((F.col(lo) + F.col(part) * (F.col(hi) - F.col(lo))).alias(name))
     picked = whole.groupBy(*keys).agg(*aggs) if keys else whole.agg(*aggs)
-    return picked.select(
-        *keys,
-        *[
-            (F.col(f"__lo{i}") + F.col(f"__part{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(n)
-            for i, n in enumerate(probs)
-        ],
-    )
+    return picked.select(*keys, *outputs)
