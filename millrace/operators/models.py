@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.nested import index_of_max, index_words
 from millrace.operators.features import assembler
-from millrace.session import materialise
+from millrace.session import materialise, spread
 
 
 def linear_pipeline(columns: Sequence[str], label: str) -> Pipeline:
@@ -40,7 +40,7 @@ def linear_regression(df: DataFrame, columns: Sequence[str], label: str) -> Data
 
 def kmeans_clusters(df: DataFrame, features: str, k: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """(rows with their cluster, one row per cluster with centre and size)."""
-    model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df)
+    model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(spread(df))
     assigned = model.transform(df)
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     table = df.sparkSession.createDataFrame(centres, "cluster int, centre array<double>")
@@ -78,7 +78,7 @@ def predictions(models: Mapping[str, Estimator], train: DataFrame, test: DataFra
     """Every model fitted on the training rows and applied to the others, stacked with its name."""
     out = None
     for name, estimator in models.items():
-        scored = estimator.fit(train).transform(test)
+        scored = estimator.fit(spread(train)).transform(test)
         if "probability" in scored.columns:
             scored = scored.withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
         else:
@@ -90,7 +90,7 @@ def predictions(models: Mapping[str, Estimator], train: DataFrame, test: DataFra
 
 def importances(estimator: Estimator, train: DataFrame, names: Sequence[str]) -> DataFrame:
     """Feature importance of a tree model, largest first."""
-    weights = estimator.fit(train).featureImportances.toArray()
+    weights = estimator.fit(spread(train)).featureImportances.toArray()
     rows = [(n, float(w)) for n, w in zip(names, weights, strict=True)]
     return train.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
 

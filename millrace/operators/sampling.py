@@ -33,35 +33,27 @@ def sample_by_key(df: DataFrame, key: str, fractions: Mapping, seed: int, replac
     """Per-key fractions; a key that is not listed is left out."""
     if not replace:
         return df.sampleBy(key, dict(fractions), seed)
-    wanted = F.element_at(F.create_map(*[F.lit(x) for kv in fractions.items() for x in kv]), F.col(key))
-    copies = poisson(F.col("__rate"), F.rand(seed), max(fractions.values(), default=0))
-    return (
-        df.withColumn("__rate", wanted)
-        .where(F.col("__rate") > 0)
-        .withColumn("__copies", copies)
-        .where(F.col("__copies") > 0)
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .drop("__rate", "__copies", "__copy")
-    )
-
-
-def poisson(rate: Column, uniform: Column, largest_rate: float) -> Column:
-    """Poisson draw by inverting the distribution: the number of cumulative steps below ``uniform``."""
-    terms = math.ceil(largest_rate + 10 * math.sqrt(largest_rate) + 12)
-
-    def step(state: Column, k: Column) -> Column:
-        term = state["term"] * rate / k
-        return F.struct(
-            term.alias("term"),
-            (state["total"] + term).alias("total"),
-            F.when(state["u"] > state["total"], state["count"] + 1).otherwise(state["count"]).alias("count"),
-            state["u"].alias("u"),
-        )
-
-    start = F.struct(
-        F.exp(-rate).alias("term"), F.exp(-rate).alias("total"), F.lit(0).alias("count"), uniform.alias("u")
-    )
-    return F.aggregate(F.sequence(F.lit(1), F.lit(terms)), start, step, lambda s: s["count"])
+    steps = F.create_map(*[x for k, rate in fractions.items() for x in (F.lit(k), _poisson_steps(rate))])
+    # The number of copies is the number of cumulative probabilities below a uniform draw.
+    drawn = df.withColumn("__steps", F.try_element_at(steps, F.col(key))).withColumn("__u", F.rand(seed))
+    copies = F.size(F.filter("__steps", lambda p: p < F.col("__u")))
+    counted = drawn.where(F.col("__steps").isNotNull()).withColumn("__copies", copies)
+    repeated = F.explode(F.array_repeat(F.lit(1), F.col("__copies")))
+    return counted.where("__copies > 0").withColumn("__copy", repeated).drop("__steps", "__u", "__copies", "__copy")
+
+
+def _poisson_steps(rate: float) -> Column:
+    """Cumulative Poisson probabilities, up to the point where the rest is below 1e-15."""
+    term = total = math.exp(-rate)
+    steps, k = [total], 0
+    while 1 - total > 1e-15 and k < 1000:
+        k += 1
+        term *= rate / k
+        if total + term == total and k > rate:
+            break
+        total += term
+        steps.append(total)
+    return F.array(*[F.lit(p) for p in steps])
 
 
 def split_random(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import GROUP_LIMIT, join_groups, running
+from millrace.session import materialise
 
 # English function words dropped by the stop-word count.
 STOP_WORDS = (
@@ -266,7 +267,8 @@ def vocabulary(df: DataFrame, text: str, limit: int = GROUP_LIMIT) -> DataFrame:
     The numbering is a running count over one global order, cut into chunks when the vocabulary is
     large. The hash makes the cut even although most words have the same small count.
     """
-    counts = word_count(df, text, lower=False)
+    # Written once: the numbering reads it several times and the caller usually twice more.
+    counts = materialise(word_count(df, text, lower=False), "vocabulary")
     digits = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("double")
     placed = counts.withColumn("h", digits / float(2**32)).withColumn("score", F.col("n") - F.col("h"))
     numbered = running(placed, [], ["-score", "-n", "h", "word"], {"id": F.lit(1)}, limit)
@@ -276,8 +278,10 @@ def vocabulary(df: DataFrame, text: str, limit: int = GROUP_LIMIT) -> DataFrame:
 def encode(df: DataFrame, doc: str, text: str, vocab: DataFrame, max_length: int) -> DataFrame:
     """Word ids of each document: cut at ``max_length`` words, padded with 0 to the longest one, and a
     mask of 1 for words and 0 for padding."""
-    first = F.slice(F.filter(F.split(text, "\\s+"), lambda w: w != ""), 1, max_length)
-    cut = df.select(doc, first.alias("words"))
+    bare = F.regexp_replace(text, "^\\s+|\\s+$", "")
+    # The split stops after the words that are kept; a blank text has none.
+    first = F.slice(F.split(bare, "\\s+", max_length + 1), 1, max_length)
+    cut = df.select(doc, F.when(bare != "", first).otherwise(F.array().cast("array<string>")).alias("words"))
     longest = cut.agg(F.max(F.size("words"))).first()[0] or 0
     placed = cut.select(doc, F.posexplode("words").alias("pos", "word")).join(vocab.select("word", "id"), "word")
     entries = F.sort_array(F.collect_list(F.struct("pos", "id")))
@@ -307,14 +311,19 @@ def extract_summary(df: DataFrame, doc: str, text: str, min_words: int, max_word
     next one still ends within ``max_words``.
     """
     rows = df.count()
+    # One shuffle of the raw rows by document: all steps below that stay within a document follow it.
     split = F.split(text, "[.!?\\n]+\\s*")
-    sentences = df.select(doc, F.posexplode(split).alias("s", "sentence")).where("trim(sentence) <> ''")
+    pieces = df.select(doc, text).repartition(doc).select(doc, F.posexplode(split).alias("s", "sentence"))
+    sentences = pieces.where("trim(sentence) <> ''")
     found = words(sentences.select(doc, "s", F.lower("sentence").alias("sentence")), "sentence", keep=[doc, "s"])
     counts = found.groupBy(doc, "s", "word").agg(F.count(F.lit(1)).alias("c"))
-    per_doc = Window.partitionBy(doc, "word")
-    weighted = counts.withColumn("tf", F.sum("c").over(per_doc))
+    weighted = counts.withColumn("tf", F.sum("c").over(Window.partitionBy(doc, "word")))
+    # Distinct words of a row are found inside it, so only word counts are shuffled for this.
+    listed = F.array_distinct(F.split(F.lower(text), "[.!?\\s]+"))
     idf = (
-        counts.groupBy(doc, "word").agg(F.lit(1).alias("one")).groupBy("word")
+        df.select(F.explode(listed).alias("word"))
+        .where("word <> ''")
+        .groupBy("word")
         .agg(F.log((F.lit(rows) + 1.0) / (F.count(F.lit(1)) + 1.0)).alias("idf"))
     )
     scores = (
@@ -327,13 +336,11 @@ def extract_summary(df: DataFrame, doc: str, text: str, min_words: int, max_word
     picked = scores.withColumn("upto", upto).where(
         (F.col("upto") - F.col("len") < min_words) | (F.col("upto") <= max_words)
     )
-    entries = F.sort_array(F.collect_list(F.struct("s", "sentence")))
-    return (
-        picked.select(doc, "s")
-        .join(sentences, [doc, "s"])
-        .groupBy(doc)
-        .agg(entries.alias("e"))
-        .select(doc, F.concat_ws(". ", F.col("e.sentence")).alias("summary"), F.size("e").alias("sentences"))
+    # The chosen places go back to the texts, one row per document, and the row picks its sentences.
+    chosen = picked.groupBy(doc).agg(F.sort_array(F.collect_list("s")).alias("places"))
+    texts = F.transform("places", lambda i: F.get(split, i))
+    return df.select(doc, text).join(chosen, doc).select(
+        doc, F.concat_ws(". ", texts).alias("summary"), F.size("places").alias("sentences")
     )
 
 
@@ -344,7 +351,8 @@ def next_token(df: DataFrame, text: str, top_k: int, top_p: float) -> DataFrame:
     Pairs are formed inside the row. The rank filter runs before the shuffle of the window too, so a
     frequent word with millions of followers sends only ``top_k`` rows per partition.
     """
-    listed = df.select(F.filter(F.split(F.lower(text), "\\s+"), lambda w: w != "").alias("w")).where("size(w) > 1")
+    bare = F.regexp_replace(F.lower(text), "^\\s+|\\s+$", "")
+    listed = df.select(F.split(bare, "\\s+").alias("w")).where("size(w) > 1")
     zipped = F.arrays_zip(
         F.slice("w", F.lit(1), F.size("w") - 1).alias("a"), F.slice("w", F.lit(2), F.size("w") - 1).alias("b")
     )

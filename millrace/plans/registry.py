@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import load
+from millrace.session import load, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,10 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+# Tables of long texts: every use is heavy per row.
+HEAVY = {"documents", "pages"}
+
+
 class Tables:
     """Attribute access to the tables of one folder: ``t.orders``."""
 
@@ -21,7 +25,8 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return load(self.spark, self.sf_dir, name)
+        table = load(self.spark, self.sf_dir, name)
+        return spread(table) if name in HEAVY else table
 
 
 def query(key: str, sql: str | None = None):

@@ -53,8 +53,7 @@ def _(t: Tables):
     line = F.concat_ws(",", F.concat(F.lit("  "), F.col("event_id").cast("string")), "user_id", "event_type")
     whole = F.when(F.col("event_type") == "error", line).otherwise(F.concat_ws(",", line, last))
     t.events.select(whole.alias("value")).write.option("lineSep", "\n").text(path)
-    rows = IO.read_csv_strict(t.spark, path, "event_id long, user_id long, event_type string, value double", header=False)
-    return rows.select(*fields)
+    return IO.read_csv_strict(t.spark, path, t.events.select(*fields).schema, header=False)
 
 
 @query(

@@ -110,10 +110,11 @@ def _nearest_sql(table: str, *names: str) -> str:
 )
 def _(t: Tables):
     rows = _points(t)
-    train = _point_lines(t, "kmeans-train", rows.where("l_returnflag <> 'N'"), 1)
+    train = _point_lines(t, "kmeans-train", rows.where("l_returnflag <> 'N'"), _FILES)
     test = _point_lines(t, "kmeans-test", rows.where("l_returnflag = 'N'"), 2)
     model = OnlineKMeans(centres=_START, weight=1.0, decay=1.0, states=StateTable(t.spark, "kmeans-state"))
-    ST.run_batches(ST.parse_labelled(ST.text_stream(t.spark, train)), model.update, "kmeans-log")
+    # All files in one batch: the SQL side makes one update.
+    ST.run_batches(ST.parse_labelled(ST.text_stream(t.spark, train, _FILES)), model.update, "kmeans-log")
     fresh = ST.parse_labelled(ST.text_stream(t.spark, test))
     elements = [F.get("features", F.lit(i)).alias(n) for i, n in enumerate("abc")]
     return ST.run_to_files(fresh.select("label", *elements, model.predict().alias("cluster")), "kmeans-out")

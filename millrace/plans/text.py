@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import text as X
 from millrace.plans.registry import Tables, query
+from millrace.session import materialise
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in X.STOP_WORDS)
 _WORDS_SQL = "SELECT unnest(string_split_regex(text, '\\s+')) AS word FROM documents"
@@ -226,8 +227,8 @@ _CUT = 64
                repeat('1', n) || repeat('0', longest - n) AS mask, text FROM g, m""",
 )
 def _(t: Tables):
-    vocab = X.vocabulary(t.documents, "text")
-    coded = X.encode(t.documents, "doc_id", "text", vocab, _CUT)
+    vocab = materialise(X.vocabulary(t.documents, "text"), "numbered")
+    coded = materialise(X.encode(t.documents, "doc_id", "text", vocab, _CUT), "coded")
     back = X.decode(coded, "doc_id", "ids", vocab)
     return coded.join(back, "doc_id").select(
         "doc_id",

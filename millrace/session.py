@@ -54,6 +54,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input out over all cores, before work that is heavy per row.
+
+    A file with one row group is one task, however many cores wait. Inputs that already have a
+    partition per core, as large ones do, are left as they are and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 

@@ -31,20 +31,27 @@ def read_tagged(spark: SparkSession, paths: Mapping[str, str], schema: T.StructT
     return reduce(DataFrame.unionByName, frames)
 
 
-def read_csv_strict(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> DataFrame:
-    """Only the records that fit the schema; leading blanks are trimmed.
+# A record must have the right number of fields whichever of them are used.
+STRICT = {"mode": "DROPMALFORMED", "ignoreLeadingWhiteSpace": True, "columnPruning": False}
 
-    A record is checked as a whole only when every column is parsed, so the corrupt-record column is
-    read as well and filtered on, which keeps column pruning from hiding a bad field.
+
+def as_text(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+
+def fitting(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns cast to the schema, without the rows where a value does not fit its type.
+
+    Spark's own check looks only at the columns a query uses; this one looks at all of them.
     """
-    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    bad = "__bad_record"
-    full = T.StructType([*fields.fields, T.StructField(bad, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad, "ignoreLeadingWhiteSpace": True}
-    rows = spark.read.schema(full).options(header=header, **options).csv(path)
-    # Touch every field so none of them is pruned from the parser.
-    whole = F.struct(*[F.col(f.name) for f in fields.fields])
-    return rows.where(F.col(bad).isNull() & whole.isNotNull()).drop(bad)
+    casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    fits = [F.col(n).isNull() | c.isNotNull() for n, c in casts.items()]
+    return rows.where(reduce(Column.__and__, fits)).select(*[c.alias(n) for n, c in casts.items()])
+
+
+def read_csv_strict(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+    """Only the records that fit the schema; leading blanks are trimmed."""
+    return fitting(spark.read.schema(as_text(schema)).options(header=header, **STRICT).csv(path), schema)
 
 
 def read_lines(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:

@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.session import scratch
+from millrace.sources.files import STRICT, as_text, fitting
 
 
 def csv_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1) -> DataFrame:
     """CSV files with a header as a stream; records that do not fit are dropped, leading blanks trimmed."""
-    return (
-        spark.readStream.schema(schema)
-        .options(header=True, ignoreLeadingWhiteSpace=True, mode="DROPMALFORMED", maxFilesPerTrigger=files_per_batch)
+    rows = (
+        spark.readStream.schema(as_text(schema))
+        .options(header=True, **STRICT)
+        .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
     )
+    return fitting(rows, schema)
 
 
 def text_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
@@ -74,7 +77,7 @@ def parse_labelled(lines: DataFrame, column: str = "value") -> DataFrame:
     # Fixed value: the line format.
     shape = r"^\s*\(([^,\[\]()]+),\s*\[([^\[\]()]*)\]\)\s*$"
     label = F.regexp_extract(column, shape, 1).try_cast("double")
-    parts = F.split(F.regexp_extract(column, shape, 2), ",")
-    values = F.transform(parts, lambda v: F.trim(v).try_cast("double"))
+    values = F.split(F.regexp_extract(column, shape, 2), ",").try_cast("array<double>")
     parsed = lines.select(label.alias("label"), values.alias("features"))
-    return parsed.where(F.col("label").isNotNull() & ~F.exists("features", lambda v: v.isNull()))
+    whole = F.size(F.array_compact("features")) == F.size("features")
+    return parsed.where(F.col("label").isNotNull() & whole)
