@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import histogram
 from millrace.operators.ordered import GROUP_LIMIT, running
+from millrace.session import materialise
 
 
 def regression_metrics(df: DataFrame, truth: str, predicted: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -36,9 +37,11 @@ def binary_curve(df: DataFrame, score: str, label: str, limit: int = GROUP_LIMIT
     Scores are counted first; the running counts over them go through the chunked running sum, so a
     model with a different score for every row is no problem either.
     """
-    counts = df.groupBy(score).agg(
+    grouped = df.groupBy(score).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("pos"), F.count(F.when(F.col(label) == 0, 1)).alias("neg")
     )
+    # Read for totals and for the running counts; the model scores every row only once.
+    counts = materialise(grouped, "curve")
     totals = counts.agg(F.sum("pos"), F.sum("neg")).first()
     p, n = F.lit(totals[0]), F.lit(totals[1])
     placed = running(counts, [], [f"-{score}"], {"tp": F.col("pos"), "fp": F.col("neg")}, limit)

@@ -118,7 +118,8 @@ def _forecast_group(pdf: pd.DataFrame, keys: Sequence[str], days: int) -> pd.Dat
     out = pd.DataFrame(
         {
             "ds": every.date,
-            "y": np.append(known["y"].to_numpy(dtype=float), np.full(days, np.nan)),
+            # A nullable column: future dates have no value rather than NaN.
+            "y": pd.array([*known["y"].to_numpy(dtype=float), *[None] * days], dtype="Float64"),
             "yhat": np.exp(fitted),
             "yhat_upper": np.exp(fitted + band),
             "yhat_lower": np.exp(fitted - band),

@@ -7,6 +7,9 @@ the order column into chunks of about ``limit / 2`` rows at split points taken f
 sketch, each (key, chunk) is worked on by itself, and a small table of chunk totals supplies what
 came before. Split points are plain numbers, so a lost task recomputes to the same chunks.
 
+The frame is read several times on the way (sizes, split points, totals, rows), so give one that is
+cheap to read: a table, or an aggregate put through ``materialise``.
+
 Order columns are names; a leading ``-`` means descending. The first one must be a number, date or
 time, and the list should be a total order within a key.
 """
@@ -21,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import materialise
+
 GROUP_LIMIT = 4_000_000
 MAX_CHUNKS = 20_000
 
@@ -153,7 +158,7 @@ def ranks(
         window = Window.partitionBy(*keys).orderBy(*order_columns([order]))
         return df.withColumns({rank: F.rank().over(window), dense: F.dense_rank().over(window)})
     value = order.lstrip("-")
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counts = materialise(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "ranks")
     sums = {"__upto": F.col("__n"), "__step": F.lit(1)}
     placed = running(counts, keys, [order], sums, limit).select(
         *keys,
@@ -182,7 +187,7 @@ def quantiles(
         kind = "percentile_disc" if discrete else "percentile_cont"
         picks = [F.expr(f"{kind}({p}D) WITHIN GROUP (ORDER BY `{value}`) AS `{name}`") for name, p in probs.items()]
         return known.groupBy(*keys).agg(*picks) if keys else known.agg(*picks)
-    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counts = materialise(known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "quantiles")
     placed = running(counts, keys, [value], {"__upto": F.col("__n")}, limit)
     if keys:
         sizes = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))

@@ -93,12 +93,13 @@ def join_partitioned(left: DataFrame, right: DataFrame, key: str, parts: int) ->
 def densify(df: DataFrame, key: str, values: Sequence[str], fill: int = 0) -> DataFrame:
     """Every whole number between the smallest and largest key, gaps filled.
 
-    The spine is generated on the executors from the two bounds; nothing is collected.
+    Only the two bounds reach the driver; the spine is a distributed range.
     """
-    bounds = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).where(F.col("lo").isNotNull())
-    spine = bounds.select(F.explode(F.sequence("lo", "hi")).alias(key))
+    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    spine = df.sparkSession.range(0 if lo is None else lo, 0 if lo is None else hi + 1)
+    named = spine.select(F.col("id").cast(df.schema[key].dataType).alias(key))
     filled = {v: F.coalesce(F.col(v), F.lit(fill)) for v in values}
-    return spine.join(df, key, "left").withColumns(filled)
+    return named.join(df, key, "left").withColumns(filled)
 
 
 def stats_back(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:

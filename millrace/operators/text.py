@@ -171,7 +171,8 @@ def zero_shot(df: DataFrame, doc: str, text: str, labels: Mapping[str, str]) ->
     space = sorted({w for ws in terms.values() for w in ws})
     rows = df.count()
     found = words(df.select(doc, F.lower(text).alias(text)), text, keep=[doc]).where(F.col("word").isin(space))
-    counts = found.groupBy(doc, "word").agg(F.count(F.lit(1)).alias("tf"))
+    # A few rows per document, read three times below; the texts are read once.
+    counts = materialise(found.groupBy(doc, "word").agg(F.count(F.lit(1)).alias("tf")), "label-words")
     idf = counts.groupBy("word").agg(F.log((F.lit(rows) + 1.0) / (F.count(F.lit(1)) + 1.0)).alias("idf"))
     weights = counts.join(idf, "word").withColumn("w", F.col("tf") * F.col("idf"))
     names = list(labels)
@@ -228,30 +229,47 @@ def few_shot_prompt(
 
 
 def few_shot_knn(df: DataFrame, doc: str, text: str, examples: Sequence[tuple], k: int) -> DataFrame:
-    """Label of each document by the k most similar examples: cosine of word counts, summed per label."""
-    spark = df.sparkSession
-    shots = spark.createDataFrame(
-        [(i, w, c, str(label)) for i, (_, body, label) in enumerate(examples) for w, c in _counts(body).items()],
-        "example int, word string, c long, label string",
-    )
-    lengths = {i: sum(c * c for c in _counts(body).values()) ** 0.5 for i, (_, body, _) in enumerate(examples)}
-    norm = F.element_at(F.create_map(*[F.lit(x) for kv in lengths.items() for x in kv]), F.col("example"))
+    """Label of each document by the k most similar examples: cosine of word counts, summed per label.
+
+    The examples are a handful of texts given by the caller, so their word table is a literal that is
+    broadcast, a document needs one column per example, and the vote happens inside its row.
+    """
+    bags = [_counts(body) for _, body, _ in examples]
+    labels = [str(label) for _, _, label in examples]
+    lengths = [sum(c * c for c in bag.values()) ** 0.5 for bag in bags]
+    table = [(w, [bag.get(w) for bag in bags]) for w in sorted({w for bag in bags for w in bag})]
+    shots = df.sparkSession.createDataFrame(table, "word string, c array<long>")
     found = words(df.select(doc, F.lower(text).alias(text)), text, keep=[doc])
     counts = found.groupBy(doc, "word").agg(F.count(F.lit(1)).alias("tf"))
-    norms = counts.groupBy(doc).agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("norm"))
-    # The examples are a handful of texts given by the caller; their word table is a literal.
-    dots = (
-        counts.join(F.broadcast(shots), "word")
-        .groupBy(doc, "example", "label")
-        .agg(F.sum(F.col("tf") * F.col("c")).alias("dot"))
+    tf = F.col("tf")
+    per_doc = (
+        counts.join(F.broadcast(shots), "word", "left")
+        .groupBy(doc)
+        .agg(
+            F.sqrt(F.sum(tf * tf)).alias("norm"),
+            *[F.sum(tf * F.get("c", F.lit(i))).alias(f"dot{i}") for i in range(len(bags))],
+        )
+    )
+    entries = F.array(
+        *[
+            F.struct(
+                (-F.round(F.col(f"dot{i}") / (F.col("norm") * length), 9)).alias("m"), F.lit(i).alias("i"),
+                F.lit(labels[i]).alias("label"),
+            )
+            for i, length in enumerate(lengths)
+        ]
     )
-    cosine = F.round(F.col("dot") / (F.col("norm") * norm), 9)
-    similar = dots.join(norms, doc).withColumn("similarity", cosine)
-    window = Window.partitionBy(doc).orderBy(F.col("similarity").desc(), "example")
-    nearest = similar.withColumn("__k", F.row_number().over(window)).where(F.col("__k") <= k)
-    votes = nearest.groupBy(doc, "label").agg(F.round(F.sum("similarity"), 6).alias("score"))
-    best = F.min(F.struct((-F.col("score")).alias("m"), F.col("label"))).alias("b")
-    return votes.groupBy(doc).agg(best).select(doc, F.col("b.label").alias("label"), (-F.col("b.m")).alias("score"))
+    nearest = F.slice(F.sort_array(F.filter(entries, lambda e: e["m"].isNotNull())), 1, k)
+    near = per_doc.select(doc, nearest.alias("near")).where(F.size("near") > 0)
+
+    def vote(label: str) -> Column:
+        own = F.filter("near", lambda e: e["label"] == label)
+        total = F.aggregate(own, F.lit(0.0), lambda total, e: total + e["m"])
+        return F.when(F.size(own) > 0, F.struct(F.round(total, 6).alias("m"), F.lit(label).alias("label")))
+
+    votes = F.array_compact(F.array(*[vote(label) for label in sorted(set(labels))]))
+    best = near.select(doc, F.array_min(votes).alias("b"))
+    return best.select(doc, F.col("b.label").alias("label"), (-F.col("b.m")).alias("score"))
 
 
 def _counts(body: str) -> dict[str, int]:

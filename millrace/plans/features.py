@@ -11,6 +11,7 @@ from millrace.functions import nested as N
 from millrace.operators import features as E
 from millrace.operators import sampling as S
 from millrace.plans.registry import Tables, query
+from millrace.session import spread
 
 _LINES = ["l_orderkey", "l_linenumber", "l_partkey"]
 _LINES_SQL = "l_orderkey, l_linenumber, l_partkey"
@@ -181,13 +182,13 @@ def _(t: Tables):
        SELECT 1 AS component, round((1 + r) / 2, 8) AS share FROM c UNION ALL SELECT 2, round((1 - r) / 2, 8) FROM c""",
 )
 def _(t: Tables):
-    return E.pca_variance(t.lineitem, ["l_quantity", "l_extendedprice"], 2).withColumn("share", F.round("share", 8))
+    return E.pca_variance(spread(t.lineitem), ["l_quantity", "l_extendedprice"], 2).withColumn("share", F.round("share", 8))
 
 
 @query("fe_pca_project")
 def _(t: Tables):
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    return E.pca_project(t.lineitem.select(*_LINES, *names), names, 2).drop(*names)
+    return E.pca_project(spread(t.lineitem).select(*_LINES, *names), names, 2).drop(*names)
 
 
 @query("fe_stage_chain")

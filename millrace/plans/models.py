@@ -12,14 +12,15 @@ from millrace.operators import sampling as S
 from millrace.operators import text as X
 from millrace.plans.features import priced
 from millrace.plans.registry import Tables, query
-from millrace.session import scratch
+from millrace.session import scratch, spread
 
 _INPUTS = ["l_quantity", "l_discount", "l_tax"]
 
 
 def _lines(t: Tables):
     """Line items as features and a price to predict, split by order."""
-    rows = E.assembler(_INPUTS).transform(t.lineitem.select("l_orderkey", *_INPUTS, "l_extendedprice"))
+    lines = spread(t.lineitem).select("l_orderkey", *_INPUTS, "l_extendedprice")
+    rows = E.assembler(_INPUTS).transform(lines)
     return S.split_hash(rows, "l_orderkey", 70)
 
 
@@ -38,7 +39,7 @@ def _labelled_orders(t: Tables):
 
 @query("ml_kmeans")
 def _(t: Tables):
-    scaled = E.standard_scale(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount"], "features")
+    scaled = E.standard_scale(spread(t.lineitem), ["l_quantity", "l_extendedprice", "l_discount"], "features")
     _, clusters = ML.kmeans_clusters(scaled.select("features"), "features", 6, 1)
     return clusters
 

@@ -81,7 +81,7 @@ def _(t: Tables):
     rows = _points(t)
     train = _point_lines(t, "sgd-train", rows.where("l_returnflag <> 'N'"), _FILES)
     test = _point_lines(t, "sgd-test", rows.where("l_returnflag = 'N'"), 2)
-    model = OnlineLinear(features=3, step=0.2, iterations=25, states=StateTable(t.spark, "sgd-state"))
+    model = OnlineLinear(features=3, step=0.2, iterations=25, states=StateTable(t.spark, scratch(t.spark, "sgd-state")))
     ST.run_batches(ST.parse_labelled(ST.text_stream(t.spark, train)), model.update, "sgd-log")
     fresh = ST.parse_labelled(ST.text_stream(t.spark, test))
     return ST.run_to_files(fresh.select("label", model.predict().alias("prediction")), "sgd-out")
@@ -112,7 +112,7 @@ def _(t: Tables):
     rows = _points(t)
     train = _point_lines(t, "kmeans-train", rows.where("l_returnflag <> 'N'"), _FILES)
     test = _point_lines(t, "kmeans-test", rows.where("l_returnflag = 'N'"), 2)
-    model = OnlineKMeans(centres=_START, weight=1.0, decay=1.0, states=StateTable(t.spark, "kmeans-state"))
+    model = OnlineKMeans(centres=_START, weight=1.0, decay=1.0, states=StateTable(t.spark, scratch(t.spark, "kmeans-state")))
     # All files in one batch: the SQL side makes one update.
     ST.run_batches(ST.parse_labelled(ST.text_stream(t.spark, train, _FILES)), model.update, "kmeans-log")
     fresh = ST.parse_labelled(ST.text_stream(t.spark, test))

@@ -55,9 +55,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input out over all cores, before work that is heavy per row.
+    """Deal the rows of a small table out over all cores, before work that is heavy per row.
 
-    A file with one row group is one task, however many cores wait. Inputs that already have a
+    For frames straight from a scan (asking a shuffled frame for its partitions would run it). A file with one row group is one task, however many cores wait. Inputs that already have a
     partition per core, as large ones do, are left as they are and not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism

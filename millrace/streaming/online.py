@@ -16,28 +16,31 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import scratch
-
 
 class StateTable:
-    """States by batch number, kept as one small file per batch; the latest before a batch is read back."""
+    """States by batch number in a folder all executors and a restarted driver see."""
+
+    SCHEMA = "state string, batch long"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        # Batch -1 stands for the time before the first one, so there is always something to read.
+        self._write(-1, None)
 
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.path = spark, scratch(spark, label)
-        self._written: set[int] = set()
+    def _write(self, batch: int, state: dict | None) -> None:
+        text = None if state is None else json.dumps(state)
+        rows = self.spark.createDataFrame([(text,)], "state string")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
 
     def put(self, batch: int, state: dict) -> None:
-        rows = self.spark.createDataFrame([(batch, json.dumps(state))], "batch long, state string")
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch:012d}")
-        self._written.add(batch)
+        self._write(batch, state)
 
     def before(self, batch: int | None = None) -> dict | None:
         """The newest state written before this batch (or of all)."""
-        done = [b for b in self._written if batch is None or b < batch]
-        if not done:
-            return None
-        row = self.spark.read.parquet(f"{self.path}/batch={max(done):012d}").select("state").first()
-        return json.loads(row["state"])
+        rows = self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        rows = rows if batch is None else rows.where(F.col("batch") < batch)
+        newest = rows.orderBy(F.col("batch").desc()).first()
+        return None if newest is None or newest["state"] is None else json.loads(newest["state"])
 
 
 @dataclass

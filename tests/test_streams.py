@@ -80,14 +80,14 @@ def replay_linear(batches, step, iterations, tolerance):
 
 def test_online_linear_replay(spark):
     batches = make_batches(1, [40, 25, 60])
-    model = OnlineLinear(3, 0.2, 25, states=StateTable(spark, "linear"))
+    model = OnlineLinear(3, 0.2, 25, states=StateTable(spark, scratch(spark, "linear")))
     ST.run_batches(ST.parse_labelled(ST.text_stream(spark, write_points(spark, batches))), model.update, "log")
     assert model.weights() == pytest.approx(replay_linear(batches, 0.2, 25, 0.001), rel=1e-9)
 
 
 def test_repeated_batch_changes_nothing(spark):
     frames = [spark.createDataFrame(b, "label double, features array<double>") for b in make_batches(2, [20, 20])]
-    model = OnlineLinear(3, states=StateTable(spark, "again"))
+    model = OnlineLinear(3, states=StateTable(spark, scratch(spark, "again")))
     for batch, frame in enumerate(frames):
         model.update(frame, batch)
     once = model.weights()
@@ -99,7 +99,7 @@ def test_repeated_batch_changes_nothing(spark):
 def test_online_kmeans_replay(spark, decay):
     batches = make_batches(3, [30, 50])
     start = [[0.1, 0.1, 0.1], [0.9, 0.9, 0.9]]
-    model = OnlineKMeans(start, 1.0, decay, states=StateTable(spark, "kmeans"))
+    model = OnlineKMeans(start, 1.0, decay, states=StateTable(spark, scratch(spark, "kmeans")))
     ST.run_batches(ST.parse_labelled(ST.text_stream(spark, write_points(spark, batches))), model.update, "log")
     centres, weights = np.array(start), np.ones(2)
     for rows in batches:
@@ -115,7 +115,7 @@ def test_online_kmeans_replay(spark, decay):
 
 
 def test_dying_cluster_is_split(spark):
-    model = OnlineKMeans([[0.0], [100.0]], 1.0, 0.0, split_dying=True, states=StateTable(spark, "split"))
+    model = OnlineKMeans([[0.0], [100.0]], 1.0, 0.0, split_dying=True, states=StateTable(spark, scratch(spark, "split")))
     model.update(spark.createDataFrame([([0.5],), ([1.5],)], "features array<double>"), 0)
     centres, weights = model.state()
     assert weights == pytest.approx([1.0, 1.0]) and centres[:, 0] == pytest.approx([1.0, 1.0])
