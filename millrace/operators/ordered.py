@@ -5,7 +5,7 @@ holds a third of a large table. Every function here first measures the largest g
 map-side-combined count. Below ``limit`` rows it uses the plain window. Above it, rows are cut along
 the order column into chunks of about ``limit / 2`` rows at split points taken from a quantile
 sketch, each (key, chunk) is worked on by itself, and a small table of chunk totals supplies what
-came before. Split points are plain numbers, so a lost task recomputes to the same chunks.
+came before it. Split points are plain numbers, so a lost task recomputes to the same chunks.
 
 The frame is read several times on the way (sizes, split points, totals, rows), so give one that is
 cheap to read: a table, or an aggregate put through ``materialise``.
@@ -30,6 +30,7 @@ GROUP_LIMIT = 4_000_000
 MAX_CHUNKS = 20_000
 
 _CHUNK = "__chunk"
+_ROW = "__row"
 _POS = "__pos"
 _BLOCK = "__block"
 _HOME = "__home"
@@ -100,20 +101,17 @@ def running(
         window = Window.partitionBy(*keys).orderBy(*by).rowsBetween(*frame)
         return df.withColumns({name: F.sum(c).over(window) for name, c in sums.items()})
 
-    chunked = _split(df, order[0], rows, limit)
-    window = Window.partitionBy(*keys, _CHUNK).orderBy(*by).rowsBetween(*frame)
-    local = chunked.withColumns({name: F.sum(c).over(window) for name, c in sums.items()})
-    totals = chunked.groupBy(*keys, _CHUNK).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    chunked = _split(df, order[0], rows, limit).withColumns({f"__v_{n}": c for n, c in sums.items()})
+    totals = chunked.groupBy(*keys, _CHUNK).agg(*[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in sums])
     # One row per key and chunk: at most MAX_CHUNKS rows for a key.
     before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, _CHUNK, *[F.sum(n).over(before).alias(f"__c_{n}") for n in sums])
-    joined = join_groups(local, carry, [*keys, _CHUNK])
-    added = {n: _plus(F.col(n), F.col(f"__c_{n}")) for n in sums}
-    return joined.withColumns(added).drop(_CHUNK, *[f"__c_{n}" for n in sums])
-
-
-def _plus(here: Column, before: Column) -> Column:
-    return F.when(here.isNull(), before).when(before.isNull(), here).otherwise(here + before)
+    carry = totals.withColumns({f"__v_{n}": F.sum(f"__v_{n}").over(before) for n in sums})
+    # What came before a chunk enters as a row in front of it, so the rows are shuffled once and
+    # joined to nothing.
+    merged = chunked.withColumn(_ROW, F.lit(1)).unionByName(carry.withColumn(_ROW, F.lit(0)), allowMissingColumns=True)
+    window = Window.partitionBy(*keys, _CHUNK).orderBy(_ROW, *by).rowsBetween(*frame)
+    done = merged.withColumns({n: F.sum(f"__v_{n}").over(window) for n in sums}).where(F.col(_ROW) == 1)
+    return done.drop(_CHUNK, _ROW, *[f"__v_{n}" for n in sums])
 
 
 def look_back(

@@ -8,7 +8,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build("local[4]", 4)
+    session = build("local[4]", 2)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

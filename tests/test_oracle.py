@@ -1,15 +1,24 @@
-"""Every query runs; those with SQL give its rows."""
+"""Every query runs, those with SQL give its rows, and native ones have native plans."""
 
 import pytest
 
 import __spark_entry__ as entry
 from tools import compare
 
+PYTHON = {"agg_chi2_p", "fc_grouped_map", "udf_grouped_map"}
+
+
+def native(df):
+    plan = df._jdf.queryExecution().toString()
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroups", "MapInPandas"):
+        assert node not in plan
+    for node in ("BroadcastNestedLoopJoin", "CartesianProduct"):
+        assert node not in plan
+
 
 @pytest.mark.parametrize("key", list(entry.queries()))
-def test_query(spark, con, sf_dir, key, monkeypatch):
-    monkeypatch.setattr(compare, "SF_DIR", sf_dir)
-    assert compare.compare(spark, con, key) == ""
+def test_query(spark, con, sf_dir, key):
+    assert compare.compare(spark, con, key, sf_dir, None if key in PYTHON else native) == ""
 
 
 def test_entry(spark):

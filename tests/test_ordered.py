@@ -102,7 +102,7 @@ def test_empty_frame(spark):
     assert O.quantiles(empty, ["key"], "value", {"m": 0.5}).count() == 0
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.floats(-5, 5) | st.none()), min_size=1, max_size=60), st.integers(2, 9))
 def test_running_sum_property(spark, data, limit):
     frame = spark.createDataFrame([(k, i, v) for i, (k, v) in enumerate(data)], "key string, at int, value double")
