@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import GROUP_LIMIT, join_groups, quantiles
+from millrace.operators.ordered import GROUP_LIMIT, attach, quantiles
 from millrace.operators.relational import columns_of_type
 
 PAGE = 10_000
@@ -44,8 +44,8 @@ def collect_values(df: DataFrame, keys: Sequence[str], value: str, page: int = P
     as several rows numbered by ``page``, so no array grows with the table.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / page).cast("int").alias("pages"))
-    paged = join_groups(counts, sizes, keys) if keys else counts.withColumn("pages", F.lit(_pages(sizes)))
+    sizes = counts.groupBy(*keys).agg(F.ceil(F.count("n") / page).cast("int").alias("pages"))
+    paged = attach(counts, sizes, keys) if keys else counts.withColumn("pages", F.lit(_pages(sizes)))
     number = F.pmod(F.xxhash64(value), F.col("pages").cast("long")).cast("int")
     entry = F.struct(F.col(value).alias("value"), F.col("n"))
     packed = paged.groupBy(*keys, number.alias("page")).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
@@ -73,6 +73,11 @@ def frequent_items(df: DataFrame, column: str, support: float) -> DataFrame:
     return counts.where(F.col("n") >= support * rows)
 
 
+def frequent_items_approx(df: DataFrame, columns: Sequence[str], support: float) -> DataFrame:
+    """Candidates for a share of the rows from one pass with a small table; may hold false positives."""
+    return df.stat.freqItems(list(columns), support).toDF(*columns)
+
+
 def unpivot(row: DataFrame, labels: Sequence[str], measures: Sequence[str], label: str) -> DataFrame:
     """Columns named ``<label>__<measure>`` of each row as one row per label."""
     entries = F.array(
@@ -235,7 +240,7 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int) -> Data
     known = df.where(F.col(value).isNotNull()).select(*keys, value)
     bounds = known.groupBy(*keys).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     if keys:
-        joined = join_groups(known, bounds, keys)
+        joined = attach(known, bounds, keys)
     else:
         lo, hi = bounds.first()
         joined = known.withColumns({"lo": F.lit(lo), "hi": F.lit(hi)})

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import mode
-from millrace.operators.ordered import GROUP_LIMIT, join_groups, quantiles
+from millrace.operators.ordered import GROUP_LIMIT, attach, quantiles
+from millrace.session import materialise
 
 
 def indexer(columns: Sequence[str], invalid: str = "skip") -> StringIndexer:
@@ -90,7 +91,8 @@ def iqr_filter(df: DataFrame, column: str, lower: float, limit: int = GROUP_LIMI
 def label_vs_group_mean(train: DataFrame, df: DataFrame, key: str, value: str, label: str) -> DataFrame:
     """1 where the value lies above its group's mean in the training rows. Groups the training rows do
     not have get 0, like a comparison with null."""
-    means = train.groupBy(key).agg(F.avg(value).alias("group_mean"))
+    # Written first, so that a hot key can be split in the join (see ordered.attach).
+    means = materialise(train.groupBy(key).agg(F.avg(value).alias("group_mean")), "means")
     joined = df.join(means, key, "left")
     return joined.withColumn(label, F.when(F.col(value) > F.col("group_mean"), 1).otherwise(0))
 
@@ -138,7 +140,7 @@ def stage_chain(categories: Sequence[str], numbers: Sequence[str], text: str | N
 
 def group_distance(df: DataFrame, centres: DataFrame, key: str, columns: Mapping[str, str], name: str) -> DataFrame:
     """L1 distance to the centre of the row's group: ``columns`` maps a column to its centre column."""
-    joined = join_groups(df, centres, [key])
+    joined = attach(df, centres, [key])
     parts = [F.abs(F.col(c) - F.col(centre)) for c, centre in columns.items()]
     total = parts[0]
     for part in parts[1:]:

@@ -40,6 +40,8 @@ def linear_regression(df: DataFrame, columns: Sequence[str], label: str) -> Data
 
 def kmeans_clusters(df: DataFrame, features: str, k: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """(rows with their cluster, one row per cluster with centre and size)."""
+    # Read by every step of the fit; without this each would repeat what led to the vectors.
+    df = materialise(df, "clustering")
     model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df)
     assigned = model.transform(df)
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]

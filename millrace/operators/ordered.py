@@ -86,6 +86,16 @@ def join_groups(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Data
     return left.join(renamed, condition).drop(*[f"__r_{n}" for n in names])
 
 
+def attach(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Give every row the columns of its key's one row in ``groups`` (null matches null).
+
+    The group table is written and read back. Joined straight from its aggregate, it would share the
+    aggregate's shuffle, and adaptive execution splits a hot key only between two plain shuffles. The
+    size on file also tells it whether to broadcast instead.
+    """
+    return join_groups(df, materialise(groups, "groups"), keys)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -164,7 +174,7 @@ def ranks(
         (F.col("__upto") - F.col("__n") + 1).cast("int").alias(rank),
         F.col("__step").cast("int").alias(dense),
     )
-    return join_groups(df, placed, [*keys, value])
+    return attach(df, placed, [*keys, value])
 
 
 def quantiles(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.ordered import join_groups, order_columns
+from millrace.operators.ordered import attach, order_columns
 
 
 def columns_of_type(df: DataFrame, kind: str) -> list[str]:
@@ -103,8 +103,8 @@ def densify(df: DataFrame, key: str, values: Sequence[str], fill: int = 0) -> Da
 
 
 def stats_back(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
-    """Join per-group statistics to every row (null-safe on the keys)."""
-    return join_groups(df, df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), keys)
+    """Join per-group statistics to every row (null-safe on the keys; see ``attach`` for hot keys)."""
+    return attach(df, df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), keys)
 
 
 def label_names(df: DataFrame, column: str, names: Mapping[int, str], to: str) -> DataFrame:

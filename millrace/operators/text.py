@@ -33,8 +33,9 @@ def words(df: DataFrame, text: str, splitter: str = "whitespace", keep: Sequence
     """One row per word. ``blank`` splits on single blanks and keeps empty words; ``whitespace`` splits
     on any run of white space and drops them."""
     pattern = {"blank": " ", "whitespace": "\\s+"}[splitter]
-    split = df.select(*keep, F.explode(F.split(text, pattern)).alias("word"))
-    return split if splitter == "blank" else split.where("word <> ''")
+    # The outer form: for the plain one, the optimiser adds a filter that splits every text twice.
+    split = df.select(*keep, F.explode_outer(F.split(text, pattern)).alias("word"))
+    return split.where("word IS NOT NULL" if splitter == "blank" else "word <> ''")
 
 
 def word_count(df: DataFrame, text: str, splitter: str = "whitespace", lower: bool = True) -> DataFrame:
@@ -119,7 +120,10 @@ def tokens(text: str | Column, min_length: int = 4, drop: Sequence[str] = HEADER
 def term_counts(df: DataFrame, doc: str, token_array: str) -> DataFrame:
     """Long form ``(doc, term, tf)``."""
     return (
-        df.select(doc, F.explode(token_array).alias("term")).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+        df.select(doc, F.explode_outer(token_array).alias("term"))
+        .where("term IS NOT NULL")
+        .groupBy(doc, "term")
+        .agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
@@ -153,6 +157,9 @@ def tfidf(
         F.col("kept_df") >= min_doc_freq, F.log((F.lit(documents) + 1.0) / (F.col("kept_df") + 1.0))
     ).otherwise(0.0)
     weights = vocabulary.select("term", weight.alias("idf"))
+    if vocabulary_size is None:
+        # Of unknown size: written first, so that hot words can be split in the join (see ordered.attach).
+        weights = materialise(weights, "weights")
     return (
         counts.where(F.col("tf") >= min_tf)
         .join(weights, "term")
@@ -294,14 +301,14 @@ def vocabulary(df: DataFrame, text: str, limit: int = GROUP_LIMIT) -> DataFrame:
 
 
 def encode(df: DataFrame, doc: str, text: str, vocab: DataFrame, max_length: int) -> DataFrame:
-    """Word ids of each document: cut at ``max_length`` words, padded with 0 to the longest one, and a
+    """Word ids of each document (``vocab`` should be a stored table): cut at ``max_length`` words, padded with 0 to the longest one, and a
     mask of 1 for words and 0 for padding."""
     bare = F.regexp_replace(text, "^\\s+|\\s+$", "")
     # The split stops after the words that are kept; a blank text has none.
     first = F.slice(F.split(bare, "\\s+", max_length + 1), 1, max_length)
     cut = df.select(doc, F.when(bare != "", first).otherwise(F.array().cast("array<string>")).alias("words"))
     longest = cut.agg(F.max(F.size("words"))).first()[0] or 0
-    placed = cut.select(doc, F.posexplode("words").alias("pos", "word")).join(vocab.select("word", "id"), "word")
+    placed = cut.select(doc, F.posexplode_outer("words").alias("pos", "word")).join(vocab.select("word", "id"), "word")
     entries = F.sort_array(F.collect_list(F.struct("pos", "id")))
     ids = placed.groupBy(doc).agg(entries.alias("e")).select(doc, F.col("e.id").alias("ids"))
     whole = df.select(doc).join(ids, doc, "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
@@ -331,19 +338,21 @@ def extract_summary(df: DataFrame, doc: str, text: str, min_words: int, max_word
     rows = df.count()
     # One shuffle of the raw rows by document: all steps below that stay within a document follow it.
     split = F.split(text, "[.!?\\n]+\\s*")
-    pieces = df.select(doc, text).repartition(doc).select(doc, F.posexplode(split).alias("s", "sentence"))
+    pieces = df.select(doc, text).repartition(doc).select(doc, F.posexplode_outer(split).alias("s", "sentence"))
     sentences = pieces.where("trim(sentence) <> ''")
     found = words(sentences.select(doc, "s", F.lower("sentence").alias("sentence")), "sentence", keep=[doc, "s"])
     counts = found.groupBy(doc, "s", "word").agg(F.count(F.lit(1)).alias("c"))
     weighted = counts.withColumn("tf", F.sum("c").over(Window.partitionBy(doc, "word")))
     # Distinct words of a row are found inside it, so only word counts are shuffled for this.
     listed = F.array_distinct(F.split(F.lower(text), "[.!?\\s]+"))
-    idf = (
-        df.select(F.explode(listed).alias("word"))
+    weights = (
+        df.select(F.explode_outer(listed).alias("word"))
         .where("word <> ''")
         .groupBy("word")
         .agg(F.log((F.lit(rows) + 1.0) / (F.count(F.lit(1)) + 1.0)).alias("idf"))
     )
+    # Written first, so that hot words can be split in the join (see ordered.attach).
+    idf = materialise(weights, "weights")
     scores = (
         weighted.join(idf, "word")
         .groupBy(doc, "s")
@@ -370,11 +379,12 @@ def next_token(df: DataFrame, text: str, top_k: int, top_p: float) -> DataFrame:
     frequent word with millions of followers sends only ``top_k`` rows per partition.
     """
     bare = F.regexp_replace(F.lower(text), "^\\s+|\\s+$", "")
-    listed = df.select(F.split(bare, "\\s+").alias("w")).where("size(w) > 1")
+    listed = df.select(F.split(bare, "\\s+").alias("w"))
     zipped = F.arrays_zip(
         F.slice("w", F.lit(1), F.size("w") - 1).alias("a"), F.slice("w", F.lit(2), F.size("w") - 1).alias("b")
     )
-    pairs = listed.select(F.explode(zipped).alias("p")).select(F.col("p.a").alias("word"), F.col("p.b").alias("next"))
+    exploded = listed.select(F.explode_outer(zipped).alias("p")).where("p IS NOT NULL")
+    pairs = exploded.select(F.col("p.a").alias("word"), F.col("p.b").alias("next"))
     counts = pairs.groupBy("word", "next").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("word").agg(F.sum("n").alias("total"))
     window = Window.partitionBy("word").orderBy(F.col("n").desc(), "next")

@@ -235,6 +235,11 @@ def _(t: Tables):
     return A.frequent_items(t.lineitem, "l_quantity", 0.02)
 
 
+@query("agg_freq_items_approx")
+def _(t: Tables):
+    return A.frequent_items_approx(t.lineitem, ["l_quantity", "l_returnflag"], 0.05)
+
+
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 

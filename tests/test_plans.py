@@ -1,7 +1,10 @@
 """Plans: filters in the scan, partitions pruned, top-k without a full sort, few shuffles."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from millrace.operators import forecast as FC
+from millrace.operators import relational as R
 
 def plan_of(df):
     df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
@@ -33,3 +36,29 @@ def test_forecast_shuffles_twice(spark, sf_dir):
     plan = FC.seasonal(FC.history(lines, keys, "l_shipdate", "l_quantity"), keys)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_hot_key_is_split_in_group_joins(spark):
+    """With a third of the rows under one key and no broadcast, the join of group values is split."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 997)
+        rows = spark.range(0, 60_000, 1, 8).select(key.alias("k"), F.col("id").alias("v"))
+        joined = R.stats_back(rows, ["k"], {"n": F.count("*"), "m": F.avg("v")})
+        assert joined.count() == 60_000
+        found = joined.where("v >= 0")
+        assert len(found.collect()) == 60_000
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
