@@ -11,7 +11,8 @@ The frame is read several times on the way (sizes, split points, totals, rows),
 cheap to read: a table, or an aggregate put through ``materialise``.
 
 Order columns are names; a leading ``-`` means descending. The first one must be a number, date or
-time, and the list should be a total order within a key.
+time, and the list should be a total order within a key. Where one value of the first column is
+frequent enough to fill chunks, the second column cuts it further.
 """
 
 from __future__ import annotations
@@ -50,31 +51,57 @@ def order_columns(order: Sequence[str]) -> list[Column]:
     return [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
 
 
+def _splittable(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def _numeric(df: DataFrame, name: str) -> Column:
     kind, value = df.schema[name].dataType, F.col(name)
+    if not _splittable(df, name):
+        raise ValueError(f"cannot split the order column {name} of type {kind.simpleString()}")
     if isinstance(kind, T.DateType):
         value = F.unix_date(value)
     elif isinstance(kind, T.TimestampNTZType):
         value = value.cast("timestamp")
-    elif not isinstance(kind, (T.NumericType, T.TimestampType)):
-        raise ValueError(f"cannot split the order column {name} of type {kind.simpleString()}")
     value = value.cast("double")
     # Spark sorts null first and NaN last.
     return F.coalesce(F.when(F.isnan(value), F.lit(math.inf)).otherwise(value), F.lit(-math.inf))
 
 
-def _split(df: DataFrame, order: str, rows: int, limit: int) -> DataFrame:
-    """Add the chunk number: ascending along the order, about limit/2 rows of the table in each."""
-    descending, name = order.startswith("-"), order.lstrip("-")
+def _points(df: DataFrame, measure: str, parts: int) -> list[float]:
+    """Values at even shares of the rows, from one sketch; a frequent value comes several times."""
+    finite = df.where(F.abs(measure) < math.inf).select(measure)
+    return sorted(finite.approxQuantile(measure, [i / parts for i in range(1, parts)], 0.5 / parts))
+
+
+def _bucket(df: DataFrame, measure: str, splits: Sequence[float], output: str, descending: bool) -> DataFrame:
+    cut = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=measure, outputCol=output, handleInvalid="error")
+    number = F.col(output).cast("long")
+    return cut.transform(df).withColumn(output, -number if descending else number)
+
+
+def _split(df: DataFrame, order: Sequence[str], rows: int, limit: int) -> DataFrame:
+    """Add the chunk number: ascending along the order, about limit/2 rows of the table in each.
+
+    A value of the first order column that fills whole chunks gets one of its own, which is cut along
+    the second order column.
+    """
     parts = min(MAX_CHUNKS, max(2, math.ceil(2 * rows / limit)))
-    measure = "__measure"
-    with_measure = df.withColumn(measure, _numeric(df, name))
-    finite = with_measure.where(F.abs(measure) < math.inf).select(measure)
-    points = finite.approxQuantile(measure, [i / parts for i in range(1, parts)], 0.5 / parts)
-    splits = [-math.inf, *sorted(set(points)), math.inf]
-    cut = Bucketizer(splits=splits, inputCol=measure, outputCol=_CHUNK, handleInvalid="error")
-    number = F.col(_CHUNK).cast("int")
-    return cut.transform(with_measure).withColumn(_CHUNK, -number if descending else number).drop(measure)
+    first, second = "__measure", "__measure2"
+    measured = df.withColumn(first, _numeric(df, order[0].lstrip("-")))
+    points = _points(measured, first, parts)
+    heavy = sorted({v for v, after in zip(points, points[1:], strict=False) if v == after})
+    splits = sorted({*points, *(math.nextafter(v, math.inf) for v in heavy)})
+    cut = _bucket(measured, first, splits, _CHUNK, order[0].startswith("-"))
+    if not heavy or len(order) < 2 or not _splittable(df, order[1].lstrip("-")):
+        return cut.drop(first)
+    measured = cut.withColumn(second, _numeric(df, order[1].lstrip("-")))
+    frequent = F.col(first).isin(heavy)
+    finer = sorted(set(_points(measured.where(frequent), second, parts)))
+    fine = _bucket(measured, second, finer, "__sub", order[1].startswith("-"))
+    width = 2 * (len(finer) + 2)
+    number = F.col(_CHUNK) * width + F.when(frequent, F.col("__sub")).otherwise(0)
+    return fine.withColumn(_CHUNK, number).drop(first, second, "__sub")
 
 
 def join_groups(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -111,7 +138,7 @@ def running(
         window = Window.partitionBy(*keys).orderBy(*by).rowsBetween(*frame)
         return df.withColumns({name: F.sum(c).over(window) for name, c in sums.items()})
 
-    chunked = _split(df, order[0], rows, limit).withColumns({f"__v_{n}": c for n, c in sums.items()})
+    chunked = _split(df, order, rows, limit).withColumns({f"__v_{n}": c for n, c in sums.items()})
     totals = chunked.groupBy(*keys, _CHUNK).agg(*[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in sums])
     # One row per key and chunk: at most MAX_CHUNKS rows for a key.
     before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)

@@ -290,13 +290,12 @@ def vocabulary(df: DataFrame, text: str, limit: int = GROUP_LIMIT) -> DataFrame:
     """All words numbered from 1, most frequent first; words of equal count are ordered by a hash.
 
     The numbering is a running count over one global order, cut into chunks when the vocabulary is
-    large. The hash makes the cut even although most words have the same small count.
+    large; the many words of the same small count are cut along the hash.
     """
     # Written once: the numbering reads it several times and the caller usually twice more.
     counts = materialise(word_count(df, text, lower=False), "vocabulary")
     digits = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("double")
-    placed = counts.withColumn("h", digits / float(2**32)).withColumn("score", F.col("n") - F.col("h"))
-    numbered = running(placed, [], ["-score", "-n", "h", "word"], {"id": F.lit(1)}, limit)
+    numbered = running(counts.withColumn("h", digits), [], ["-n", "h", "word"], {"id": F.lit(1)}, limit)
     return numbered.select("word", F.col("id").cast("int").alias("id"), "n")
 
 

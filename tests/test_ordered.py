@@ -41,6 +41,17 @@ def test_running_sum_descending_without_key(series):
     assert rows(O.running(series, [], ["-at"], sums, 50)) == rows(O.running(series, [], ["-at"], sums))
 
 
+@pytest.mark.parametrize("order", [["day", "at"], ["-day", "at"], ["day", "-at"], ["-day", "-at"]])
+def test_hot_day_within_a_hot_key(spark, order):
+    """Half of the rows share a key, most of those a day: the second order column cuts them."""
+    data = [("hot" if i % 2 else f"k{i % 9}", 7 if i % 5 else i % 30, i * 13 % 1000, float(i % 11)) for i in range(1000)]
+    frame = spark.createDataFrame(data, "key string, day int, at int, value double")
+    sums = {"total": F.col("value"), "pos": F.lit(1)}
+    assert rows(O.running(frame, ["key"], order, sums, 60)) == rows(O.running(frame, ["key"], order, sums))
+    chunks = O._split(frame, order, 1000, 60).groupBy("key", O._CHUNK).count().agg(F.max("count")).first()[0]
+    assert chunks <= 90
+
+
 @pytest.mark.parametrize("limit", [25, 60])
 def test_look_back(series, limit):
     columns = {
