@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.ordered import attach, order_columns
+from millrace.session import materialise
 
 
 def columns_of_type(df: DataFrame, kind: str) -> list[str]:
@@ -74,20 +75,17 @@ def hot_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
 
 
 def join_partitioned(left: DataFrame, right: DataFrame, key: str, parts: int) -> DataFrame:
-    """Inner join of key-value frames with a chosen number of partitions.
+    """Inner join of key-value frames in a chosen number of partitions.
 
-    A key with more than its share of left rows is spread over ``parts`` salts; only the matching
-    right rows are repeated.
+    Adaptive execution does not touch partitions the caller asked for. So keys with more than their
+    share of the left rows are joined apart, without a layout of their own: there it may broadcast
+    the few matching right rows, or split the hot partitions.
     """
-    salt = "__salt"
-    # Bounded by construction (fewer than ``parts`` keys), so the hint is safe.
-    hot = F.broadcast(hot_keys(left, key, parts).withColumn("__hot", F.lit(True)))
-    spread = F.when(F.col("__hot"), F.pmod(F.monotonically_increasing_id(), F.lit(parts))).otherwise(0)
-    every = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    a = left.join(hot, key, "left").withColumn(salt, spread.cast("int")).drop("__hot")
-    b = right.join(hot, key, "left").withColumn(salt, F.explode(every)).drop("__hot")
-    a, b = a.repartition(parts, key, salt), b.repartition(parts, key, salt)
-    return a.join(b, [key, salt]).drop(salt)
+    # Fewer than ``parts`` keys by construction, so the hint is safe.
+    hot = F.broadcast(materialise(hot_keys(left, key, parts), "hot-keys"))
+    cold = [f.join(hot, key, "left_anti").repartition(parts, key) for f in (left, right)]
+    warm = [f.join(hot, key, "left_semi") for f in (left, right)]
+    return cold[0].join(cold[1], key).unionByName(warm[0].join(warm[1], key))
 
 
 def densify(df: DataFrame, key: str, values: Sequence[str], fill: int = 0) -> DataFrame:

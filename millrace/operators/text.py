@@ -25,6 +25,9 @@ STOP_WORDS = (
 # Words dropped by the token filter.
 HEADER_WORDS = ["from", "subject"]
 
+# The characters the pattern class for white space holds.
+WHITE = " \t\n\x0b\f\r"
+
 # Characters string.punctuation lists.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -302,7 +305,7 @@ def vocabulary(df: DataFrame, text: str, limit: int = GROUP_LIMIT) -> DataFrame:
 def encode(df: DataFrame, doc: str, text: str, vocab: DataFrame, max_length: int) -> DataFrame:
     """Word ids of each document (``vocab`` should be a stored table): cut at ``max_length`` words, padded with 0 to the longest one, and a
     mask of 1 for words and 0 for padding."""
-    bare = F.regexp_replace(text, "^\\s+|\\s+$", "")
+    bare = F.btrim(F.col(text), F.lit(WHITE))
     # The split stops after the words that are kept; a blank text has none.
     first = F.slice(F.split(bare, "\\s+", max_length + 1), 1, max_length)
     cut = df.select(doc, F.when(bare != "", first).otherwise(F.array().cast("array<string>")).alias("words"))
@@ -377,7 +380,7 @@ def next_token(df: DataFrame, text: str, top_k: int, top_p: float) -> DataFrame:
     Pairs are formed inside the row. The rank filter runs before the shuffle of the window too, so a
     frequent word with millions of followers sends only ``top_k`` rows per partition.
     """
-    bare = F.regexp_replace(F.lower(text), "^\\s+|\\s+$", "")
+    bare = F.btrim(F.lower(text), F.lit(WHITE))
     listed = df.select(F.split(bare, "\\s+").alias("w"))
     zipped = F.arrays_zip(
         F.slice("w", F.lit(1), F.size("w") - 1).alias("a"), F.slice("w", F.lit(2), F.size("w") - 1).alias("b")
