@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import relational as R
 from millrace.operators import sampling as S
 from millrace.plans.registry import Tables, query
+from millrace.session import materialise
 
 
 # --- projections -------------------------------------------------------------------------------
@@ -199,7 +200,9 @@ def _(t: Tables):
 def _(t: Tables):
     parts = t.part.select("p_partkey", F.split("p_name", " ").alias("words"))
     words = parts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("uses"))
-    return R.join_array_contains(parts, "words", words, "word").select("p_partkey", "word", "uses")
+    # Stored first, so that a hot word can be split in the join (see ordered.attach).
+    stored = materialise(words, "word-uses")
+    return R.join_array_contains(parts, "words", stored, "word").select("p_partkey", "word", "uses")
 
 
 @query(
@@ -251,7 +254,8 @@ def _(t: Tables):
 def _(t: Tables):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     sums = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").alias("pair_quantity"))
-    return rows.join(sums, ["l_partkey", "l_suppkey"], "left")
+    # Stored first, so that a hot pair can be split in the join (see ordered.attach).
+    return rows.join(materialise(sums, "pair-sums"), ["l_partkey", "l_suppkey"], "left")
 
 
 @query(
