@@ -1,14 +1,65 @@
-"""Documents to packed training sequences, stage by stage."""
+"""Documents to packed training sequences, stage by stage.
+
+Every stage but the last returns the columns of its input. A stage's rows are stored before the next one reads
+them, so each works on all that its predecessor kept, and a lost executor costs one stage at most.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.llm import language, mixing, ngram_join, packing, secret_scan
+from millrace.session import materialise, scratch
+
+
+def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that have a language: those without text or letters go. Profiles come from the labelled rows."""
+    profiles = language.train(docs)
+    known = docs.withColumn("__language", language.predict(profiles, F.col("text")))
+    return known.where(F.col("__language.lang") != language.UNKNOWN).select(*docs.columns)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares nine tenths of its word n-grams: the one with the least id.
+
+    Rows without an id stay, as do all rows of an id that stays.
+    """
+    groups = ngram_join.components_of(docs)
+    kept = groups.where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = materialise(kept, "kept")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of every secret found."""
+    return secret_scan.redact(docs, scratch(spark, "ledger"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them; those it passes over go."""
+    return mixing.take(docs, mixing.mix(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sequences: one row per piece of a document, with its ids."""
+    return packing.pack(docs)
+
 
-from millrace.llm import packing
+STAGES = [
+    ("language", with_language),
+    ("copies", without_copies),
+    ("secrets", without_secrets),
+    ("mix", mixed),
+    ("packing", packed),
+]
 
-STAGES = [("packing", lambda spark, docs, sf_dir: packing.pack(docs))]
+# Language profiles and tokenizer ids are beyond SQL; tests/llm compares each stage with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -84,3 +84,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, s
     crossed = lambda at: F.floor(rate * at + offset)
     copies = F.least(crossed(place) - crossed(place - 1), F.lit(most)).cast("long")
     return numbered.select("doc_id", "source", "size", F.col("words").alias("source_size"), "target", copies.alias("copies"))
+
+
+def take(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` says; rows that repeat an id share its greatest number."""
+    known = copies.groupBy("doc_id").agg(F.max("copies").alias("__copies")).where(F.col("__copies") > 0)
+    known = materialise(known.withColumnRenamed("doc_id", "__taken"), "copies")
+    joined = docs.join(known, docs["doc_id"].eqNullSafe(F.col("__taken")))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
+    return joined.withColumn("__copy", each).select(*docs.columns)

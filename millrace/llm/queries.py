@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, packing, sharding, token_store
+from millrace.llm import language, minhash, mixing, ngram_join, packing, pii, secret_scan, sharding, token_store, topk
 from millrace.session import scratch
 
 
@@ -13,6 +13,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"), scratch(spark, "ledger"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in secret_scan.BASE]
+    digest = F.sha2(secret_scan.written(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secret_scan.written(F.col("spans")).alias("spans"), "blob")
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-store")
     token_store.write(_table(spark, sf_dir, "documents"), path)
@@ -26,12 +38,48 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(_table(spark, sf_dir, "documents"))
+
+
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprints_with_next(_table(spark, sf_dir, "documents"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    profiles = language.train(docs.where(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), language.predict(profiles, F.col("text")).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+OP8_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score
+FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 5
+"""
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
@@ -67,5 +115,40 @@ SELECT doc_id, size, words AS source_size, target,
 FROM placed
 """
 
-QUERIES = {q.__name__: q for q in (op2_token_store, op3_sharding, op7_packing, op9_mixing)}
-SQL = {"op9_mixing": OP9_SQL}
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components_of(_table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM words),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+single AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM single a JOIN single b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT s.a, s.b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+  WHERE 100 * s.n >= 90 * (x.n + y.n - s.n)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT z.doc_id, z.n AS n_shingles, min(r.b) AS component_id
+FROM sizes z JOIN reach r ON r.a = z.doc_id GROUP BY z.doc_id, z.n
+"""
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_secret_scan, op2_token_store, op3_sharding, op4_pii, op5_minhash,
+        op6_language, op7_packing, op8_topk, op9_mixing, op10_ngram_join,
+    )
+}
+SQL = {"op8_topk": OP8_SQL, "op9_mixing": OP9_SQL, "op10_ngram_join": OP10_SQL}
