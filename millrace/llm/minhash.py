@@ -134,7 +134,7 @@ def near_duplicates(docs: DataFrame, num: int = 8, den: int = 10, size: int = SH
     """
     sets = materialise(similar_sets.set_table(docs, size), "sets")
     width = SLOTS // bands
-    slots = signatures(docs.where("doc_id is not null"), size)
+    slots = signatures(docs.where("doc_id is not null"), size).where(F.col("slots")[0] != int(_EMPTY[0]))
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.struct(b, F.slice("slots", b * width + 1, width)))
     banded = materialise(slots.select(F.col("doc_id").alias("a"), F.explode(keys).alias("band")).select("a", F.xxhash64("band").alias("band")), "bands")
     least = materialise(banded.groupBy("band").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1"), "least")
