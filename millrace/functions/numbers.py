@@ -28,3 +28,21 @@ def occupancy(available: str | Column, horizon: float) -> Column:
 
 def manhattan(x: str | Column, y: str | Column, centre_x: Column, centre_y: Column) -> Column:
     return F.abs(col(x) - centre_x) + F.abs(col(y) - centre_y)
+
+
+def cents(column: str) -> Column:
+    """Money as a whole number of cents. Sums of these don't depend on the order of adding."""
+    return F.round(F.col(column) * 100).cast("long")
+
+
+def cents_sql(column: str) -> str:
+    return f"CAST(round({column} * 100) AS BIGINT)"
+
+
+def mean_of_cents(total: str, n: str) -> Column:
+    """Mean in whole money, rounded half up to 4 digits in whole numbers; null without rows."""
+    return F.floor((F.col(total).cast("decimal(30,0)") * 200 + F.col(n)) / (F.col(n) * 2)).cast("long") / F.lit(10000.0)
+
+
+def mean_of_cents_sql(total: str, n: str) -> str:
+    return f"CAST(floor((CAST({total} AS HUGEINT) * 200 + {n}) // (2 * {n})) AS BIGINT) / 10000::DOUBLE"

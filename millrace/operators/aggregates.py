@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
+from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import GROUP_LIMIT, attach, quantiles
+from millrace.operators.ordered import attach, quantiles
 from millrace.operators.relational import columns_of_type
-
-PAGE = 10_000
+from millrace.session import materialise
 
 
 def mean_and_count(df: DataFrame, key: str, value: str, at_least: int) -> DataFrame:
@@ -37,33 +39,29 @@ def mean_ratio(value: str) -> list[Column]:
     ]
 
 
-def collect_values(df: DataFrame, keys: Sequence[str], value: str, page: int = PAGE) -> DataFrame:
-    """All values per key: the sorted set, and how often each occurs (together, the whole list).
+def collect_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """All values per key in long form: the rows of a key are the set, and ``n``, how often each occurs, makes them
+    the list. Looks the same at every size; copies are counted before the shuffle, and no array grows with the
+    table."""
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
-    Copies are counted before the shuffle, and a key with more than ``page`` distinct values comes
-    as several rows numbered by ``page``, so no array grows with the table.
-    """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy(*keys).agg(F.ceil(F.count("n") / page).cast("int").alias("pages"))
-    paged = attach(counts, sizes, keys) if keys else counts.withColumn("pages", F.lit(_pages(sizes)))
-    number = F.pmod(F.xxhash64(value), F.col("pages").cast("long")).cast("int")
-    entry = F.struct(F.col(value).alias("value"), F.col("n"))
-    packed = paged.groupBy(*keys, number.alias("page")).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    return packed.select(
-        *keys,
-        "page",
-        F.col("entries.value").alias("values"),
-        F.col("entries.n").alias("counts"),
-    )
 
+def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence) -> DataFrame:
+    """Two-way counts; the listed column values become columns, absent pairs are 0, and rows of any other
+    value are counted as ``unlisted``."""
+    aggs = [F.count(F.when(F.col(columns) == v, 1)).alias(str(v)) for v in values]
+    return df.groupBy(rows).agg(*aggs, _unlisted(columns, values))
 
-def _pages(sizes: DataFrame) -> int:
-    return max(1, sizes.first()["pages"])
 
+def pivot_mean(df: DataFrame, rows: str, columns: str, values: Sequence, value: str, digits: int) -> DataFrame:
+    """Mean per row key and listed column value, 0 where there is none; rows of any other value are counted
+    as ``unlisted``."""
+    means = [F.coalesce(F.round(F.avg(F.when(F.col(columns) == v, F.col(value))), digits), F.lit(0.0)).alias(str(v)) for v in values]
+    return df.groupBy(rows).agg(*means, _unlisted(columns, values))
 
-def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence) -> DataFrame:
-    """Two-way counts; the listed column values become columns, absent pairs are 0."""
-    return df.groupBy(rows).pivot(columns, list(values)).agg(F.count(F.lit(1))).fillna(0)
+
+def _unlisted(column: str, values: Sequence) -> Column:
+    return F.count(F.when(~F.coalesce(F.col(column).isin(*values), F.lit(False)), 1)).alias("unlisted")
 
 
 def frequent_items(df: DataFrame, column: str, support: float) -> DataFrame:
@@ -118,10 +116,10 @@ def mode(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return picked.select(*keys, F.col("b.v").alias("mode"), (-F.col("b.m")).alias("n"))
 
 
-def five_numbers(df: DataFrame, keys: Sequence[str], value: str, limit: int = GROUP_LIMIT) -> DataFrame:
+def five_numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Minimum, quartiles and maximum per group, exact."""
     probs = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
-    return quantiles(df, keys, value, probs, limit)
+    return quantiles(df, keys, value, probs)
 
 
 def approx_quantile(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], accuracy: int) -> DataFrame:
@@ -142,11 +140,13 @@ def corr_with_target(df: DataFrame, target: str, columns: Sequence[str]) -> Data
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Full correlation matrix in long form ``(a, b, r)``, pairwise complete."""
     pairs = list(combinations(columns, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    spreads = [F.var_pop(c).alias(f"v_{i}") for i, c in enumerate(columns)]
+    row = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)], *spreads)
     entries = []
     for i, (a, b) in enumerate(pairs):
         entries += [_pair(a, b, F.col(f"r{i}")), _pair(b, a, F.col(f"r{i}"))]
-    entries += [_pair(c, c, F.lit(1.0)) for c in columns]
+    # A constant column, or one without two values, has no correlation, not even with itself.
+    entries += [_pair(c, c, F.when(F.col(f"v_{i}") > 0, 1.0)) for i, c in enumerate(columns)]
     return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
@@ -168,8 +168,8 @@ def series_corr(df: DataFrame, time: str, key: str, value: str, keys: Sequence,
 def chi_square(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Independence test of every pair of category columns: statistic and degrees of freedom.
 
-    One pass: each row yields one entry per column pair, counted before the shuffle. The expected
-    counts come from the sums of that small table.
+    One pass over the rows: each yields one entry per column pair, counted before the shuffle and stored.
+    The expected counts come from the sums of that small table.
     """
     pairs = list(combinations(columns, 2))
     entries = F.array(
@@ -179,7 +179,7 @@ def chi_square(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ]
     )
     exploded = df.select(F.explode(entries).alias("e")).select("e.*").where("x IS NOT NULL AND y IS NOT NULL")
-    cells = exploded.groupBy("a", "b", "x", "y").agg(F.count(F.lit(1)).alias("o"))
+    cells = materialise(exploded.groupBy("a", "b", "x", "y").agg(F.count(F.lit(1)).alias("o")), "cells")
     # Cells that never occur still carry an expected count E; their (0 - E)^2 / E = E. As all
     # expected counts add up to N, the statistic is sum(o^2 / E) - N over the cells that occur.
     rows = cells.groupBy("a", "b", "x").agg(F.sum("o").alias("row_sum"))
@@ -201,38 +201,22 @@ def chi_square(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def chi_square_p(result: DataFrame) -> DataFrame:
-    """Add the p-value (one row per column pair, so a small Python step): the upper regularised
-    incomplete gamma function, by its series or its continued fraction."""
-    schema = result.schema.simpleString()[len("struct<"):-1] + ",p_value:double"
-
-    def add(batches):
-        for pdf in batches:
-            yield pdf.assign(p_value=[_chi_tail(s, d) for s, d in zip(pdf.statistic, pdf.dof, strict=True)])
-
-    return result.mapInPandas(add, schema)
-
-
-def _chi_tail(statistic: float, dof: int) -> float:
-    import math
-
-    if dof <= 0 or statistic <= 0:
-        return 1.0
-    a, x = dof / 2.0, statistic / 2.0
-    scale = math.exp(-x + a * math.log(x) - math.lgamma(a))
-    if x < a + 1:
-        term = total = 1.0 / a
-        n = a
-        while abs(term) > abs(total) * 1e-16:
-            n += 1
-            term *= x / n
-            total += term
-        return max(0.0, 1.0 - total * scale)
-    # Continued fraction, evaluated from far out inwards.
-    value = 0.0
-    for i in range(2000, 0, -1):
-        value = i * (i - a) / (x + 2 * i + 1 - a - value)
-    return scale / (x + 1 - a - value)
+def chi_square_p(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same test with its p-value, by the library: one pass for each column against all after it."""
+    known = df.select(*columns).dropna()
+    indexed = StringIndexer(inputCols=list(columns), outputCols=[f"__{c}" for c in columns]).fit(known).transform(known)
+    rows = materialise(indexed.select(*[f"__{c}" for c in columns]), "indexed")
+    tests = []
+    for i, label in enumerate(columns[:-1]):
+        others = list(columns[i + 1 :])
+        vectors = VectorAssembler(inputCols=[f"__{c}" for c in others], outputCol="__features").transform(rows)
+        names = F.element_at(F.array(*[F.lit(c) for c in others]), F.col("featureIndex") + 1)
+        found = ChiSquareTest.test(vectors, "__features", f"__{label}", True)
+        tests.append(found.select(
+            F.lit(label).alias("a"), names.alias("b"), "statistic", F.col("degreesOfFreedom").cast("long").alias("dof"),
+            F.col("pValue").alias("p_value"),
+        ))
+    return reduce(DataFrame.unionByName, tests)
 
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int) -> DataFrame:

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import histogram
-from millrace.operators.ordered import GROUP_LIMIT, running
+from millrace.operators.ordered import running
 from millrace.session import materialise
 
 
-def regression_metrics(df: DataFrame, truth: str, predicted: str, keys: Sequence[str] = ()) -> DataFrame:
-    """mae, mse, rmse and R², over everything or by group, in one aggregate.
+def regression_metrics(df: DataFrame, truth: str, predicted: str, keys: Sequence[str] = (), total: str | None = None) -> DataFrame:
+    """mae, mse, rmse and R², over everything or by group, in one aggregate. With ``total`` and one key, a row
+    of that name for everything comes with the groups.
 
     Total variation is n times the population variance, which is computed stably.
     """
@@ -25,12 +26,17 @@ def regression_metrics(df: DataFrame, truth: str, predicted: str, keys: Sequence
         F.avg(error * error).alias("mse"),
         F.var_pop(truth).alias("__var"),
     ]
-    grouped = known.groupBy(*keys).agg(*aggs) if keys else known.agg(*aggs)
+    if total is None:
+        grouped = known.groupBy(*keys).agg(*aggs) if keys else known.agg(*aggs)
+    else:
+        (key,) = keys
+        both = known.rollup(key).agg(*aggs, F.grouping(key).alias("__whole"))
+        grouped = both.withColumn(key, F.when(F.col("__whole") == 1, F.lit(total)).otherwise(F.col(key))).drop("__whole")
     r2 = 1 - F.try_divide(F.col("mse"), F.col("__var"))
     return grouped.withColumns({"rmse": F.sqrt("mse"), "r2": r2}).drop("__var")
 
 
-def binary_curve(df: DataFrame, score: str, label: str, limit: int = GROUP_LIMIT) -> DataFrame:
+def binary_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     """One row per distinct score, from the highest down: counts and rates when everything from that
     score up is called positive.
 
@@ -44,7 +50,7 @@ def binary_curve(df: DataFrame, score: str, label: str, limit: int = GROUP_LIMIT
     counts = materialise(grouped, "curve")
     totals = counts.agg(F.sum("pos"), F.sum("neg")).first()
     p, n = F.lit(totals[0]), F.lit(totals[1])
-    placed = running(counts, [], [f"-{score}"], {"tp": F.col("pos"), "fp": F.col("neg")}, limit)
+    placed = running(counts, [], [f"-{score}"], {"tp": F.col("pos"), "fp": F.col("neg")})
     return placed.withColumns(
         {
             "tpr": F.try_divide(F.col("tp"), p),

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import mode
-from millrace.operators.ordered import GROUP_LIMIT, attach, quantiles
+from millrace.operators.ordered import attach, quantiles
 from millrace.session import materialise
 
 
@@ -58,7 +58,7 @@ def binarize(df: DataFrame, column: str, threshold: float, output: str) -> DataF
     return Binarizer(inputCol=column, outputCol=output, threshold=threshold).transform(df)
 
 
-def impute(df: DataFrame, strategies: Mapping[str, str], limit: int = GROUP_LIMIT) -> DataFrame:
+def impute(df: DataFrame, strategies: Mapping[str, str]) -> DataFrame:
     """Fill nulls by ``mean``, ``median`` (the lower middle value) or ``mode`` (smallest on a tie).
 
     All means come from one pass. Medians are exact without gathering the column in one place.
@@ -69,7 +69,7 @@ def impute(df: DataFrame, strategies: Mapping[str, str], limit: int = GROUP_LIMI
         values.update(df.agg(*[F.avg(c).alias(c) for c in means]).first().asDict())
     for column, strategy in strategies.items():
         if strategy == "median":
-            values[column] = quantiles(df, [], column, {"m": 0.5}, limit, discrete=True).first()["m"]
+            values[column] = quantiles(df, [], column, {"m": 0.5}, discrete=True).first()["m"]
         elif strategy == "mode":
             found = mode(df, [], column).first()
             values[column] = found["mode"] if found else None
@@ -77,15 +77,15 @@ def impute(df: DataFrame, strategies: Mapping[str, str], limit: int = GROUP_LIMI
     return df.withColumns(filled)
 
 
-def iqr_bounds(df: DataFrame, column: str, limit: int = GROUP_LIMIT) -> tuple[float, float]:
+def iqr_bounds(df: DataFrame, column: str) -> tuple[float, float]:
     """First quartile and Q3 + 1.5 IQR."""
-    q1, q3 = quantiles(df, [], column, {"q1": 0.25, "q3": 0.75}, limit).first()
+    q1, q3 = quantiles(df, [], column, {"q1": 0.25, "q3": 0.75}).first()
     return q1, q3 + 1.5 * (q3 - q1)
 
 
-def iqr_filter(df: DataFrame, column: str, lower: float, limit: int = GROUP_LIMIT) -> DataFrame:
+def iqr_filter(df: DataFrame, column: str, lower: float) -> DataFrame:
     """Rows between a fixed lower bound and Q3 + 1.5 times the interquartile range."""
-    return df.where(F.col(column).between(lower, iqr_bounds(df, column, limit)[1]))
+    return df.where(F.col(column).between(lower, iqr_bounds(df, column)[1]))
 
 
 def label_vs_group_mean(train: DataFrame, df: DataFrame, key: str, value: str, label: str) -> DataFrame:

@@ -101,16 +101,24 @@ def _design(days: np.ndarray) -> np.ndarray:
 
 
 def _forecast_group(pdf: pd.DataFrame, keys: Sequence[str], days: int) -> pd.DataFrame:
-    """Least squares on log values (so the seasons multiply the trend) with the history and the days after it."""
+    """Least squares on the values, with the history and the days after it.
+
+    Over two years or more the seasons multiply the trend: every wave also comes times the slope. The fit is
+    linear in the values, so zeros and negative values are values like others. A series without any value
+    has no forecast.
+    """
     known = pdf.dropna(subset=["y"]).sort_values("ds")
+    if known.empty:
+        return pd.DataFrame({c: pd.Series(dtype=object if c in ("ds", *keys) else "Float64") for c in [*keys, *FORECAST_COLUMNS]})
     dates = pd.to_datetime(known["ds"])
     start = dates.iloc[0]
     ahead = pd.date_range(dates.iloc[-1] + pd.Timedelta(days=1), periods=days, freq="D")
     every = pd.DatetimeIndex(dates).append(ahead)
     t = (every - start).days.to_numpy(dtype=float)
-    floor = 1e-9
-    level = np.log(np.maximum(known["y"].to_numpy(dtype=float), floor))
+    level = known["y"].to_numpy(dtype=float)
     design = _design(t)
+    if t[len(known) - 1] >= 2 * 365.25:
+        design = np.column_stack([design, design[:, 2:] * design[:, 1:2]])
     weights, *_ = np.linalg.lstsq(design[: len(known)], level, rcond=None)
     fitted = design @ weights
     rest = level - fitted[: len(known)]
@@ -120,9 +128,9 @@ def _forecast_group(pdf: pd.DataFrame, keys: Sequence[str], days: int) -> pd.Dat
             "ds": every.date,
             # A nullable column: future dates have no value rather than NaN.
             "y": pd.array([*known["y"].to_numpy(dtype=float), *[None] * days], dtype="Float64"),
-            "yhat": np.exp(fitted),
-            "yhat_upper": np.exp(fitted + band),
-            "yhat_lower": np.exp(fitted - band),
+            "yhat": fitted,
+            "yhat_upper": fitted + band,
+            "yhat_lower": fitted - band,
         }
     )
     for key in keys:
@@ -168,10 +176,10 @@ def evaluate_grouped(forecast: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*wanted).applyInPandas(score, schema)
 
 
-def store(forecast: DataFrame, keys: Sequence[str], trained: Column, path: str) -> str:
-    """Insert a forecast into a table partitioned by training date; returns the table's name."""
+def store(forecast: DataFrame, keys: Sequence[str], trained: Column, name: str, path: str) -> None:
+    """Append a forecast to the table ``name`` at ``path``, partitioned by training date."""
     renames = {k: k for k in keys} | {
         "ds": "date", "y": "sales", "yhat": "sales_predicted", "yhat_upper": "sales_predicted_upper",
         "yhat_lower": "sales_predicted_lower", "training_date": "training_date",
     }
-    return insert_partitioned(forecast.withColumn("training_date", trained), path, renames, "training_date")
+    insert_partitioned(forecast.withColumn("training_date", trained), name, path, renames, "training_date")

@@ -1,34 +1,28 @@
 """Ordered work per key (running sums, positions, look-back, ranks, exact quantiles).
 
-A window keeps each key in one task. That is fine while every key is small, and breaks when one key
-holds a third of a large table. Every function here first measures the largest group with one
-map-side-combined count. Below ``limit`` rows it uses the plain window. Above it, rows are cut along
-the order column into chunks of about ``limit / 2`` rows at split points taken from a quantile
-sketch, each (key, chunk) is worked on by itself, and a small table of chunk totals supplies what
-came before it. Split points are plain numbers, so a lost task recomputes to the same chunks.
-
-The frame is read several times on the way (sizes, split points, totals, rows), so give one that is
-cheap to read: a table, or an aggregate put through ``materialise``.
-
-Order columns are names; a leading ``-`` means descending. The first one must be a number, date or
-time, and the list should be a total order within a key. Where one value of the first column is
-frequent enough to fill chunks, the second column cuts it further.
+A window keeps each key in one task, which breaks when one key holds a third of a large table. Every
+function here takes one path at every size: rows are dealt by range of (keys, order) into chunks, stored
+once, and worked on chunk by chunk; a table with one row for each chunk that a key goes on in supplies what
+came before it. Spark's range partitioning splits a large key as often as needed, for order columns of any
+type and for null, NaN and infinite values, and leaves small keys together.
+
+Order columns are names; a leading ``-`` means descending. The list should be a total order within a
+key: rows equal in all of it end up in one chunk.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.session import materialise
 
-GROUP_LIMIT = 4_000_000
-MAX_CHUNKS = 20_000
+#: Chunks for each shuffle partition; several, so that hashing them afterwards deals evenly.
+CHUNKS_PER_PARTITION = 4
+#: Rows in a block of consecutive positions when looking back.
+BLOCK = 100_000
 
 _CHUNK = "__chunk"
 _ROW = "__row"
@@ -37,71 +31,22 @@ _BLOCK = "__block"
 _HOME = "__home"
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows in the largest group, rows in all) from one aggregate over the key columns."""
-    if not keys:
-        n = df.count()
-        return n, n
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    top, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    return top or 0, total or 0
-
-
 def order_columns(order: Sequence[str]) -> list[Column]:
     return [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
 
 
-def _splittable(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
-
-
-def _numeric(df: DataFrame, name: str) -> Column:
-    kind, value = df.schema[name].dataType, F.col(name)
-    if not _splittable(df, name):
-        raise ValueError(f"cannot split the order column {name} of type {kind.simpleString()}")
-    if isinstance(kind, T.DateType):
-        value = F.unix_date(value)
-    elif isinstance(kind, T.TimestampNTZType):
-        value = value.cast("timestamp")
-    value = value.cast("double")
-    # Spark sorts null first and NaN last.
-    return F.coalesce(F.when(F.isnan(value), F.lit(math.inf)).otherwise(value), F.lit(-math.inf))
-
-
-def _points(df: DataFrame, measure: str, parts: int) -> list[float]:
-    """Values at even shares of the rows, from one sketch; a frequent value comes several times."""
-    finite = df.where(F.abs(measure) < math.inf).select(measure)
-    return sorted(finite.approxQuantile(measure, [i / parts for i in range(1, parts)], 0.5 / parts))
-
-
-def _bucket(df: DataFrame, measure: str, splits: Sequence[float], output: str, descending: bool) -> DataFrame:
-    cut = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=measure, outputCol=output, handleInvalid="error")
-    number = F.col(output).cast("long")
-    return cut.transform(df).withColumn(output, -number if descending else number)
+def chunk_count(spark: SparkSession) -> int:
+    return CHUNKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _split(df: DataFrame, order: Sequence[str], rows: int, limit: int) -> DataFrame:
-    """Add the chunk number: ascending along the order, about limit/2 rows of the table in each.
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows, stored, with the number of their chunk, which ascends along (keys, order).
 
-    A value of the first order column that fills whole chunks gets one of its own, which is cut along
-    the second order column.
+    Stored because the bounds of a range partitioning are drawn anew by every job that runs it.
     """
-    parts = min(MAX_CHUNKS, max(2, math.ceil(2 * rows / limit)))
-    first, second = "__measure", "__measure2"
-    measured = df.withColumn(first, _numeric(df, order[0].lstrip("-")))
-    points = _points(measured, first, parts)
-    heavy = sorted({v for v, after in zip(points, points[1:], strict=False) if v == after})
-    splits = sorted({*points, *(math.nextafter(v, math.inf) for v in heavy)})
-    cut = _bucket(measured, first, splits, _CHUNK, order[0].startswith("-"))
-    if not heavy or len(order) < 2 or not _splittable(df, order[1].lstrip("-")):
-        return cut.drop(first)
-    measured = cut.withColumn(second, _numeric(df, order[1].lstrip("-")))
-    frequent = F.col(first).isin(heavy)
-    finer = sorted(set(_points(measured.where(frequent), second, parts)))
-    fine = _bucket(measured, second, finer, "__sub", order[1].startswith("-"))
-    width = 2 * (len(finer) + 2)
-    number = F.col(_CHUNK) * width + F.when(frequent, F.col("__sub")).otherwise(0)
-    return fine.withColumn(_CHUNK, number).drop(first, second, "__sub")
+    by = [*[F.col(k) for k in keys], *order_columns(order)]
+    ranged = df.repartitionByRange(chunk_count(df.sparkSession), *by)
+    return materialise(ranged.withColumn(_CHUNK, F.spark_partition_id()), "chunks")
 
 
 def join_groups(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -123,30 +68,19 @@ def attach(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     return join_groups(df, materialise(groups, "groups"), keys)
 
 
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    sums: Mapping[str, Column],
-    limit: int = GROUP_LIMIT,
-) -> DataFrame:
+def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
     """Add inclusive running sums per key, row by row. ``F.lit(1)`` gives the 1-based position."""
-    top, rows = largest_group(df, keys)
-    by = order_columns(order)
-    frame = (Window.unboundedPreceding, Window.currentRow)
-    if top <= limit:
-        window = Window.partitionBy(*keys).orderBy(*by).rowsBetween(*frame)
-        return df.withColumns({name: F.sum(c).over(window) for name, c in sums.items()})
-
-    chunked = _split(df, order, rows, limit).withColumns({f"__v_{n}": c for n, c in sums.items()})
-    totals = chunked.groupBy(*keys, _CHUNK).agg(*[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in sums])
-    # One row per key and chunk: at most MAX_CHUNKS rows for a key.
-    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.withColumns({f"__v_{n}": F.sum(f"__v_{n}").over(before) for n in sums})
-    # What came before a chunk enters as a row in front of it, so the rows are shuffled once and
-    # joined to nothing.
-    merged = chunked.withColumn(_ROW, F.lit(1)).unionByName(carry.withColumn(_ROW, F.lit(0)), allowMissingColumns=True)
-    window = Window.partitionBy(*keys, _CHUNK).orderBy(_ROW, *by).rowsBetween(*frame)
+    rows = chunked(df, keys, order).withColumns({f"__v_{n}": c for n, c in sums.items()})
+    totals = rows.groupBy(*keys, _CHUNK).agg(*[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in sums])
+    along = Window.partitionBy(*keys).orderBy(_CHUNK)
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.withColumns({f"__v_{n}": F.sum(f"__v_{n}").over(before) for n in sums} | {_ROW: F.row_number().over(along)})
+    # What came before a chunk enters as a row in front of it, so the rows are shuffled once and joined
+    # to nothing. Only keys that go on from one chunk to the next have such rows: at most one a chunk.
+    carry = carry.where(F.col(_ROW) > 1).withColumn(_ROW, F.lit(0))
+    merged = rows.withColumn(_ROW, F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    window = Window.partitionBy(*keys, _CHUNK).orderBy(_ROW, *order_columns(order))
+    window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     done = merged.withColumns({n: F.sum(f"__v_{n}").over(window) for n in sums}).where(F.col(_ROW) == 1)
     return done.drop(_CHUNK, _ROW, *[f"__v_{n}" for n in sums])
 
@@ -157,19 +91,15 @@ def look_back(
     order: Sequence[str],
     columns: Mapping[str, Callable[[WindowSpec], Column]],
     rows: int,
-    limit: int = GROUP_LIMIT,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Window columns that read at most ``rows`` earlier rows of the key (lag, moving average).
 
-    A large key is cut by position into blocks of ``limit`` rows; the last ``rows`` rows of a block
-    are also handed to the next one, and the copies are dropped afterwards.
+    A key is cut by position into blocks of ``block`` rows; the last ``rows`` rows of a block are also
+    handed to the next one, and the copies are dropped afterwards.
     """
-    top, _ = largest_group(df, keys)
-    if top <= limit:
-        window = Window.partitionBy(*keys).orderBy(*order_columns(order))
-        return df.withColumns({name: make(window) for name, make in columns.items()})
-    block = max(limit, rows)
-    placed = running(df, keys, order, {_POS: F.lit(1)}, limit)
+    block = max(block, rows, 1)
+    placed = running(df, keys, order, {_POS: F.lit(1)})
     at = F.floor((F.col(_POS) - 1) / block).cast("long")
     tail = (F.col(_POS) - 1) % block >= block - rows
     copies = F.when(tail, F.array(F.col(_HOME), F.col(_HOME) + 1)).otherwise(F.array(F.col(_HOME)))
@@ -179,23 +109,11 @@ def look_back(
     return done.where(F.col(_HOME) == F.col(_BLOCK)).drop(_POS, _HOME, _BLOCK)
 
 
-def ranks(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    rank: str = "rank",
-    dense: str = "dense_rank",
-    limit: int = GROUP_LIMIT,
-) -> DataFrame:
-    """Rank and dense rank of a value within its key. Large keys rank distinct values with counts."""
-    top, _ = largest_group(df, keys)
-    if top <= limit:
-        window = Window.partitionBy(*keys).orderBy(*order_columns([order]))
-        return df.withColumns({rank: F.rank().over(window), dense: F.dense_rank().over(window)})
+def ranks(df: DataFrame, keys: Sequence[str], order: str, rank: str = "rank", dense: str = "dense_rank") -> DataFrame:
+    """Rank and dense rank of a value within its key: distinct values with their counts are placed."""
     value = order.lstrip("-")
-    counts = materialise(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "ranks")
-    sums = {"__upto": F.col("__n"), "__step": F.lit(1)}
-    placed = running(counts, keys, [order], sums, limit).select(
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    placed = running(counts, keys, [order], {"__upto": F.col("__n"), "__step": F.lit(1)}).select(
         *keys,
         value,
         (F.col("__upto") - F.col("__n") + 1).cast("int").alias(rank),
@@ -209,7 +127,6 @@ def quantiles(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
-    limit: int = GROUP_LIMIT,
     discrete: bool = False,
 ) -> DataFrame:
     """Exact quantiles per key (nulls ignored), one output column per probability.
@@ -217,18 +134,13 @@ def quantiles(
     Interpolated, or with ``discrete`` the first value whose share of rows reaches the probability.
     """
     known = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias(value))
-    top, rows = largest_group(known, keys)
-    if top <= limit:
-        kind = "percentile_disc" if discrete else "percentile_cont"
-        picks = [F.expr(f"{kind}({p}D) WITHIN GROUP (ORDER BY `{value}`) AS `{name}`") for name, p in probs.items()]
-        return known.groupBy(*keys).agg(*picks) if keys else known.agg(*picks)
-    counts = materialise(known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "quantiles")
-    placed = running(counts, keys, [value], {"__upto": F.col("__n")}, limit)
+    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    placed = materialise(running(counts, keys, [value], {"__upto": F.col("__n")}), "quantiles")
+    sizes = F.max("__upto").alias("__size")
     if keys:
-        sizes = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
-        whole = join_groups(placed, sizes, keys)
+        whole = join_groups(placed, placed.groupBy(*keys).agg(sizes), keys)
     else:
-        whole = placed.withColumn("__size", F.lit(rows))
+        whole = placed.withColumn("__size", F.lit(placed.agg(sizes).first()[0]).cast("long"))
 
     def at(place: Column) -> Column:
         """The value in this 0-based place of the sorted rows."""

@@ -33,10 +33,10 @@ def add_rename_drop(
     return df.withColumns(dict(add or {})).withColumnsRenamed(dict(rename or {})).drop(*drop)
 
 
-def encode_flag(column: str | Column, true: str = "t", false: str = "f") -> Column:
-    """1 for the true mark, 0 for the false mark, null for anything else."""
+def encode_flag(column: str | Column, true: str = "t") -> Column:
+    """1 for the true mark, 0 for anything else; null stays null."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.when(c == true, 1).when(c == false, 0)
+    return F.when(c == true, 1).when(c.isNotNull(), 0)
 
 
 def clamp_upper(df: DataFrame, limits: Mapping[str, float]) -> DataFrame:
@@ -68,21 +68,26 @@ def join_array_contains(left: DataFrame, array: str, right: DataFrame, key: str)
     )
 
 
-def hot_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """Keys holding more than 1/parts of all rows: fewer than ``parts`` of them."""
+#: A key with more than 1/HOT of a side's rows is joined apart, however many partitions are asked for.
+HOT = 1000
+
+
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys holding more than 1/HOT of all rows: fewer than HOT of them."""
     rows = df.count()
-    return df.groupBy(key).count().where(F.col("count") > rows / parts).select(key)
+    return df.groupBy(key).count().where(F.col("count") > rows / HOT).select(key)
 
 
 def join_partitioned(left: DataFrame, right: DataFrame, key: str, parts: int) -> DataFrame:
     """Inner join of key-value frames in a chosen number of partitions.
 
-    Adaptive execution does not touch partitions the caller asked for. So keys with more than their
-    share of the left rows are joined apart, without a layout of their own: there it may broadcast
-    the few matching right rows, or split the hot partitions.
+    Adaptive execution does not touch partitions the caller asked for. So keys that are frequent on
+    either side are joined apart, without a layout of their own: there it may broadcast the few matching
+    rows of the other side, or split the hot partitions.
     """
-    # Fewer than ``parts`` keys by construction, so the hint is safe.
-    hot = F.broadcast(materialise(hot_keys(left, key, parts), "hot-keys"))
+    # Fewer than 2 * HOT keys by construction, so the hint is safe.
+    both = hot_keys(left, key).union(hot_keys(right, key)).where(F.col(key).isNotNull()).distinct()
+    hot = F.broadcast(materialise(both, "hot-keys"))
     cold = [f.join(hot, key, "left_anti").repartition(parts, key) for f in (left, right)]
     warm = [f.join(hot, key, "left_semi") for f in (left, right)]
     return cold[0].join(cold[1], key).unionByName(warm[0].join(warm[1], key))

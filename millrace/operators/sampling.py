@@ -44,9 +44,11 @@ def sample_by_key(df: DataFrame, key: str, fractions: Mapping, seed: int, replac
 
 def _poisson_steps(rate: float) -> Column:
     """Cumulative Poisson probabilities, up to the point where the rest is below 1e-15."""
+    if rate > 700:
+        raise ValueError(f"a rate of {rate} is beyond the range of the probabilities")
     term = total = math.exp(-rate)
     steps, k = [total], 0
-    while 1 - total > 1e-15 and k < 1000:
+    while 1 - total > 1e-15:
         k += 1
         term *= rate / k
         if total + term == total and k > rate:
@@ -61,12 +63,18 @@ def split_random(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
 
 
 def hash_bucket(key: str | Column, buckets: int = 100) -> Column:
-    """0..buckets-1 from the md5 of the key: the same for a key however the table grows."""
+    """0..buckets-1 from the md5 of the key: the same for a key however the table grows. A null key counts
+    as an empty text."""
     c = F.col(key) if isinstance(key, str) else key
-    digits = F.substring(F.md5(c.cast("string")), 1, 8)
+    digits = F.substring(F.md5(F.coalesce(c.cast("string"), F.lit(""))), 1, 8)
     return F.conv(digits, 16, 10).cast("long") % buckets
 
 
+def mark_split(df: DataFrame, key: str, train_percent: int, part: str = "part") -> DataFrame:
+    """Name the part of every row, ``train`` or ``test``, in one column: one scan for both."""
+    return df.withColumn(part, F.when(hash_bucket(key) < train_percent, "train").otherwise("test"))
+
+
 def split_hash(df: DataFrame, key: str, train_percent: int) -> tuple[DataFrame, DataFrame]:
     low = hash_bucket(key) < train_percent
     return df.where(low), df.where(~low)

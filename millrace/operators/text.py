@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import GROUP_LIMIT, join_groups, running
+from millrace.operators.ordered import join_groups, running
 from millrace.session import materialise
 
 # English function words dropped by the stop-word count.
@@ -28,8 +28,6 @@ HEADER_WORDS = ["from", "subject"]
 # The characters the pattern class for white space holds.
 WHITE = " \t\n\x0b\f\r"
 
-# Characters string.punctuation lists.
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def words(df: DataFrame, text: str, splitter: str = "whitespace", keep: Sequence[str] = ()) -> DataFrame:
@@ -85,21 +83,12 @@ def parse_list(column: str | Column) -> Column:
     return F.split(F.regexp_replace(column, "[\\[\\]'\" ]", ""), ",")
 
 
-def distinct_elements(df: DataFrame, array: str, most: int = 2000) -> list[str]:
-    """Distinct non-empty elements, sorted. They become columns, so too many are an error."""
-    found = df.select(F.explode(array).alias("x")).where("x <> ''").distinct().orderBy("x").limit(most + 1)
-    values = [row["x"] for row in found.collect()]
-    if len(values) > most:
-        raise ValueError(f"more than {most} distinct elements: keep them in long form instead")
-    return values
+def multi_hot(df: DataFrame, keep: Sequence[str], array: str, element: str = "element") -> DataFrame:
+    """The ones of a multi-hot encoding, one row for each distinct non-empty element of a row.
 
-
-def multi_hot(df: DataFrame, array: str, prefix: str) -> DataFrame:
-    """One 0/1 column per distinct element, in one projection."""
-    flags = {
-        prefix + v.replace(" ", "_"): F.array_contains(array, v).cast("int") for v in distinct_elements(df, array)
-    }
-    return df.withColumns(flags)
+    Long form, so that neither the schema nor the output grows with the number of distinct elements.
+    """
+    return df.select(*keep, F.explode(F.array_distinct(array)).alias(element)).where(F.col(element) != "")
 
 
 def top_elements(df: DataFrame, array: str, k: int) -> list[str]:
@@ -253,7 +242,7 @@ def few_shot_knn(df: DataFrame, doc: str, text: str, examples: Sequence[tuple],
     counts = found.groupBy(doc, "word").agg(F.count(F.lit(1)).alias("tf"))
     tf = F.col("tf")
     per_doc = (
-        counts.join(F.broadcast(shots), "word", "left")
+        counts.join(shots, "word", "left")
         .groupBy(doc)
         .agg(
             F.sqrt(F.sum(tf * tf)).alias("norm"),
@@ -289,7 +278,7 @@ def _counts(body: str) -> dict[str, int]:
     return Counter(w for w in re.split("[ \\t\\n\\x0b\\f\\r]+", body.lower()) if w)
 
 
-def vocabulary(df: DataFrame, text: str, limit: int = GROUP_LIMIT) -> DataFrame:
+def vocabulary(df: DataFrame, text: str) -> DataFrame:
     """All words numbered from 1, most frequent first; words of equal count are ordered by a hash.
 
     The numbering is a running count over one global order, cut into chunks when the vocabulary is
@@ -298,28 +287,34 @@ def vocabulary(df: DataFrame, text: str, limit: int = GROUP_LIMIT) -> DataFrame:
     # Written once: the numbering reads it several times and the caller usually twice more.
     counts = materialise(word_count(df, text, lower=False), "vocabulary")
     digits = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("double")
-    numbered = running(counts.withColumn("h", digits), [], ["-n", "h", "word"], {"id": F.lit(1)}, limit)
-    return numbered.select("word", F.col("id").cast("int").alias("id"), "n")
+    numbered = running(counts.withColumn("h", digits), [], ["-n", "h", "word"], {"id": F.lit(1)})
+    return numbered.select("word", "id", "n")
 
 
-def encode(df: DataFrame, doc: str, text: str, vocab: DataFrame, max_length: int) -> DataFrame:
-    """Word ids of each document (``vocab`` should be a stored table): cut at ``max_length`` words, padded with 0 to the longest one, and a
-    mask of 1 for words and 0 for padding."""
+def placed_ids(df: DataFrame, doc: str, text: str, vocab: DataFrame, max_length: int) -> DataFrame:
+    """(doc, pos, id) of the first ``max_length`` words of each document; ``vocab`` should be a stored table."""
     bare = F.btrim(F.col(text), F.lit(WHITE))
     # The split stops after the words that are kept; a blank text has none.
     first = F.slice(F.split(bare, "\\s+", max_length + 1), 1, max_length)
     cut = df.select(doc, F.when(bare != "", first).otherwise(F.array().cast("array<string>")).alias("words"))
-    longest = cut.agg(F.max(F.size("words"))).first()[0] or 0
-    placed = cut.select(doc, F.posexplode_outer("words").alias("pos", "word")).join(vocab.select("word", "id"), "word")
+    return cut.select(doc, F.posexplode("words").alias("pos", "word")).join(vocab.select("word", "id"), "word").drop("word")
+
+
+def pad(rows: DataFrame, ids: str) -> DataFrame:
+    """Ids filled up with 0 to the longest row, and a ``mask`` of 1 for words and 0 for padding. ``rows`` is read
+    twice: give a stored table."""
+    longest = rows.agg(F.max(F.size(ids))).first()[0] or 0
+    padding = F.lit(longest) - F.size(ids)
+    mask = F.concat(F.array_repeat(F.lit(1), F.size(ids)), F.array_repeat(F.lit(0), padding))
+    return rows.withColumns({ids: F.concat(ids, F.array_repeat(F.lit(0).cast("long"), padding)), "mask": mask})
+
+
+def encode(df: DataFrame, doc: str, text: str, vocab: DataFrame, max_length: int) -> DataFrame:
+    """Word ids of each document, cut at ``max_length`` words, padded, with their mask."""
     entries = F.sort_array(F.collect_list(F.struct("pos", "id")))
-    ids = placed.groupBy(doc).agg(entries.alias("e")).select(doc, F.col("e.id").alias("ids"))
-    whole = df.select(doc).join(ids, doc, "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
-    padding = F.lit(longest) - F.size("ids")
-    return whole.select(
-        doc,
-        F.concat("ids", F.array_repeat(F.lit(0), padding)).alias("ids"),
-        F.concat(F.array_repeat(F.lit(1), F.size("ids")), F.array_repeat(F.lit(0), padding)).alias("mask"),
-    )
+    ids = placed_ids(df, doc, text, vocab, max_length).groupBy(doc).agg(entries.alias("e")).select(doc, F.col("e.id").alias("ids"))
+    whole = df.select(doc).join(ids, doc, "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<long>")))
+    return pad(materialise(whole, "coded"), "ids")
 
 
 def decode(df: DataFrame, doc: str, ids: str, vocab: DataFrame) -> DataFrame:
@@ -330,6 +325,17 @@ def decode(df: DataFrame, doc: str, ids: str, vocab: DataFrame) -> DataFrame:
     return df.select(doc).join(texts, doc, "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 
+def encode_and_back(df: DataFrame, doc: str, text: str, vocab: DataFrame, max_length: int) -> DataFrame:
+    """Ids, mask and the text that the ids give back. The placed ids take both ways, so a document is put
+    together once."""
+    placed = placed_ids(df, doc, text, vocab, max_length).join(vocab.select("id", F.col("word").alias("back")), "id")
+    entries = F.sort_array(F.collect_list(F.struct("pos", "id", "back")))
+    rows = placed.groupBy(doc).agg(entries.alias("e")).select(doc, F.col("e.id").alias("ids"), F.concat_ws(" ", F.col("e.back")).alias("text"))
+    whole = df.select(doc).join(rows, doc, "left")
+    known = whole.withColumns({"ids": F.coalesce("ids", F.array().cast("array<long>")), "text": F.coalesce("text", F.lit(""))})
+    return pad(materialise(known, "coded"), "ids")
+
+
 def extract_summary(df: DataFrame, doc: str, text: str, min_words: int, max_words: int) -> DataFrame:
     """The best sentences of each document in their original order.
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions.numbers import cents, cents_sql, mean_of_cents, mean_of_cents_sql
 from millrace.operators import aggregates as A
 from millrace.operators import text as X
 from millrace.plans.registry import Tables, query
 
-BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+_UNLISTED = "count(CASE WHEN p_type IS NULL OR p_type NOT IN (" + ", ".join(f"'{x}'" for x in TYPES) + ") THEN 1 END)"
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
@@ -119,53 +120,47 @@ def _(t: Tables):
 
 @query(
     "agg_collect",
-    """WITH c AS (SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY 1, 2)
-       SELECT c_nationkey, 0::INTEGER AS page, string_agg(c_mktsegment, ',' ORDER BY c_mktsegment) AS segments,
-              string_agg(CAST(n AS VARCHAR), ',' ORDER BY c_mktsegment) AS counts FROM c GROUP BY c_nationkey""",
+    "SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY 1, 2",
 )
 def _(t: Tables):
-    lists = A.collect_values(t.customer, ["c_nationkey"], "c_mktsegment")
-    return lists.select(
-        "c_nationkey", "page",
-        F.concat_ws(",", "values").alias("segments"),
-        F.concat_ws(",", F.col("counts").cast("array<string>")).alias("counts"),
-    )
+    return A.collect_values(t.customer, ["c_nationkey"], "c_mktsegment")
 
 
 @query(
     "agg_group",
-    """SELECT o_orderstatus, o_orderpriority, count(o_totalprice) AS n, round(avg(o_totalprice), 4) AS mean,
-              round(stddev_pop(o_totalprice), 4) AS deviation, round(sum(o_totalprice), 2) AS total
-       FROM orders GROUP BY 1, 2""",
+    f"""WITH g AS (SELECT o_orderstatus, o_orderpriority, count(o_totalprice) AS n, sum({cents_sql('o_totalprice')})::BIGINT AS c,
+                         round(stddev_pop(o_totalprice), 4) AS deviation FROM orders GROUP BY 1, 2)
+       SELECT o_orderstatus, o_orderpriority, n, {mean_of_cents_sql('c', 'n')} AS mean, deviation, c / 100::DOUBLE AS total FROM g""",
 )
 def _(t: Tables):
     p = "o_totalprice"
-    return t.orders.groupBy("o_orderstatus", "o_orderpriority").agg(
-        F.count(p).alias("n"),
-        F.round(F.avg(p), 4).alias("mean"),
-        F.expr(f"round(stddev_pop({p}), 4) AS deviation"),
-        F.round(F.sum(p), 2).alias("total"),
+    grouped = t.orders.groupBy("o_orderstatus", "o_orderpriority").agg(
+        F.count(p).alias("n"), F.sum(cents(p)).alias("c"), F.expr(f"round(stddev_pop({p}), 4) AS deviation")
+    )
+    return grouped.select(
+        "o_orderstatus", "o_orderpriority", "n", mean_of_cents("c", "n").alias("mean"), "deviation", (F.col("c") / 100.0).alias("total")
     )
 
 
 @query(
     "agg_two_stage",
-    """WITH d AS (SELECT o_orderdate AS d, sum(o_totalprice) AS s FROM orders GROUP BY 1)
-       SELECT year(d)::INTEGER AS year, dayofweek(d)::INTEGER AS weekday, round(avg(s), 4) AS sales FROM d GROUP BY 1, 2""",
+    f"""WITH d AS (SELECT o_orderdate AS d, sum({cents_sql('o_totalprice')})::BIGINT AS s FROM orders GROUP BY 1),
+            g AS (SELECT year(d)::INTEGER AS year, dayofweek(d)::INTEGER AS weekday, sum(s)::BIGINT AS total, count(*) AS n FROM d GROUP BY 1, 2)
+       SELECT year, weekday, {mean_of_cents_sql('total', 'n')} AS sales FROM g""",
 )
 def _(t: Tables):
-    t.orders.createOrReplaceTempView("millrace_orders")
-    return t.spark.sql(
-        """SELECT year(d) AS year, dayofweek(d) - 1 AS weekday, round(avg(s), 4) AS sales
-           FROM (SELECT o_orderdate AS d, sum(o_totalprice) AS s FROM millrace_orders GROUP BY o_orderdate)
-           GROUP BY year(d), dayofweek(d) - 1"""
+    days = t.orders.groupBy("o_orderdate").agg(F.sum(cents("o_totalprice")).alias("s"))
+    grouped = t.spark.sql(
+        """SELECT year(o_orderdate) AS year, dayofweek(o_orderdate) - 1 AS weekday, sum(s) AS total, count(*) AS n
+           FROM {days} GROUP BY 1, 2""",
+        days=days,
     )
+    return grouped.select("year", "weekday", mean_of_cents("total", "n").alias("sales"))
 
 
 @query("agg_by_year", "SELECT year(l_shipdate)::INTEGER AS year, sum(l_quantity) AS sales FROM lineitem GROUP BY 1")
 def _(t: Tables):
-    t.lineitem.createOrReplaceTempView("millrace_lineitem")
-    return t.spark.sql("SELECT year(l_shipdate) AS year, sum(l_quantity) AS sales FROM millrace_lineitem GROUP BY year(l_shipdate)")
+    return t.spark.sql("SELECT year(l_shipdate) AS year, sum(l_quantity) AS sales FROM {lines} GROUP BY year(l_shipdate)", lines=t.lineitem)
 
 
 @query(
@@ -173,10 +168,10 @@ def _(t: Tables):
     """SELECT strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS month, sum(l_quantity) AS sales FROM lineitem GROUP BY 1""",
 )
 def _(t: Tables):
-    t.lineitem.createOrReplaceTempView("millrace_lineitem")
     return t.spark.sql(
         """SELECT cast(trunc(l_shipdate, 'MM') AS string) AS month, sum(l_quantity) AS sales
-           FROM millrace_lineitem GROUP BY trunc(l_shipdate, 'MM')"""
+           FROM {lines} GROUP BY trunc(l_shipdate, 'MM')""",
+        lines=t.lineitem,
     )
 
 
@@ -212,16 +207,16 @@ def _(t: Tables):
     "agg_pivot",
     """SELECT p_brand, """
     + ", ".join(f"coalesce(round(avg(CASE WHEN p_type = '{x}' THEN p_size END), 2), 0) AS {x.lower()}" for x in TYPES)
-    + " FROM part GROUP BY p_brand",
+    + f", {_UNLISTED} AS unlisted FROM part GROUP BY p_brand",
 )
 def _(t: Tables):
-    wide = t.part.groupBy("p_brand").pivot("p_type", TYPES).agg(F.round(F.avg("p_size"), 2)).fillna(0)
-    return wide.withColumnsRenamed({x: x.lower() for x in TYPES})
+    return A.pivot_mean(t.part, "p_brand", "p_type", TYPES, "p_size", 2).withColumnsRenamed({x: x.lower() for x in TYPES})
 
 
 @query(
     "agg_crosstab",
-    "SELECT p_brand, " + ", ".join(f"count(CASE WHEN p_type = '{x}' THEN 1 END) AS {x.lower()}" for x in TYPES) + " FROM part GROUP BY p_brand",
+    "SELECT p_brand, " + ", ".join(f"count(CASE WHEN p_type = '{x}' THEN 1 END) AS {x.lower()}" for x in TYPES)
+    + f", {_UNLISTED} AS unlisted FROM part GROUP BY p_brand",
 )
 def _(t: Tables):
     return A.crosstab(t.part, "p_brand", "p_type", TYPES).withColumnsRenamed({x: x.lower() for x in TYPES})
@@ -361,7 +356,7 @@ def _(t: Tables):
 @query("agg_chi2_p")
 def _(t: Tables):
     joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(*_CHI_COLUMNS)
-    return A.chi_square_p(A.chi_square(joined, _CHI_COLUMNS))
+    return A.chi_square_p(joined, _CHI_COLUMNS)
 
 
 @query(

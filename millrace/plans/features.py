@@ -11,7 +11,8 @@ from millrace.functions import nested as N
 from millrace.operators import features as E
 from millrace.operators import sampling as S
 from millrace.plans.registry import Tables, query
-from millrace.session import spread
+from millrace.plans.scalars import RATES, RATES_SQL
+from millrace.session import materialise, spread
 
 _LINES = ["l_orderkey", "l_linenumber", "l_partkey"]
 _LINES_SQL = "l_orderkey, l_linenumber, l_partkey"
@@ -125,25 +126,23 @@ def _(t: Tables):
 
 @query(
     "fe_iqr_filter",
-    """WITH q AS (SELECT quantile_cont(c_acctbal, 0.25) AS q1, quantile_cont(c_acctbal, 0.75) AS q3 FROM customer WHERE c_acctbal < 3000)
-       SELECT c_custkey, c_acctbal FROM customer, q WHERE c_acctbal < 3000 AND c_acctbal BETWEEN 1 AND q3 + 1.5 * (q3 - q1)""",
+    """WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem)
+       SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem, q WHERE l_extendedprice BETWEEN 1000 AND q3 + 1.5 * (q3 - q1)""",
 )
 def _(t: Tables):
-    return E.iqr_filter(t.customer.where("c_acctbal < 3000").select("c_custkey", "c_acctbal"), "c_acctbal", 1)
+    return E.iqr_filter(t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice"), "l_extendedprice", 1000)
 
 
-# Units of local money per dollar (other regions count as dollars), and map centres.
-RATES = {"AFRICA": 857.29, "ASIA": 0.79, "EUROPE": 0.92}
 
 
 @query(
     "fe_currency",
-    f"""SELECT o_orderkey, round(o_totalprice / CASE r_name WHEN 'AFRICA' THEN 857.29::DOUBLE WHEN 'ASIA' THEN 0.79 WHEN 'EUROPE' THEN 0.92 ELSE 1 END, 4) AS dollars
+    f"""SELECT o_orderkey, round(o_totalprice / {RATES_SQL}, 6) AS dollars
         FROM {PRICED_SQL}""",
 )
 def _(t: Tables):
     rate = N.look_up("r_name", RATES, 1.0)
-    return priced(t).select("o_orderkey", F.round(F.col("o_totalprice") / rate, 4).alias("dollars"))
+    return priced(t).select("o_orderkey", F.round(F.col("o_totalprice") / rate, 6).alias("dollars"))
 
 
 @query(
@@ -194,10 +193,10 @@ def _(t: Tables):
 @query("fe_stage_chain")
 def _(t: Tables):
     rows = priced(t).select("o_orderkey", "c_mktsegment", "o_orderpriority", "r_name", "c_acctbal", "o_totalprice")
-    train, test = S.split_hash(rows, "o_orderkey", 70)
-    chain = E.stage_chain(["c_mktsegment", "o_orderpriority"], ["c_acctbal"], "r_name").fit(train)
-    both = [chain.transform(f).withColumn("part", F.lit(n)) for f, n in ((train, "train"), (test, "test"))]
-    return both[0].unionByName(both[1]).select("o_orderkey", "part", vector_to_array("features").alias("features"))
+    # Stored: every stage that is fitted reads the training rows once more.
+    marked = materialise(S.mark_split(rows, "o_orderkey", 70), "chain")
+    chain = E.stage_chain(["c_mktsegment", "o_orderpriority"], ["c_acctbal"], "r_name").fit(marked.where("part = 'train'"))
+    return chain.transform(marked).select("o_orderkey", "part", vector_to_array("features").alias("features"))
 
 
 @query("txt_hash_tfidf")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import nested as N
@@ -12,7 +15,7 @@ from millrace.operators import sampling as S
 from millrace.operators import text as X
 from millrace.plans.features import priced
 from millrace.plans.registry import Tables, query
-from millrace.session import scratch, spread
+from millrace.session import materialise, scratch, spread
 
 _INPUTS = ["l_quantity", "l_discount", "l_tax"]
 
@@ -20,8 +23,9 @@ _INPUTS = ["l_quantity", "l_discount", "l_tax"]
 def _lines(t: Tables):
     """Line items as features and a price to predict, split by order."""
     lines = spread(t.lineitem).select("l_orderkey", *_INPUTS, "l_extendedprice")
-    rows = E.assembler(_INPUTS).transform(lines)
-    return S.split_hash(rows, "l_orderkey", 70)
+    # Stored: every tree and boosting step reads the rows again.
+    marked = materialise(S.mark_split(E.assembler(_INPUTS).transform(lines), "l_orderkey", 70), "lines")
+    return marked.where("part = 'train'"), marked.where("part = 'test'")
 
 
 def _labelled_orders(t: Tables):
@@ -29,12 +33,12 @@ def _labelled_orders(t: Tables):
     rows = priced(t).select(
         "o_orderkey", "c_mktsegment", "o_orderpriority", "o_orderstatus", "c_acctbal", "o_totalprice"
     )
-    train, _ = S.split_hash(rows, "o_orderkey", 70)
-    labelled = E.label_vs_group_mean(train, rows, "c_mktsegment", "o_totalprice", "above")
-    train, test = S.split_hash(labelled, "o_orderkey", 70)
-    chain = E.stage_chain(["c_mktsegment", "o_orderpriority", "o_orderstatus"], ["c_acctbal"]).fit(train)
-    keep = ["o_orderkey", "above", "features"]
-    return chain.transform(train).select(*keep), chain.transform(test).select(*keep)
+    # Stored twice: the join of four tables once for all stages, their outcome once for all fits.
+    marked = materialise(S.mark_split(rows, "o_orderkey", 70), "orders")
+    labelled = E.label_vs_group_mean(marked.where("part = 'train'"), marked, "c_mktsegment", "o_totalprice", "above")
+    chain = E.stage_chain(["c_mktsegment", "o_orderpriority", "o_orderstatus"], ["c_acctbal"]).fit(labelled.where("part = 'train'"))
+    ready = materialise(chain.transform(labelled).select("o_orderkey", "above", "features", "part"), "ready")
+    return ready.where("part = 'train'").drop("part"), ready.where("part = 'test'").drop("part")
 
 
 @query("ml_kmeans")
@@ -82,8 +86,11 @@ def _(t: Tables):
 
 @query("ml_tree_reg")
 def _(t: Tables):
+    """Importances of the random forest and of the boosted trees."""
     train, _ = _lines(t)
-    return ML.importances(ML.regressors("l_extendedprice")["forest"], train, _INPUTS)
+    models = ML.regressors("l_extendedprice")
+    found = [ML.importances(models[n], train, _INPUTS).withColumn("model", F.lit(n)) for n in ("forest", "boosted")]
+    return found[0].unionByName(found[1])
 
 
 @query("ml_tree_cls")
@@ -103,6 +110,35 @@ def _(t: Tables):
     return table
 
 
+@query("ml_grid_cv_reg")
+def _(t: Tables):
+    """A grid over each kind of trees for regression."""
+    train, _ = _lines(t)
+    models, evaluator = ML.regressors("l_extendedprice"), ML.regression_evaluator("l_extendedprice")
+    grids = {"forest": {"maxDepth": [3, 5], "numTrees": [5, 10]}, "boosted": {"maxDepth": [2, 3], "maxIter": [3, 5]}}
+    tables = [ML.grid_search(train, models[n], g, evaluator, folds=3, seed=7)[1].withColumn("model", F.lit(n)) for n, g in grids.items()]
+    return tables[0].unionByName(tables[1])
+
+
+@query("eval_fitted_regression")
+def _(t: Tables):
+    """Hold-out metrics of every fitted regressor."""
+    train, test = _lines(t)
+    found = ML.predictions(ML.regressors("l_extendedprice"), train, test, ["l_extendedprice"])
+    return V.regression_metrics(found, "l_extendedprice", "prediction", ["model"])
+
+
+@query("eval_fitted_classification")
+def _(t: Tables):
+    """Hold-out metrics of every fitted classifier."""
+    train, test = _labelled_orders(t)
+    found = ML.predictions(ML.classifiers("above"), train, test, ["above"]).withColumn("prediction", F.col("prediction").cast("int"))
+    stored = materialise(found, "classified")
+    names = sorted(ML.classifiers("above"))
+    each = [V.classification_metrics(stored.where(F.col("model") == n), "above", "prediction").withColumn("model", F.lit(n)) for n in names]
+    return reduce(DataFrame.unionByName, each)
+
+
 @query("ml_predict")
 def _(t: Tables):
     train, test = _lines(t)
@@ -139,11 +175,10 @@ _METRICS_SQL = f"""count(*) AS n, round(avg(abs(l_extendedprice - {_GUESS})), 4)
 
 @query("eval_regression", f"SELECT l_returnflag, {_METRICS_SQL} FROM lineitem GROUP BY 1 UNION ALL SELECT 'all', {_METRICS_SQL} FROM lineitem")
 def _(t: Tables):
-    rows = _guessed(t)
-    by_flag = V.regression_metrics(rows, "l_extendedprice", "guess", ["l_returnflag"])
-    whole = V.regression_metrics(rows, "l_extendedprice", "guess").withColumn("l_returnflag", F.lit("all"))
+    # One aggregate over grouping sets gives the groups and the whole.
+    found = V.regression_metrics(_guessed(t), "l_extendedprice", "guess", ["l_returnflag"], total="all")
     digits = {"mae": 4, "mse": 2, "rmse": 4, "r2": 6}
-    return by_flag.unionByName(whole).withColumns({c: F.round(c, d) for c, d in digits.items()})
+    return found.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
 _SCORED_SQL = "(SELECT round(1 - exp(-n_chars / 1000.0::DOUBLE), 3) AS score, quality FROM documents JOIN labels USING (doc_id))"

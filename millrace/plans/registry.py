@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import load, spread
+from millrace.session import load, prepare, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +35,7 @@ def query(key: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if key in QUERIES:
             raise ValueError(f"query {key} registered twice")
-        QUERIES[key] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+        QUERIES[key] = lambda spark, sf_dir: fn(Tables(prepare(spark), sf_dir))
         if sql is not None:
             SQL[key] = sql
         return fn

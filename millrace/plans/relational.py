@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import relational as R
 from millrace.operators import sampling as S
+from millrace.functions.numbers import cents, cents_sql, mean_of_cents, mean_of_cents_sql
 from millrace.plans.registry import Tables, query
 from millrace.session import materialise
 
@@ -23,10 +24,10 @@ def _(t: Tables):
     return t.part.selectExpr("*", "p_size > 25 AS is_large", "round(p_retailprice * 1.21, 4) AS price_with_tax")
 
 
-@query("proj_literal", "SELECT o_orderkey, 1 AS one, 'five' AS word, 5.0::DOUBLE AS five FROM orders")
+@query("proj_literal", "SELECT o_orderkey, 12 AS months, 'pending' AS mark, 0.25::DOUBLE AS share FROM orders")
 def _(t: Tables):
     return t.orders.select(
-        "o_orderkey", F.lit(1).alias("one"), F.lit("five").alias("word"), F.lit(5.0).alias("five")
+        "o_orderkey", F.lit(12).alias("months"), F.lit("pending").alias("mark"), F.lit(0.25).alias("share")
     )
 
 
@@ -121,7 +122,7 @@ def _(t: Tables):
     "case_when",
     """SELECT o_orderkey,
               CASE WHEN o_orderstatus = 'F' THEN 'done' WHEN o_orderstatus = 'O' THEN 'open' ELSE 'partial' END AS state,
-              CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 0 END AS flag,
+              CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS flag,
               CASE WHEN o_totalprice > 400000 THEN 'high' WHEN o_totalprice > 100000 THEN 'middle' ELSE 'low' END AS band
        FROM orders""",
 )
@@ -130,7 +131,7 @@ def _(t: Tables):
     return t.orders.select(
         "o_orderkey",
         F.when(status == "F", "done").when(status == "O", "open").otherwise("partial").alias("state"),
-        R.encode_flag(status, "F", "O").alias("flag"),
+        R.encode_flag(status, "F").alias("flag"),
         F.when(price > 400000, "high").when(price > 100000, "middle").otherwise("low").alias("band"),
     )
 
@@ -218,18 +219,20 @@ def _(t: Tables):
 
 @query(
     "join_stats_back",
-    """WITH s AS (SELECT o_custkey, avg(o_totalprice) AS m, count(*) AS n FROM orders GROUP BY o_custkey)
-       SELECT o_orderkey, round(m, 8) AS customer_mean, n AS customer_orders, o_totalprice > m AS above
-       FROM orders JOIN s USING (o_custkey) WHERE abs(o_totalprice - m) > 0.0001""",
+    f"""WITH p AS (SELECT *, {cents_sql('o_totalprice')} AS cents FROM orders),
+            s AS (SELECT o_custkey, sum(cents)::BIGINT AS total, count(*) AS n FROM p GROUP BY o_custkey)
+       SELECT o_orderkey, {mean_of_cents_sql('total', 'n')} AS customer_mean, n AS customer_orders, cents * n > total AS above
+       FROM p JOIN s USING (o_custkey)""",
 )
 def _(t: Tables):
-    stats = {"m": F.avg("o_totalprice"), "n": F.count("*")}
-    joined = R.stats_back(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), ["o_custkey"], stats)
-    return joined.where(F.abs(F.col("o_totalprice") - F.col("m")) > 0.0001).select(
+    # In whole cents, so that a price equal to its customer's mean compares as equal.
+    rows = t.orders.select("o_orderkey", "o_custkey", cents("o_totalprice").alias("cents"))
+    joined = R.stats_back(rows, ["o_custkey"], {"total": F.sum("cents"), "n": F.count("*")})
+    return joined.select(
         "o_orderkey",
-        F.round("m", 8).alias("customer_mean"),
+        mean_of_cents("total", "n").alias("customer_mean"),
         F.col("n").alias("customer_orders"),
-        (F.col("o_totalprice") > F.col("m")).alias("above"),
+        (F.col("cents") * F.col("n") > F.col("total")).alias("above"),
     )
 
 
@@ -377,6 +380,11 @@ def _(t: Tables):
     return S.sample_n(t.orders.select("o_orderkey", "o_totalprice"), 500, seed=7, replace=True)
 
 
+@query("sample_n_distinct")
+def _(t: Tables):
+    return S.sample_n(t.orders.select("o_orderkey", "o_totalprice"), 500, seed=7)
+
+
 @query("sample_by_key")
 def _(t: Tables):
     wanted = {"A": 0.2, "N": 0.5, "R": 1.5}
@@ -396,5 +404,4 @@ def _(t: Tables):
                                THEN 'train' ELSE 'test' END AS part FROM orders""",
 )
 def _(t: Tables):
-    train, test = S.split_hash(t.orders.select("o_orderkey"), "o_orderkey", 70)
-    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+    return S.mark_split(t.orders.select("o_orderkey"), "o_orderkey", 70)

@@ -10,6 +10,7 @@ from millrace.functions import nulls as U
 from millrace.functions import numbers as M
 from millrace.functions import strings as S
 from millrace.plans.registry import Tables, query
+from millrace.session import materialise
 
 _INITCAP = "array_to_string(list_transform(string_split({0}, ' '), lambda w: upper(w[1:1]) || lower(w[2:])), ' ')"
 
@@ -119,14 +120,14 @@ def _(t: Tables):
 
 @query(
     "math_arith",
-    """SELECT l_orderkey, l_linenumber, l_partkey, pow(l_quantity * l_discount, 2) + 5 AS fabricated, round(ln(l_extendedprice), 8) AS log_price,
+    """SELECT l_orderkey, l_linenumber, l_partkey, pow(l_quantity - 25, 2) * l_tax - 3 AS bent, round(ln(l_extendedprice), 8) AS log_price,
               abs(l_discount - l_tax) AS gap, l_orderkey % 7 AS rest, (l_orderkey // 10)::INTEGER AS tens,
               round(l_quantity / nullif(l_tax, 0), 6) IS NULL AS untaxed FROM lineitem""",
 )
 def _(t: Tables):
     return t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey",
-        (F.pow(F.col("l_quantity") * F.col("l_discount"), 2) + 5).alias("fabricated"),
+        (F.pow(F.col("l_quantity") - 25, 2) * F.col("l_tax") - 3).alias("bent"),
         F.round(F.log("l_extendedprice"), 8).alias("log_price"),
         F.abs(F.col("l_discount") - F.col("l_tax")).alias("gap"),
         (F.col("l_orderkey") % 7).alias("rest"),
@@ -239,10 +240,11 @@ def _(t: Tables):
 def _(t: Tables):
     rows = _labelled(t).select("doc_id", F.col("quality").cast("int"), F.col("toxic").cast("int"))
     marks = ["quality", "toxic"]
+    stored = materialise(rows, "labelled")
     frames = {
-        "drop_any": U.drop_null(rows, "any", marks),
-        "drop_all": U.drop_null(rows, "all", marks),
-        "fill": U.fill(rows, {"quality": 5, "toxic": 7}),
+        "drop_any": U.drop_null(stored, "any", marks),
+        "drop_all": U.drop_null(stored, "all", marks),
+        "fill": U.fill(stored, {"quality": 5, "toxic": 7}),
     }
     tagged = [f.withColumn("kind", F.lit(k)) for k, f in frames.items()]
     return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
@@ -324,13 +326,14 @@ def _(t: Tables):
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", _cube(F.col("l_quantity")).alias("cubed"))
 
 
-# Units of local money per dollar, by region of the test tables.
-RATES = {"AFRICA": 857.29, "AMERICA": 1.0, "ASIA": 0.79, "EUROPE": 0.92}
+#: Invented units of local money per unit of account; any other region counts as 1.
+RATES = {"AFRICA": 12.5, "AMERICA": 1.25, "ASIA": 8.0, "EUROPE": 0.75}
+RATES_SQL = "CASE r_name " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in RATES.items()) + " ELSE 1 END"
 
 
 @query(
     "udf_scalar",
-    """SELECT c_custkey, round(c_acctbal / CASE r_name WHEN 'AFRICA' THEN 857.29::DOUBLE WHEN 'ASIA' THEN 0.79 WHEN 'EUROPE' THEN 0.92 ELSE 1 END, 6) AS dollars,
+    f"""SELECT c_custkey, round(c_acctbal / {RATES_SQL}, 6) AS dollars,
               round(abs(c_acctbal - n_nationkey * 100.0::DOUBLE) + abs(c_custkey - 500.0::DOUBLE), 6) AS distance
        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
 )

@@ -40,8 +40,8 @@ def _(t: Tables):
     path = scratch(t.spark, "documents-csv")
     writer = t.documents.select("doc_id", "text", "lang").write.partitionBy("lang")
     writer.options(header=True, quote='"', escape='"', compression="gzip", quoteAll=True).csv(path)
-    sources = {lang: f"{path}/lang={lang}" for lang in ("de", "en", "es", "fr")}
-    return IO.read_tagged(t.spark, sources, "doc_id long, text string", "lang")
+    # The folder of a file tells its source, a null one included, so no list of sources is needed.
+    return IO.read_csv_quoted(t.spark, path, "doc_id long, text string, lang string")
 
 
 @query("src_csv_malformed", "SELECT event_id, user_id, event_type, value FROM events WHERE event_type NOT IN ('error', 'signup')")
@@ -97,14 +97,17 @@ def _(t: Tables):
 
 @query(
     "src_literal_rows",
-    """SELECT c_custkey, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 WHEN 'FURNITURE' THEN 3 END AS code,
-              CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'cars' WHEN 'BUILDING' THEN 'sites' ELSE 'homes' END AS title
-       FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')""",
+    """SELECT c_custkey, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 WHEN 'FURNITURE' THEN 3
+                                         WHEN 'HOUSEHOLD' THEN 4 WHEN 'MACHINERY' THEN 5 END AS code,
+              CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'cars' WHEN 'BUILDING' THEN 'sites' WHEN 'FURNITURE' THEN 'rooms'
+                                WHEN 'HOUSEHOLD' THEN 'homes' WHEN 'MACHINERY' THEN 'plants' END AS title
+       FROM customer""",
 )
 def _(t: Tables):
-    rows = [(1, "AUTOMOBILE", "cars"), (2, "BUILDING", "sites"), (3, "FURNITURE", "homes")]
+    rows = [(1, "AUTOMOBILE", "cars"), (2, "BUILDING", "sites"), (3, "FURNITURE", "rooms"), (4, "HOUSEHOLD", "homes"), (5, "MACHINERY", "plants")]
     titles = IO.literal_rows(t.spark, rows, "code int, c_mktsegment string, title string")
-    return t.customer.join(F.broadcast(titles), "c_mktsegment").select("c_custkey", "code", "title")
+    # A left join: customers of a segment without a title stay.
+    return t.customer.join(F.broadcast(titles), "c_mktsegment", "left").select("c_custkey", "code", "title")
 
 
 @query("sink_parquet", "SELECT p_partkey, p_brand, p_retailprice FROM part")
@@ -127,8 +130,14 @@ def _(t: Tables):
 def _(t: Tables):
     rows = t.orders.withColumn("day", F.to_date("o_orderdate"))
     renames = {"o_orderkey": "id", "o_totalprice": "price", "day": "day", "o_orderstatus": "status"}
-    name = IO.insert_partitioned(rows, scratch(t.spark, "stored"), renames, "status")
-    return t.spark.table(name).where("status = 'F'").select("id", "price", F.col("day").cast("string").alias("day"))
+    path = scratch(t.spark, "stored")
+    name = f"stored_{path.rsplit('-', 1)[1]}"
+    # In two inserts, as a table filled day by day.
+    for part in ("o_orderkey % 2 = 0", "o_orderkey % 2 <> 0"):
+        IO.insert_partitioned(rows.where(part), name, path, renames, "status")
+    stored = t.spark.read.parquet(path).where("status = 'F'")
+    t.spark.sql(f"DROP TABLE {name}")
+    return stored.select("id", "price", F.col("day").cast("string").alias("day"))
 
 
 @query(
@@ -138,9 +147,7 @@ def _(t: Tables):
 def _(t: Tables):
     joined = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return IO.query_view(
-        joined,
-        "millrace_customers",
-        "SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM millrace_customers GROUP BY n_name",
+        joined, "customers", "SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM {customers} GROUP BY n_name"
     )
 
 

@@ -16,15 +16,17 @@ from millrace.sources.files import write_csv
 from millrace.streaming import files as ST
 from millrace.streaming.online import OnlineKMeans, OnlineLinear, StateTable
 
-_FILES = 5
+# Input is cut by size; a batch takes a few files.
+_ROWS = 250_000
+_FILES_PER_BATCH = 4
 
 
 @query("stream_files", "SELECT event_id, user_id, event_type, value FROM events")
 def _(t: Tables):
     rows = t.events.select("event_id", "user_id", "event_type", "value")
     path = scratch(t.spark, "events-in")
-    write_csv(rows, path, files=_FILES)
-    return ST.run_to_files(ST.csv_stream(t.spark, path, rows.schema), "events-out")
+    write_csv(rows, path, maxRecordsPerFile=_ROWS)
+    return ST.run_to_files(ST.csv_stream(t.spark, path, rows.schema, _FILES_PER_BATCH), scratch(t.spark, "events-out"))
 
 
 def _heart_like(t: Tables) -> tuple[Pipeline, DataFrame, DataFrame]:
@@ -43,9 +45,9 @@ def _(t: Tables):
     stages, train, test = _heart_like(t)
     model = stages.fit(train)
     path = scratch(t.spark, "score-in")
-    write_csv(test, path, files=_FILES)
-    stream = ST.csv_stream(t.spark, path, test.schema)
-    return ST.run_to_files(ST.score_stream(model, stream, ["o_orderkey", "label"]), "score-out")
+    write_csv(test, path, maxRecordsPerFile=_ROWS)
+    stream = ST.csv_stream(t.spark, path, test.schema, _FILES_PER_BATCH)
+    return ST.run_to_files(ST.score_stream(model, stream, ["o_orderkey", "label"]), scratch(t.spark, "score-out"))
 
 
 def _points(t: Tables) -> DataFrame:
@@ -57,10 +59,10 @@ def _points(t: Tables) -> DataFrame:
     ).withColumns({n: F.round(n, 4) for n in "abc"})
 
 
-def _point_lines(t: Tables, path: str, rows: DataFrame, files: int) -> str:
+def _point_lines(t: Tables, path: str, rows: DataFrame) -> str:
     line = F.concat(F.lit("("), F.col("label").cast("string"), F.lit(",["), F.concat_ws(",", "a", "b", "c"), F.lit("])"))
     out = scratch(t.spark, path)
-    rows.select(line.alias("value")).repartition(files).write.text(out)
+    rows.select(line.alias("value")).write.option("maxRecordsPerFile", _ROWS).text(out)
     return out
 
 
@@ -70,21 +72,21 @@ def _point_lines(t: Tables, path: str, rows: DataFrame, files: int) -> str:
        FROM lineitem""",
 )
 def _(t: Tables):
-    path = _point_lines(t, "points", _points(t), _FILES)
+    path = _point_lines(t, "points", _points(t))
     parsed = ST.parse_labelled(ST.text_stream(t.spark, path))
     elements = [F.get("features", F.lit(i)).alias(n) for i, n in enumerate("abc")]
-    return ST.run_to_files(parsed.select("label", *elements), "points-out")
+    return ST.run_to_files(parsed.select("label", *elements), scratch(t.spark, "points-out"))
 
 
 @query("stream_linear_sgd")
 def _(t: Tables):
     rows = _points(t)
-    train = _point_lines(t, "sgd-train", rows.where("l_returnflag <> 'N'"), _FILES)
-    test = _point_lines(t, "sgd-test", rows.where("l_returnflag = 'N'"), 2)
+    train = _point_lines(t, "sgd-train", rows.where("l_returnflag <> 'N'"))
+    test = _point_lines(t, "sgd-test", rows.where("l_returnflag = 'N'"))
     model = OnlineLinear(features=3, step=0.2, iterations=25, states=StateTable(t.spark, scratch(t.spark, "sgd-state")))
-    ST.run_batches(ST.parse_labelled(ST.text_stream(t.spark, train)), model.update, "sgd-log")
+    ST.run_batches(ST.parse_labelled(ST.text_stream(t.spark, train, _FILES_PER_BATCH)), model.update, scratch(t.spark, "sgd-log"))
     fresh = ST.parse_labelled(ST.text_stream(t.spark, test))
-    return ST.run_to_files(fresh.select("label", model.predict().alias("prediction")), "sgd-out")
+    return ST.run_to_files(fresh.select("label", model.predict().alias("prediction")), scratch(t.spark, "sgd-out"))
 
 
 _START = [[0.2, 0.2, 0.2], [0.8, 0.8, 0.6]]
@@ -110,11 +112,11 @@ def _nearest_sql(table: str, *names: str) -> str:
 )
 def _(t: Tables):
     rows = _points(t)
-    train = _point_lines(t, "kmeans-train", rows.where("l_returnflag <> 'N'"), _FILES)
-    test = _point_lines(t, "kmeans-test", rows.where("l_returnflag = 'N'"), 2)
+    train = _point_lines(t, "kmeans-train", rows.where("l_returnflag <> 'N'"))
+    test = _point_lines(t, "kmeans-test", rows.where("l_returnflag = 'N'"))
     model = OnlineKMeans(centres=_START, weight=1.0, decay=1.0, states=StateTable(t.spark, scratch(t.spark, "kmeans-state")))
     # All files in one batch: the SQL side makes one update.
-    ST.run_batches(ST.parse_labelled(ST.text_stream(t.spark, train, _FILES)), model.update, "kmeans-log")
+    ST.run_batches(ST.parse_labelled(ST.text_stream(t.spark, train)), model.update, scratch(t.spark, "kmeans-log"))
     fresh = ST.parse_labelled(ST.text_stream(t.spark, test))
     elements = [F.get("features", F.lit(i)).alias(n) for i, n in enumerate("abc")]
-    return ST.run_to_files(fresh.select("label", *elements, model.predict().alias("cluster")), "kmeans-out")
+    return ST.run_to_files(fresh.select("label", *elements, model.predict().alias("cluster")), scratch(t.spark, "kmeans-out"))

@@ -51,7 +51,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table. Times stay TIMESTAMP_NTZ so filters on them reach the scan."""
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -82,15 +82,29 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, until ``release``."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the scratch files of this driver. For callers that are done with the frames built on them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write the frame once to the shared folder and read it back.
 
-    For frames read by several jobs. Survives lost executors, unlike a cache.
+    For frames read by several jobs. Survives lost executors, unlike a cache. The copy stays until
+    ``release``.
     """
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -73,7 +72,7 @@ def parse_delimited(
     number. Missing fields and bad numbers become null instead of failing."""
     split = lines.where(F.col("value") != header).select(F.split("value", sep).alias("f"))
     named = split.select(*[F.get("f", F.lit(i)).alias(name) for i, name in columns.items()])
-    kept = named.where(~F.col(number).isin(list(sentinels)))
+    kept = named.where(F.col(number).isNull() | ~F.col(number).isin(list(sentinels)))
     return kept.withColumn(number, F.replace(F.col(number), F.lit(marker), F.lit("")).try_cast("double"))
 
 
@@ -95,33 +94,35 @@ def write_parquet(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None, **options) -> None:
-    """CSV with a header, in a chosen number of files. Rows are dealt out in turn, not by a key, so
+    """CSV with a header, in a chosen number of files, or cut by size with ``maxRecordsPerFile``. Rows are dealt out in turn, not by a key, so
     the files are of even size."""
     out = df if files is None else df.repartition(files)
     out.write.mode("overwrite").options(header=True, **options).csv(path)
 
 
-def insert_partitioned(df: DataFrame, path: str, renames: Mapping[str, str], partition: str) -> str:
-    """Create a date-partitioned table if it is not there, insert the renamed columns, return its name.
+def insert_partitioned(df: DataFrame, name: str, path: str, renames: Mapping[str, str], partition: str) -> None:
+    """Create the partitioned table ``name`` at ``path`` if it is not there, and append the renamed columns.
 
-    The rebalance hint gathers a partition's rows into few files and lets adaptive execution split a
-    large one over several tasks.
+    The table keeps what earlier inserts stored, also those of another session into the same path. The
+    rebalance hint gathers a partition's rows into few files and lets adaptive execution split a large
+    one over several tasks.
     """
     spark = df.sparkSession
-    name = f"stored_{uuid.uuid4().hex}"
     renamed = df.select(*[F.col(old).alias(new) for old, new in renames.items()])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in renamed.schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({kinds}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{path}'")
-    view = f"new_{name}"
-    renamed.createOrReplaceTempView(view)
+    if not spark.catalog.tableExists(name):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        filled = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+        spark.sql(f"CREATE TABLE {name} ({kinds}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{path}'")
+        if filled:
+            # Partitions that another catalog wrote there.
+            spark.sql(f"MSCK REPAIR TABLE {name}")
     ordered = [c for c in renamed.columns if c != partition] + [partition]
     columns = ", ".join(f"`{c}`" for c in ordered)
-    spark.sql(f"INSERT INTO {name} SELECT /*+ REBALANCE(`{partition}`) */ {columns} FROM {view}")
-    spark.catalog.dropTempView(view)
-    return name
+    spark.sql(f"INSERT INTO {name} SELECT /*+ REBALANCE(`{partition}`) */ {columns} FROM {{new}}", new=renamed)
 
 
 def query_view(df: DataFrame, name: str, sql: str) -> DataFrame:
-    """Register a frame as a view and query it as text."""
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.sql(sql)
+    """Query a frame as text, where ``{name}`` stands for it. The view lives as long as the statement, so no
+    view of the caller's is replaced."""
+    return df.sparkSession.sql(sql, **{name: df})

@@ -10,48 +10,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import scratch
 from millrace.sources.files import STRICT, as_text, fitting
 
 
-def csv_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1) -> DataFrame:
+def _per_batch(files: int | None) -> dict[str, int]:
+    return {} if files is None else {"maxFilesPerTrigger": files}
+
+
+def csv_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
     """CSV files with a header as a stream; records that do not fit are dropped, leading blanks trimmed."""
-    rows = (
-        spark.readStream.schema(as_text(schema))
-        .options(header=True, **STRICT)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(path)
-    )
+    rows = spark.readStream.schema(as_text(schema)).options(header=True, **STRICT, **_per_batch(files_per_batch)).csv(path)
     return fitting(rows, schema)
 
 
-def text_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
-    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    return spark.readStream.options(**_per_batch(files_per_batch)).text(path)
 
 
-def run_to_files(stream: DataFrame, label: str) -> DataFrame:
+def run_to_files(stream: DataFrame, folder: str) -> DataFrame:
     """Process all files that are there, write the result and read it back.
 
-    The file sink keeps a log of finished batches and the source one of files read, both in the
-    shared folder, so a restarted query neither skips nor repeats a batch.
+    ``folder`` holds the rows, a log of the batches finished and one of the files read. Run again with the
+    same folder, after a stop or for new files, the query neither skips nor repeats a batch.
     """
     spark = stream.sparkSession
-    out = scratch(spark, label)
     query = (
         stream.writeStream.format("parquet")
-        .option("path", f"{out}/rows")
-        .option("checkpointLocation", f"{out}/log")
+        .option("path", f"{folder}/rows")
+        .option("checkpointLocation", f"{folder}/log")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
-def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], label: str) -> None:
-    """Hand every batch to a function. A batch may come twice after a failure, so ``handle`` must be
-    idempotent by batch number."""
-    log = scratch(stream.sparkSession, label)
+def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], log: str) -> None:
+    """Hand every batch to a function. With the same ``log`` folder a new run goes on after the last finished
+    batch. The batch that a stop broke off comes again, so ``handle`` must be idempotent by batch number."""
     query = (
         stream.writeStream.foreachBatch(handle)
         .option("checkpointLocation", log)

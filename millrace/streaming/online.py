@@ -9,6 +9,7 @@ from the state before it.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -18,29 +19,45 @@ from pyspark.sql import functions as F
 
 
 class StateTable:
-    """States by batch number in a folder all executors and a restarted driver see."""
+    """States by batch number in a folder all executors and a restarted driver see.
 
-    SCHEMA = "state string, batch long"
+    A state is written aside and then renamed, so a crash leaves the old state or the new one. A batch starts
+    from the state of the one before it, whose folder is known by name; older ones are removed.
+    """
+
+    KEPT = 2
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        # Batch -1 stands for the time before the first one, so there is always something to read.
-        self._write(-1, None)
+        self._new = spark._jvm.org.apache.hadoop.fs.Path
+        self._files = self._new(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, batch: int):
+        return self._new(f"{self.path}/batch={batch}")
 
-    def _write(self, batch: int, state: dict | None) -> None:
-        text = None if state is None else json.dumps(state)
-        rows = self.spark.createDataFrame([(text,)], "state string")
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+    def _batches(self) -> list[int]:
+        """The few numbers there are."""
+        if not self._files.exists(self._new(self.path)):
+            return []
+        names = [f.getPath().getName() for f in self._files.listStatus(self._new(self.path))]
+        return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
 
     def put(self, batch: int, state: dict) -> None:
-        self._write(batch, state)
+        aside = f"{self.path}/new-{uuid.uuid4().hex}"
+        self.spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.parquet(aside)
+        self._files.delete(self._at(batch), True)
+        self._files.rename(self._new(aside), self._at(batch))
+        for old in self._batches():
+            if old <= batch - self.KEPT:
+                self._files.delete(self._at(old), True)
 
     def before(self, batch: int | None = None) -> dict | None:
-        """The newest state written before this batch (or of all)."""
-        rows = self.spark.read.schema(self.SCHEMA).parquet(self.path)
-        rows = rows if batch is None else rows.where(F.col("batch") < batch)
-        newest = rows.orderBy(F.col("batch").desc()).first()
-        return None if newest is None or newest["state"] is None else json.loads(newest["state"])
+        """The state after the batch before this one, or the newest of all; None before the first batch."""
+        if batch is None:
+            batch = max(self._batches(), default=-1) + 1
+        if not self._files.exists(self._at(batch - 1)):
+            return None
+        return json.loads(self.spark.read.schema("state string").parquet(f"{self.path}/batch={batch - 1}").first()["state"])
 
 
 @dataclass
@@ -74,6 +91,8 @@ class OnlineLinear:
         row = rows.agg(F.count(F.lit(1)), *sums).first()
         n = row[0]
         if not n:
+            # A state for every batch, as the next one looks for it.
+            self.states.put(batch, {"weights": self.weights(batch).tolist()})
             return
         a = np.zeros((d, d))
         for value, (i, j) in zip(row[1 : 1 + len(pairs)], pairs, strict=True):
@@ -145,6 +164,7 @@ class OnlineKMeans:
             .collect()
         )
         if not found:
+            self.states.put(batch, {"centres": centres.tolist(), "weights": weights.tolist()})
             return
         received = np.zeros(len(centres))
         total = np.zeros_like(centres)

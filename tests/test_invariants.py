@@ -55,7 +55,8 @@ def test_predictions(run):
     assert scored.where("score < 0 OR score > 1 OR prediction NOT IN (0, 1)").count() == 0
     by_model = {r["model"]: r["count"] for r in run("ml_predict").groupBy("model").count().collect()}
     assert set(by_model) == {"forest", "boosted"} and len(set(by_model.values())) == 1
-    assert sum(r["importance"] for r in run("ml_tree_reg").collect()) == pytest.approx(1.0)
+    weights = run("ml_tree_reg").groupBy("model").sum("importance").collect()
+    assert {r["model"] for r in weights} == {"forest", "boosted"} and all(r[1] == pytest.approx(1.0) for r in weights)
 
 
 def test_grid(run):
@@ -63,6 +64,26 @@ def test_grid(run):
     assert len(rows) == 4 and max(r["score"] for r in rows) == next(r["score"] for r in rows if r["best"])
 
 
+def test_grid_over_regressors(run):
+    rows = run("ml_grid_cv_reg").collect()
+    assert len(rows) == 8
+    for model in ("forest", "boosted"):
+        own = [r for r in rows if r["model"] == model]
+        assert min(r["score"] for r in own) == next(r["score"] for r in own if r["best"])
+
+
+def test_metrics_of_fitted_models(run):
+    found = {r["model"]: r for r in run("eval_fitted_regression").collect()}
+    assert set(found) == {"forest", "boosted"} and all(0 < r["r2"] <= 1 and r["n"] > 0 for r in found.values())
+    classes = run("eval_fitted_classification").collect()
+    assert len({r["model"] for r in classes}) == len(classes) >= 3
+
+
+def test_draws_without_replacement(run):
+    rows = run("sample_n_distinct")
+    assert rows.count() == rows.select("o_orderkey").distinct().count() == 500
+
+
 def test_saved_model_predicts_alike(run, spark, sf_dir):
     from millrace.operators.models import linear_pipeline
 

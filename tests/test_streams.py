@@ -43,7 +43,7 @@ def test_stream_equals_batch(spark, files, per_batch):
     frame = spark.range(100).select("id", (F.col("id") * 1.5).alias("v"))
     path = scratch(spark, "in")
     write_csv(frame, path, files=files)
-    found = ST.run_to_files(ST.csv_stream(spark, path, frame.schema, per_batch), "out")
+    found = ST.run_to_files(ST.csv_stream(spark, path, frame.schema, per_batch), scratch(spark, "out"))
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, frame.collect()))
 
 
@@ -51,7 +51,7 @@ def test_malformed_records_are_dropped(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("id,v\n  1,2.0\nx,3.0\n4,5.0\n")
     schema = spark.createDataFrame([], "id int, v double").schema
-    found = ST.run_to_files(ST.csv_stream(spark, str(tmp_path / "in"), schema), "dropped")
+    found = ST.run_to_files(ST.csv_stream(spark, str(tmp_path / "in"), schema), scratch(spark, "dropped"))
     assert sorted(r["id"] for r in found.collect()) == [1, 4]
 
 
@@ -60,7 +60,7 @@ def test_scored_stream_equals_batch(spark, sf_dir):
     model = stages.fit(train)
     path = scratch(spark, "score")
     write_csv(test, path, files=3)
-    found = ST.run_to_files(ST.score_stream(model, ST.csv_stream(spark, path, test.schema), ["o_orderkey"]), "scored")
+    found = ST.run_to_files(ST.score_stream(model, ST.csv_stream(spark, path, test.schema), ["o_orderkey"]), scratch(spark, "scored"))
     batch = model.transform(test).select("o_orderkey", "prediction")
     assert sorted((r["o_orderkey"], r["prediction"]) for r in found.collect()) == sorted(map(tuple, batch.collect()))
 
@@ -81,7 +81,7 @@ def replay_linear(batches, step, iterations, tolerance):
 def test_online_linear_replay(spark):
     batches = make_batches(1, [40, 25, 60])
     model = OnlineLinear(3, 0.2, 25, states=StateTable(spark, scratch(spark, "linear")))
-    ST.run_batches(ST.parse_labelled(ST.text_stream(spark, write_points(spark, batches))), model.update, "log")
+    ST.run_batches(ST.parse_labelled(ST.text_stream(spark, write_points(spark, batches), 1)), model.update, scratch(spark, "log"))
     assert model.weights() == pytest.approx(replay_linear(batches, 0.2, 25, 0.001), rel=1e-9)
 
 
@@ -100,7 +100,7 @@ def test_online_kmeans_replay(spark, decay):
     batches = make_batches(3, [30, 50])
     start = [[0.1, 0.1, 0.1], [0.9, 0.9, 0.9]]
     model = OnlineKMeans(start, 1.0, decay, states=StateTable(spark, scratch(spark, "kmeans")))
-    ST.run_batches(ST.parse_labelled(ST.text_stream(spark, write_points(spark, batches))), model.update, "log")
+    ST.run_batches(ST.parse_labelled(ST.text_stream(spark, write_points(spark, batches), 1)), model.update, scratch(spark, "log"))
     centres, weights = np.array(start), np.ones(2)
     for rows in batches:
         x = np.array([r[1] for r in rows])
@@ -119,3 +119,48 @@ def test_dying_cluster_is_split(spark):
     model.update(spark.createDataFrame([([0.5],), ([1.5],)], "features array<double>"), 0)
     centres, weights = model.state()
     assert weights == pytest.approx([1.0, 1.0]) and centres[:, 0] == pytest.approx([1.0, 1.0])
+
+
+def test_stopped_stream_goes_on(spark):
+    """A run that breaks off in its second batch, started again with the same folders, equals an uncut one."""
+    batches = make_batches(4, [30, 20, 40])
+    path, log, states = write_points(spark, batches), scratch(spark, "log"), scratch(spark, "states")
+    seen = []
+
+    def run(stop_at=None):
+        model = OnlineLinear(3, 0.2, 25, states=StateTable(spark, states))
+
+        def handle(rows, batch):
+            seen.append(batch)
+            model.update(rows, batch)
+            if batch == stop_at:
+                raise RuntimeError("stop")
+
+        ST.run_batches(ST.parse_labelled(ST.text_stream(spark, path, 1)), handle, log)
+        return model
+
+    with pytest.raises(Exception, match="stop"):
+        run(stop_at=1)
+    model = run()
+    assert seen == [0, 1, 1, 2]
+    assert model.weights() == pytest.approx(replay_linear(batches, 0.2, 25, 0.001), rel=1e-9)
+    run()
+    assert seen == [0, 1, 1, 2] and len(model.states._batches()) <= StateTable.KEPT
+
+
+def test_stream_to_files_takes_up_new_files(spark):
+    path, folder = write_points(spark, make_batches(5, [5, 5])), scratch(spark, "rows")
+    read = lambda: ST.run_to_files(ST.parse_labelled(ST.text_stream(spark, path, 1)).select("label"), folder)
+    assert read().count() == 10 and read().count() == 10
+    with open(f"{path}/part-009.txt", "w") as out:
+        out.write("(1.5,[1,2,3])\n")
+    assert read().count() == 11
+
+
+def test_empty_batch_keeps_the_state(spark):
+    model = OnlineLinear(2, initial=[1.0, 2.0], states=StateTable(spark, scratch(spark, "empty")))
+    empty = spark.createDataFrame([], "label double, features array<double>")
+    model.update(empty, 0)
+    model.update(spark.createDataFrame([(1.0, [1.0, 0.0])], empty.schema), 1)
+    model.update(empty, 2)
+    assert model.weights()[0] == pytest.approx(1.0) and model.weights()[1] == pytest.approx(2.0)
