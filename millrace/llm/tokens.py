@@ -2,22 +2,25 @@
 
 A word BPE file cuts a text into words before it merges, and never joins characters across a space. So
 the ids of a text are those of its space-separated parts in turn. Parts not seen before go to the
-library, many at a time; those that are one word, with or without a stop after it, skip the steps
-that only find words. Any other kind of file is handed whole texts. ``tests/llm`` compares the outcome
-with whole texts in both cases.
+library, many at a time. Those that are one word of Latin letters, with or without a stop after it, skip
+the steps that only find words: the merges alone are run on them, and the mark that such a file puts on the
+last token of a word tells where the next one begins. Splitting and finding equal parts is left to Arrow,
+so Python sees each distinct part of a batch once. Any other kind of file is handed whole texts.
+``tests/llm`` compares the outcome with whole texts in both cases.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import unicodedata
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Parts kept per worker. When full, the store starts anew; ids don't depend on it.
-KEPT = 400_000
+KEPT = 600_000
 #: Parts given to the library at once.
 _TOGETHER = 5_000
 _STOPS = ".,;:!?"
@@ -25,6 +28,12 @@ _STOPS = ".,;:!?"
 # How the file must cut words for the shortcut to hold.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMAL = ["NFC", "Replace", "Lowercase"]
+_WORD_END = "</w>"
+
+# Letters outside Latin, and the one Latin letter whose small form is two characters.
+_FAR = "[\u0130\u0250-\U0010ffff]"
+_SMALL = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c == c.lower())
+_ONE_WORD = f"^[{_SMALL}]+[{_STOPS}]?$"
 
 _encoders: dict[str, Encoder] = {}
 
@@ -39,11 +48,22 @@ def _cuts_words(library) -> bool:
     kind = json.loads(library.to_str())
     normal = [n["type"] for n in (kind["normalizer"] or {}).get("normalizers", [])]
     cut = (kind["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
-    return normal == _NORMAL and cut.get("pattern") == {"Regex": _WORDS} and bool(cut.get("invert"))
+    marked = kind["model"].get("end_of_word_suffix") == _WORD_END
+    return marked and normal == _NORMAL and cut.get("pattern") == {"Regex": _WORDS} and bool(cut.get("invert"))
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte; visible Latin-1 characters stand for themselves."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)} | {0x20: " "}
 
 
-def _one_word(part: str) -> bool:
-    return part.isalpha() and (part.isascii() or part.lower().isalpha() and unicodedata.is_normalized("NFC", part))
+def _parts(texts: pa.Array) -> pa.ListArray:
+    """The space-separated parts of each text, in small letters where that is all the library would do."""
+    kept = pc.match_substring_regex(texts, _FAR + r"|<\|")
+    small = pc.if_else(kept, texts, pc.utf8_lower(texts))
+    return pc.split_pattern(pc.replace_substring(small, "\n", " "), " ")
 
 
 class Encoder:
@@ -51,14 +71,16 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.by_words = _cuts_words(self.library)
-        self.light = Tokenizer(self.library.model)
-        self.light.normalizer = normalizers.Lowercase()
-        cut, as_bytes = pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.light.pre_tokenizer = pre_tokenizers.Sequence([cut, as_bytes])
+        self.merges = Tokenizer(self.library.model)
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.letters = _byte_letters()
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
         self.stops = {s: self._whole([s])[0] for s in _STOPS}
         self.parts: dict[str, bytes] = {}
 
@@ -67,41 +89,56 @@ class Encoder:
         return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
 
     def _learn(self, parts: Sequence[str]) -> None:
-        words, stops, names, odd = [], [], [], []
-        for part in parts:
-            stop = self.stops.get(part[-1:], b"")
-            word = part[:-1] if stop else part
-            if _one_word(word):
-                words.append(word)
-                stops.append(stop)
-                names.append(part)
-            else:
-                odd.append(part)
+        every = pa.array(parts, pa.string())
+        simple = pc.match_substring_regex(every, _ONE_WORD)
+        names = every.filter(simple).to_pylist()
+        words = pc.utf8_rtrim(every.filter(simple), _STOPS).to_pylist()
+        stops = [self.stops.get(n[-1], b"") for n in names]
         for at in range(0, len(words), _TOGETHER):
             here = slice(at, at + _TOGETHER)
-            found = self.light.encode(" ".join(words[here]), add_special_tokens=False)
-            cuts = np.searchsorted(np.array(found.word_ids), np.arange(len(words[here]) + 1))
-            self._keep(names[here], found.ids, cuts, stops[here])
+            joined = " ".join(words[here])
+            if not joined.isascii():
+                joined = joined.encode().decode("latin-1").translate(self.letters)
+            ids = np.array(self.merges.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+            self._keep(names[here], ids, np.flatnonzero(self.ends[ids]) + 1, stops[here])
+        odd = every.filter(pc.invert(simple)).to_pylist()
         for at in range(0, len(odd), _TOGETHER):
             some = odd[at : at + _TOGETHER]
             found = self.library.encode(" ".join(some), add_special_tokens=False)
             places = np.array([a for a, _ in found.offsets], dtype=np.int64)
-            cuts = np.searchsorted(places, np.cumsum([0, *[len(p) + 1 for p in some]]))
-            self._keep(some, found.ids, cuts, [b""] * len(some))
+            cuts = np.searchsorted(places, np.cumsum([len(p) + 1 for p in some]))
+            self._keep(some, np.array(found.ids, dtype="<u4"), cuts, [b""] * len(some))
 
-    def _keep(self, names: Sequence[str], ids: Sequence[int], cuts: np.ndarray, stops: Sequence[bytes]) -> None:
-        raw, at = np.array(ids, dtype="<u4").tobytes(), (4 * cuts).tolist()
-        for name, a, b, stop in zip(names, at, at[1:], stops, strict=False):
-            self.parts[name] = raw[a:b] + stop
+    def _keep(self, names: Sequence[str], ids: np.ndarray, ends: np.ndarray, stops: Sequence[bytes]) -> None:
+        raw, at = ids.tobytes(), (4 * ends).tolist()
+        pieces = [raw[a:b] + s for a, b, s in zip([0, *at[:-1]], at, stops, strict=True)]
+        self.parts.update(zip(names, pieces, strict=True))
 
-    def __call__(self, texts: Sequence[str]) -> list[bytes]:
+    def __call__(self, texts: pa.Array | Sequence[str]) -> list[bytes]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if not self.by_words:
-            return self._whole(texts)
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+            return self._whole(texts.to_pylist())
+        if not len(texts):
+            return []
         if len(self.parts) > KEPT:
             self.parts.clear()
-        self._learn(list(set().union(*split).difference(self.parts)))
-        return [b"".join(map(self.parts.__getitem__, parts)) for parts in split]
+        split = _parts(texts)
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        pieces = list(map(self.parts.get, distinct))
+        gaps = [i for i, piece in enumerate(pieces) if piece is None]
+        self._learn([distinct[i] for i in gaps])
+        for i in gaps:
+            pieces[i] = self.parts[distinct[i]]
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        flat, starts = np.frombuffer(b"".join(pieces), "<u4"), np.cumsum(lengths) - lengths
+        # The ids of every part in turn: each run of places starts where its part's ids start.
+        at = coded.indices.to_numpy()
+        size = lengths[at]
+        ends = np.cumsum(size)
+        ids = flat[np.repeat(starts[at] - (ends - size), size) + np.arange(ends[-1])]
+        raw, cuts = ids.tobytes(), np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4
+        return [raw[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
 
 
 def encoder(path: str) -> Encoder:
