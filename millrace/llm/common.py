@@ -73,13 +73,13 @@ def number_rows(df: DataFrame, key: Column, order: Sequence[Column], output: str
     )
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut so that each holds about SLICE_CHARS of text, or one longer text."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut so that each holds about ``size`` bytes of text, or one longer text."""
     for batch in batches:
         lengths = pa.compute.binary_length(batch.column(text)).to_pylist()
         first = held = 0
         for at, length in enumerate(lengths):
-            if held and held + (length or 0) > SLICE_CHARS:
+            if held and held + (length or 0) > size:
                 yield batch.slice(first, at - first)
                 first, held = at, 0
             held += length or 0
@@ -100,19 +100,34 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of an edge table (a, b); the component is its least node.
 
-    Each round takes the least label among a node's neighbours, then the label of that label. Both steps
-    are joins of stored tables, so a node with very many edges is split by adaptive execution. Rounds
-    grow with the logarithm of the longest path; each is written to the shared folder.
+    Each round ties every node to its least neighbour, follows these ties to their ends, and goes on with the
+    edges between ends. Ends are fewer than half of the nodes or close to it, so rounds are few and each is
+    smaller than the last; following takes as many steps as the logarithm of the longest chain. All steps are
+    joins of stored tables, so a node with very many edges is split by adaptive execution.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = materialise(both.where("a <> b").distinct(), "links")
-    labels = materialise(links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    found = materialise(links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("up")), "ups")
+    ends = _ends(found)
+    whole = ends
     while True:
-        near = links.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        hooked = labels.join(near, labels.node == near.a).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        hooked = materialise(hooked, "hooked")
-        roots = hooked.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        jumped = materialise(hooked.join(roots, "label").select("node", "old", F.col("root").alias("label")), "labels")
-        labels = jumped.select("node", "label")
-        if not jumped.where("label <> old").head(1):
-            return labels.select("node", F.col("label").alias("component"))
+        at = ends.select(F.col("node").alias("a"), F.col("up").alias("x"))
+        to = ends.select(F.col("node").alias("b"), F.col("up").alias("y"))
+        left = links.join(at, "a").join(to, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        links = materialise(left.distinct(), "links")
+        if not links.head(1):
+            return whole.select("node", F.col("up").alias("component"))
+        found = materialise(links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("up")), "ups")
+        ends = _ends(found)
+        last = ends.select(F.col("node").alias("up"), F.col("up").alias("end"))
+        whole = whole.join(last, "up", "left").select("node", F.coalesce("end", "up").alias("up"))
+
+
+def _ends(ups: DataFrame) -> DataFrame:
+    """Follow (node, up) until every ``up`` is its own."""
+    while True:
+        nexts = ups.select(F.col("node").alias("up"), F.col("up").alias("next"))
+        further = materialise(ups.join(nexts, "up").select("node", "up", "next"), "ends")
+        if not further.where("next <> up").head(1):
+            return ups
+        ups = further.select("node", F.col("next").alias("up"))

@@ -85,7 +85,8 @@ def index(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             keys.append(part_keys(tokens, num, den) if doc is not None and len(tokens) else tokens[:0])
         lengths = [len(k) for k in keys]
         every, owner = np.concatenate(keys) if keys else np.zeros(0, np.uint64), np.repeat(np.arange(len(ids)), lengths)
-        order = np.argsort(every, kind="stable")
+        node = np.array([0 if d is None else d for d in ids], dtype=np.int64)
+        order = np.lexsort((node[owner], every))
         ascending = every[order]
         new = np.ones(len(every), dtype=bool)
         new[1:] = ascending[1:] != ascending[:-1]
@@ -93,7 +94,6 @@ def index(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
         kept = np.zeros(len(every), dtype=bool)
         kept[order[new]] = True
         pairs = np.unique(np.stack([owner[order[~new]], owner[head[~new]]], axis=1), axis=0)
-        node = np.array([0 if d is None else d for d in ids], dtype=np.int64)
 
         def lists(of: np.ndarray, values: np.ndarray) -> pa.ListArray:
             """One list per row from values whose row numbers ascend."""
@@ -110,11 +110,10 @@ def index(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
 
 
 def ties(indexed: DataFrame) -> DataFrame:
-    """(a, b): each member of a list with the one before it, and what tasks tied themselves."""
+    """(a, b): each member of a list with its least one, and what tasks tied themselves."""
     listed = indexed.select(F.col("doc_id").alias("a"), F.explode("keys").alias("key"))
     # A list has at most one row for each slice of the input.
-    before = F.lag("a").over(Window.partitionBy("key").orderBy("a"))
-    across = listed.select("a", before.alias("b")).where("b is not null")
+    across = listed.select("a", F.min("a").over(Window.partitionBy("key")).alias("b")).where("a <> b")
     return across.union(indexed.select(F.col("doc_id").alias("a"), F.explode("tied").alias("b")))
 
 

@@ -3,7 +3,7 @@
 Candidates come as ties (pairs of documents). Tied documents form families; within a family equal sets are
 one, and sets meet in cells of bounded size: the sets of a family are dealt into blocks by size class and
 hash, and every two blocks whose sizes allow a link share a cell. A cell computes all overlaps of its sets and
-gives back a spanning forest of the links it finds, never all pairs.
+gives back one pair for each set that a link connects to others, never all pairs.
 
 In a cell, the overlaps of a set with all others are derived from those of the most similar set done
 before: only the index lists of the shingles in which the two differ are added and taken away.
@@ -20,7 +20,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import components, map_arrow, slices, texts
@@ -72,46 +72,50 @@ def overlaps(sets: Sequence[np.ndarray]) -> np.ndarray:
     return found
 
 
-def forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of a symmetric matrix of links."""
+def stars(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Each member of a component of a symmetric matrix of links, with the first one."""
     left, out = np.ones(len(linked), dtype=bool), []
     for root in range(len(linked)):
         if not left[root]:
             continue
         left[root], queue = False, [root]
         while queue:
-            node = queue.pop()
-            new = np.flatnonzero(linked[node] & left)
+            new = np.flatnonzero(linked[queue.pop()] & left)
             left[new] = False
-            out += [(node, int(n)) for n in new]
+            out += [(root, int(n)) for n in new]
             queue += new.tolist()
     return out
 
 
 def links_of(ids: Sequence[int], sets: Sequence[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs with den * |a & b| >= num * |a | b|."""
+    """What the pairs with den * |a & b| >= num * |a | b| connect: each set with the first of its component."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     shared = overlaps(sets)
     linked = den * shared >= num * (sizes[:, None] + sizes[None, :] - shared)
-    return [(ids[a], ids[b]) for a, b in forest(linked)]
+    return [(ids[a], ids[b]) for a, b in stars(linked)]
 
 
 def _cells(families: DataFrame, num: int, den: int) -> DataFrame:
     """(set_id, cell): the cells of every distinct set, from (family, set_id, n_shingles)."""
     sums = families.groupBy("family").agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("shingles"))
     large = (F.col("sets") > BLOCK_SETS) | (F.col("shingles") > BLOCK_SHINGLES)
-    sums = materialise(sums.select("family", large.alias("large"), F.col("sets")).where("sets > 1"), "families")
+    sums = materialise(sums.where("sets > 1").select("family", large.alias("large")), "families")
     # A little wider than the ratio of linked sizes, so that these are at most one class apart.
     width = math.log(den / num * 1.001)
     cls = F.when(F.col("large"), F.floor(F.log(F.col("n_shingles").cast("double")) / width)).otherwise(0).cast("long")
-    placed = materialise(families.join(sums, "family").withColumn("cls", cls).drop("sets", "large"), "placed")
+    placed = families.join(sums, "family").withColumn("cls", cls).drop("large")
     counts = placed.groupBy("family", "cls").agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("long")
-    counts = materialise(counts.select("family", "cls", blocks.alias("k")), "counts")
     # At most a few hundred size classes for a family.
-    near = counts.join(counts.select("family", (F.col("cls") - 1).alias("cls"), F.col("k").alias("k_next")), ["family", "cls"], "left")
-    near = near.join(counts.select("family", (F.col("cls") + 1).alias("cls"), F.col("k").alias("k_last")), ["family", "cls"], "left")
-    known = placed.join(materialise(near, "near"), ["family", "cls"]).withColumn("i", F.pmod(F.xxhash64("set_id"), F.col("k")))
+    along = Window.partitionBy("family").orderBy("cls")
+
+    def beside(by: int):
+        """Blocks of the next class, or of the last one; null where there is none."""
+        there = F.lead if by > 0 else F.lag
+        return F.when(there("cls").over(along) == F.col("cls") + by, there("k").over(along))
+
+    near = counts.select("family", "cls", blocks.alias("k")).withColumns({"k_next": beside(1), "k_last": beside(-1)})
+    known = placed.join(materialise(near, "blocks"), ["family", "cls"]).withColumn("i", F.pmod(F.xxhash64("set_id"), F.col("k")))
 
     def named(c1, i, c2, j):
         return F.concat_ws(":", F.col("family"), c1, i, c2, j)
@@ -127,12 +131,13 @@ def _cells(families: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def verified_links(docs: DataFrame, families: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """(a, b): links that connect what is connected within each family of distinct sets.
+    """(a, b): pairs that connect what links connect within each family of distinct sets.
 
-    Texts are read once more, for the sets of families only, and travel to their cells as texts.
+    Texts are read once more, and those of families travel to their cells as texts. The join is a merge at
+    every size: how many texts are in families is known only now, and grows with the table.
     """
     cells = materialise(_cells(families, num, den), "cells")
-    some = texts(docs).join(cells, F.col("doc_id") == F.col("set_id")).select("cell", "set_id", "text")
+    some = texts(docs).join(cells.hint("merge"), F.col("doc_id") == F.col("set_id")).select("cell", "set_id", "text")
     dealt = some.repartition("cell").sortWithinPartitions("cell", "set_id")
 
     def run(batches):
