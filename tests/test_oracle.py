@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from millrace.plans.catalog import QUERIES
 from tools import compare
 
-PYTHON = {"agg_chi2_p", "fc_grouped_map", "udf_grouped_map"}
+PYTHON = {"fc_grouped_map", "udf_grouped_map"}
 
 
 def native(df):
@@ -16,7 +17,7 @@ def native(df):
         assert node not in plan
 
 
-@pytest.mark.parametrize("key", list(entry.queries()))
+@pytest.mark.parametrize("key", list(QUERIES))
 def test_query(spark, con, sf_dir, key):
     assert compare.compare(spark, con, key, sf_dir, None if key in PYTHON else native) == ""
 
