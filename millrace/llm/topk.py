@@ -4,8 +4,8 @@ Vectors are dealt into blocks of bounded size. A block's index has, for each com
 descending order of the value, cut into segments of one quantised level. A query takes segments of
 all components together in descending order of impact (its own component times the best value of the
 segment), adds their exact contributions, and keeps for every row what it can still gain or lose at most.
-It stops when fewer rows than a bound can reach the k-th best score that is certain so far; the rows left
-are scored exactly. Nothing else can be in the answer, ties included.
+After each round, rows that provably cannot reach the k-th best score are out; when a round rules out little,
+the rows left, all that can be in the answer, ties included, are scored exactly.
 
 Queries travel to every block in groups, and each (group, block) gives back k rows for a query. Equal scores
 go to the smaller id. Rows with a null id, or with a null vector or one holding null or non-finite values,
@@ -25,11 +25,14 @@ from pyspark.sql import functions as F
 
 from millrace.session import materialise
 
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 16_384
 GROUP_QUERIES = 512
 LEVELS = 32
 #: Rounds end at these shares of a query's greatest impact; the last one takes all segments.
-_SHARES = (0.5, 0.25, 0.125, 0.0625, 0.0)
+_SHARES = (0.4, 0.25, 0.16, 0.1, 0.05, 0.0)
+#: A search goes on while a round rules out this share of the rows left, as 1 in so many. Scoring a row exactly
+#: costs less than walking its share of the lists, so where bounds tell little, all that can win is scored.
+WORTH = 8
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
@@ -47,62 +50,79 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(-vectors, axis=0, kind="stable")
-        self.values = np.take_along_axis(vectors, self.order, axis=0)
+        # One list per component, each in one piece of memory.
+        columns = np.ascontiguousarray(vectors.T)
+        self.order = np.argsort(-columns, axis=1, kind="stable").astype(np.int32)
+        self.values = np.take_along_axis(columns, self.order, axis=1)
         low, high = (int(vectors.min()), int(vectors.max())) if vectors.size else (0, 0)
         self.width = max(1, -(-(high - low + 1) // LEVELS))
-        self.low = low
+        self.low, self.high, self.exact = low, high, vectors.astype(np.float64)
 
     def _cuts(self, d: int) -> np.ndarray:
         """Where the quantised level of component ``d`` changes along its list, both ends included."""
-        level = (self.values[:, d] - self.low) // self.width
+        level = (self.values[d] - self.low) // self.width
         return np.concatenate([[0], np.flatnonzero(np.diff(level)) + 1, [len(level)]])
 
     def prepare(self) -> None:
         self.segments = [self._cuts(d) for d in range(self.vectors.shape[1])]
 
     def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-        """(id, score) of the best ``k`` rows for a query, best first."""
+        """(id, score) of the best ``k`` rows for a query, best first.
+
+        An impact is the size of a contribution, so lists are walked from both ends: what is left of a list lies
+        between its two next segments.
+        """
         n, dims = self.vectors.shape
-        active = np.flatnonzero(query[:dims])
-        sure = np.zeros(n, dtype=np.float64)
-        open_ = np.ones((n, dims))
-        bounds, worst = [], np.zeros(dims)
-        for d in active:
-            q, cuts, values = float(query[d]), self.segments[d], self.values[:, d]
-            # Best contribution of each segment, in the order in which the list is walked.
-            bounds.append(q * (values[cuts[:-1]] if q > 0 else values[cuts[1:] - 1][::-1]))
-            worst[d] = q * float(values[-1] if q > 0 else values[0])
-        top = max((b[0] for b in bounds), default=0.0)
-        taken = [0] * len(active)
         eligible = self.ids != own
         few = min(k, int(eligible.sum()))
+        sure, open_ = np.zeros(n), np.ones((dims, n), dtype=np.float32)
+        walks = []
+        for d in np.flatnonzero(query[:dims]):
+            cuts = self.segments[d]
+            first, last = float(query[d]) * self.values[d][cuts[:-1]], float(query[d]) * self.values[d][cuts[1:] - 1]
+            # Greatest and least contribution of every segment, from the end with the greatest.
+            high, low = (first, last) if query[d] > 0 else (last[::-1], first[::-1])
+            walks.append((d, cuts if query[d] > 0 else cuts[::-1], high, low))
+        top = max((max(high[0], -low[-1]) for *_, high, low in walks), default=0.0)
+        done = [(0, len(high)) for *_, high, _ in walks]
         maybe = np.flatnonzero(eligible)
-        for share in (*_SHARES, -np.inf):
-            limit = share * top if top > 0 else -np.inf
-            rest = np.zeros(dims)
-            for at, d in enumerate(active):
-                cuts, bound, count = self.segments[d], bounds[at], len(bounds[at])
-                upto = int(np.searchsorted(-bound, -limit, side="right"))
-                if upto > taken[at]:
-                    a, b = (cuts[taken[at]], cuts[upto]) if query[d] > 0 else (cuts[count - upto], cuts[count - taken[at]])
-                    rows = self.order[a:b, d]
-                    sure[rows] += float(query[d]) * self.values[a:b, d]
-                    open_[rows, d] = 0.0
-                    taken[at] = upto
-                if taken[at] < count:
-                    rest[d] = bound[taken[at]]
-            best, least = sure + open_ @ rest, sure + open_ @ worst
-            if few:
-                floor = np.partition(least[eligible], -few)[-few]
-                # Sums of products below 2^53 are exact; beyond, allow for rounding.
-                maybe = np.flatnonzero(eligible & (best >= floor - 1e-9 * abs(floor)))
-            if len(maybe) <= max(4 * k, n // 64) or top <= 0:
+        for share in _SHARES:
+            limit, most, least = share * top, np.zeros(dims, dtype=np.float32), np.zeros(dims, dtype=np.float32)
+            for at, (d, cuts, high, low) in enumerate(walks):
+                start, stop = done[at]
+                i = max(start, int(np.searchsorted(-high, -limit, side="right")))
+                j = max(i, min(stop, int(np.searchsorted(-low, limit, side="left"))))
+                for a, b in ((start, min(i, stop)), (j, stop)):
+                    if a < b:
+                        a, b = sorted((cuts[a], cuts[b]))
+                        rows = self.order[d, a:b]
+                        sure[rows] += float(query[d]) * self.values[d, a:b]
+                        open_[d, rows] = 0.0
+                done[at] = (min(i, stop), j)
+                if i < j:
+                    most[d], least[d] = high[i], low[j - 1]
+            if not few:
+                break
+            # The sums are rounded; the margin is far above what rounding to 32 bits can add up to.
+            margin = 1e-5 * (1.0 + float(np.abs(most).sum() + np.abs(least).sum())) + 1e-9 * float(np.abs(sure).max())
+            best, worst = sure + most @ open_ + margin, sure + least @ open_ - margin
+            floor = np.partition(worst[eligible], -few)[-few]
+            left, maybe = len(maybe), np.flatnonzero(eligible & (best >= floor))
+            if WORTH * (left - len(maybe)) < left:
                 break
-        scores = self.vectors[maybe] @ query[:dims]
-        order = np.lexsort((self.ids[maybe], -scores))[:k]
+        if not few:
+            return []
+        scores = self._scores(maybe, query[:dims])
+        won = np.flatnonzero(scores >= np.partition(scores, -few)[-few])
+        order = won[np.lexsort((self.ids[maybe[won]], -scores[won]))[:k]]
         return [(int(self.ids[maybe[i]]), int(scores[i])) for i in order]
 
+    def _scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Exact scores: in floating point where all sums are whole numbers below 2^53."""
+        if float(np.abs(query).sum()) * max(abs(self.low), abs(self.high)) < 2.0**53:
+            return (self.exact if len(rows) == len(self.exact) else self.exact[rows]) @ query.astype(np.float64)
+        return self.vectors[rows] @ query
+
 
 def _packed(rows: DataFrame, at: str) -> DataFrame:
     """One row per value of ``at``: (at, n, dims, ids, values) with row-major 64-bit values."""
