@@ -18,7 +18,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import similar_sets
@@ -79,11 +79,10 @@ def fingerprints_with_next(docs: DataFrame) -> DataFrame:
     # One row per block: its first document, and the block before it among those that have rows.
     first = F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("id"), "__hash"))
     heads = materialise(cut.groupBy("__block").agg(first.alias("head")), "heads")
-    blocks = sorted(row["__block"] for row in heads.select("__block").collect())
-    before = F.create_map(*[F.lit(x) for pair in zip(blocks, blocks[-1:] + blocks[:-1], strict=True) for x in pair]) if blocks else None
-    if before is None:
-        return docs.sparkSession.createDataFrame([], FOUND)
-    lead = heads.select(F.col("head.id").alias("__id"), F.col("head.__hash").alias("__h"), before[F.col("__block")].alias("__to"))
+    # One row per block in these windows.
+    along, whole = Window.orderBy("__block"), Window.partitionBy()
+    before = F.coalesce(F.lag("__block").over(along), F.max("__block").over(whole))
+    lead = heads.select(F.col("head.id").alias("__id"), F.col("head.__hash").alias("__h"), before.alias("__to"))
     copies = rows.withColumn("__hash", F.xxhash64("text")).join(
         F.broadcast(lead), (F.coalesce(key, F.lit(-(1 << 63))) == F.col("__id")) & (F.col("__hash") == F.col("__h"))
     )
