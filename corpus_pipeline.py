@@ -28,7 +28,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     groups = ngram_join.components_of(docs)
     kept = groups.where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
     kept = materialise(kept, "kept")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
+    # A merge at every size: how many documents stay is known only now, and grows with the table.
+    return docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

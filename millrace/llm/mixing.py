@@ -90,6 +90,7 @@ def take(docs: DataFrame, copies: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as ``mix`` says; rows that repeat an id share its greatest number."""
     known = copies.groupBy("doc_id").agg(F.max("copies").alias("__copies")).where(F.col("__copies") > 0)
     known = materialise(known.withColumnRenamed("doc_id", "__taken"), "copies")
-    joined = docs.join(known, docs["doc_id"].eqNullSafe(F.col("__taken")))
+    # A merge at every size, as what is taken grows with the table.
+    joined = docs.join(known.hint("merge"), docs["doc_id"].eqNullSafe(F.col("__taken")))
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
     return joined.withColumn("__copy", each).select(*docs.columns)

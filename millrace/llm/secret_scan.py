@@ -142,12 +142,13 @@ def written(spans: Column) -> Column:
 def redact(docs: DataFrame, ledger: str, rules: Mapping[str, Rule] = RULES, mark: str = "[secret]") -> DataFrame:
     """The rows with every found span replaced by ``mark``; rows without findings keep their text.
 
-    ``n_chars``, where the column exists, follows the new text. Overlapping spans become one mark.
+    ``n_chars``, where the column exists, follows the new text. Overlapping spans become one mark. The join is a
+    merge at every size, as findings grow with the table.
     """
     extend(docs, ledger, rules)
     found = materialise(findings(docs.sparkSession, ledger, rules).where(F.size("spans") > 0), "findings")
     found = found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    rows = docs.withColumn("__key", blob_id(F.col("text"))).join(found, F.col("__key") == F.col("__blob"), "left")
+    rows = docs.withColumn("__key", blob_id(F.col("text"))).join(found.hint("merge"), F.col("__key") == F.col("__blob"), "left")
     # Spans ascend by start; fold them into (text so far, place reached).
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
 
