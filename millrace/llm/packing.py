@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import slices, texts
-from millrace.llm.tokens import default_path, encoder
+from millrace.llm.tokens import SLICE, default_path, encoder
 from millrace.session import materialise
 
 WINDOW = 4096
@@ -47,9 +47,9 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
 
     def run(batches):
         encode, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), Counter()
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             rows: list[tuple] = []
-            for doc, raw in zip(batch["doc_id"].to_pylist(), encode(batch["text"].to_pylist()), strict=True):
+            for doc, raw in zip(batch["doc_id"].to_pylist(), encode(batch["text"]), strict=True):
                 raw += end
                 total = len(raw) // 4
                 for start, length in cut(total, window):

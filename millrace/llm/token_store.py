@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import bases, block_count, cut_points, slices, texts, with_block
-from millrace.llm.tokens import default_path, encoder
+from millrace.llm.tokens import SLICE, default_path, encoder
 
 END_ID = 1
 SEGMENT_IDS = 1 << 17
@@ -97,8 +97,8 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
             return pa.RecordBatch.from_pylist([row], schema=_segment_schema())
 
         size = 0
-        for batch in slices(batches):
-            raws = encode(batch["text"].to_pylist())
+        for batch in slices(batches, size=SLICE):
+            raws = encode(batch["text"])
             for at, doc, raw in zip(batch["__block"].to_pylist(), batch["doc_id"].to_pylist(), raws, strict=True):
                 if held and (at != block or size + len(raw) // 4 >= segment_ids):
                     yield flush()

@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 KEPT = 600_000
 #: Parts given to the library at once.
 _TOGETHER = 5_000
+#: Bytes of text worth handing over at a time: the more, the fewer parts are distinct.
+SLICE = 8_000_000
 _STOPS = ".,;:!?"
 
 # How the file must cut words for the shortcut to hold.
