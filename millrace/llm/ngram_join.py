@@ -6,9 +6,10 @@ differ. So two linked sets agree in whole parts, and a list holds the sets that
 that differs in a part is skipped with it. Sets are indexed by size class, and also in the next class where a
 linked set could be that large.
 
-Three parts more than can differ are made, so that linked sets agree in at least three. Parts without
-shingles say little and have no list of their own; sets with three or more of them are listed
-under each three, which is very rare. So no link is lost.
+Parts without shingles say little and have no list of their own. Parts are so many that a set nearly always
+fills more of them than linked sets can differ in; then one that it fills is the same in every set linked
+to it. Two linked sets that both fill fewer meet by prefix: each is also listed under as many of its first
+shingles as hold at least one that both have. So no link is lost, at any ratio and length.
 
 A task ties the sets it holds itself and sends one of them to each list, so a list never grows beyond the
 number of slices of the input. Lists only tie sets into families; ``similar_sets`` compares whole sets.
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from functools import cache
-from itertools import combinations
+from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,9 @@ from millrace.session import materialise
 SIZE = 3
 #: Ratio of the sizes at which a size class starts and ends.
 CLASS_RATIO = 1.4
+#: Parts filled beyond those that can differ, as expected: so many, and so many deviations of the empty ones.
 SPARE_PARTS = 3
+SPARE_DEVIATIONS = 2
 
 
 @cache
@@ -49,28 +52,41 @@ def class_starts() -> list[int]:
     return starts
 
 
+@cache
+def part_count(cls: int, num: int, den: int) -> tuple[int, int]:
+    """In how many parts linked sets of a class can differ, and how many are made."""
+    start, most = class_starts()[cls], class_starts()[cls + 1] - 1
+    differ, least = 2 * most * (den - num) // (den + num), -(-start * num // den)
+    fewest = differ + SPARE_PARTS
+    # Sets of a few shingles need not fill enough of any number of parts; theirs stay the fewest.
+    for parts in range(fewest, max(least, fewest + 1)):
+        empty = parts * exp(-least / parts)
+        if parts - empty - SPARE_DEVIATIONS * sqrt(empty) >= differ + 1:
+            return differ, parts
+    return differ, fewest
+
+
 def part_keys(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
     """Keys of the lists that a set (its ascending hashes) is in; equal sets have equal keys."""
     starts, n = class_starts(), len(tokens)
     first, last = bisect_right(starts, n) - 1, bisect_right(starts, n * den // num) - 1
     mixed = mix(tokens ^ np.uint64(0x9E3779B97F4A7C15))
     keys = [mix(mixed.sum(dtype=np.uint64, keepdims=True))]
+    sparse = False
     for cls in range(first, last + 1):
-        most = starts[cls + 1] - 1
-        differ = 2 * most * (den - num) // (den + num)
+        differ, parts = part_count(cls, num, den)
         if not differ:
             continue  # linked sets of this size are equal, which the first key says
-        parts = differ + SPARE_PARTS
         part = (tokens >> np.uint64(20)) % np.uint64(parts)
         order = np.argsort(part, kind="stable")
         filled, at = np.unique(part[order], return_index=True)
         sums = np.add.reduceat(mixed[order], at)
         label = mix(np.uint64(cls) << np.uint64(40) | filled)
         keys.append(mix(sums + label))
-        missing = sorted(set(range(parts)).difference(filled.tolist()))
-        for three in combinations(missing, SPARE_PARTS):
-            code = hash((cls, *three)) & 0xFFFFFFFFFFFFFFFF
-            keys.append(mix(np.array([code], dtype=np.uint64)))
+        sparse |= len(filled) <= differ
+    if sparse:
+        # Of linked sets, each has at least num / den of its shingles in the other.
+        keys.append(mix(tokens[: n - -(-n * num // den) + 1] ^ np.uint64(0xC2B2AE3D27D4EB4F)))
     return np.concatenate(keys)
 
 
