@@ -21,15 +21,19 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares nine tenths of its word n-grams: the one with the least id.
+    """One row of each group that shares nine tenths of its word n-grams: the one with the least id, null last.
 
-    Rows without an id stay, as do all rows of an id that stays.
+    Rows are linked as rows, whether or not their ids repeat. Of rows with equal ids the least hash stays.
+    Rows without words are linked with nothing and stay.
     """
-    groups = ngram_join.components_of(docs)
-    kept = groups.where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    kept = materialise(kept, "kept")
+    # Stored with the texts, as numbers given to rows hold for one reading only.
+    rows = materialise(docs.withColumns({"__row": F.monotonically_increasing_id(), "__hash": F.xxhash64(*docs.columns)}), "rows")
+    groups = ngram_join.components_of(rows.select(F.col("__row").alias("doc_id"), "text"))
+    places = rows.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash", "__row").alias("place"))
+    least = groups.join(places.hint("merge"), F.col("__row") == groups["doc_id"]).groupBy("component_id").agg(F.min("place").alias("place"))
+    kept = materialise(least.select(F.col("place.__row").alias("__kept")), "kept")
     # A merge at every size: how many documents stay is known only now, and grows with the table.
-    return docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
+    return rows.join(kept.hint("merge"), F.col("__row") == F.col("__kept"), "left_semi").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

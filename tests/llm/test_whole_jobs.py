@@ -3,9 +3,10 @@
 import numpy as np
 import pytest
 
+import corpus_pipeline as P
 from millrace.llm import ngram_join
 
-from .conftest import collected
+from .conftest import collected, passage
 from .test_similar import CASES, slow_classes, variants
 
 
@@ -29,3 +30,23 @@ def test_components_at_eight_tenths_of_five_words(frame):
     rows = [*CASES, *variants(6, 12_000, 300, 9, 1000)]
     got = collected(ngram_join.components_of(frame(rows), 5, 8, 10), "doc_id", "n_shingles", "component_id")
     assert got == slow_classes(rows, 5, 8, 10)
+
+
+def test_copies_are_told_by_row(spark, frame, sf_dir):
+    a, b, c = passage(40), passage(40, 3), passage(40, 7)
+    rows = [
+        (1, a), (2, a), (2, b), (3, b),  # 2 repeats: its copy of 1 goes, its other text stays and stands for 3
+        (4, c), (4, c), (4, c),  # equal rows of one id
+        (None, passage(50, 9)), (None, passage(50, 9)), (None, a), (None, passage(60, 11)),  # no id
+        (5, ""), (5, ""), (None, None),  # no words: linked with nothing
+    ]
+    want = [(1, a), (2, b), (4, c), (None, passage(50, 9)), (None, passage(60, 11)), (5, ""), (5, ""), (None, None)]
+    made = frame(rows)
+    got = P.without_copies(spark, made, sf_dir)
+    assert got.columns == made.columns
+    assert collected(got, "doc_id", "text") == sorted(want, key=repr)
+
+
+def test_a_hot_id_keeps_its_clean_rows(spark, frame, sf_dir):
+    rows = [(1, passage(40)), (7, passage(40)), *[(7, f"own{i} " + passage(30, 3, i)) for i in range(0, 60, 5)], (8, passage(80, 13))]
+    assert collected(P.without_copies(spark, frame(rows), sf_dir), "doc_id", "text") == sorted([rows[0], *rows[2:]], key=repr)
