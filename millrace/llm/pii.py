@@ -1,8 +1,9 @@
 """Personal data, also where it is disguised, at its place in the source text.
 
 Plain identifiers are found in the text as it stands. Then transducers rewrite disguises: look-alike letters
-and digits become their plain forms, invisible characters go, "(at)" and "[dot]" and "name at host dot
-tld" become signs, and runs of spelled digits become digits. Each rewriting keeps, for every character it
+and digits become their plain forms, invisible characters go, "(at)" and "[dot]" become signs, spelled digits
+join the numerals beside them, "dot" and "point" between words or digits become signs, and so does "at" before
+a host with a dot, in any case and with any blanks. What is found decides, not what is rewritten. Each rewriting keeps, for every character it
 writes, the stretch of source characters it stands for. What is found in the normalised text is carried back
 through these stretches; a span inside one already found plainly adds nothing.
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterable
 
@@ -79,7 +81,8 @@ _LOOKS = str.maketrans(
     "ABESIJKMHOPCTXYaeijopcyxsdhABEZHIKMNOPTYXovp",
 ) | {0xA0: " ", 0x2009: " ", 0x202F: " ", 0x2010: "-", 0x2011: "-", 0x2012: "-", 0x2013: "-", 0xFF0D: "-"} | {
     0x2024: ".", 0xFF0E: ".", 0x3002: ".", 0xFF20: "@", 0xFE6B: "@", 0xFF0B: "+",
-} | {0xFF21 + i: chr(65 + i) for i in range(26)} | {0xFF41 + i: chr(97 + i) for i in range(26)} | {0xFF10 + i: chr(48 + i) for i in range(10)}
+} | {0xFF21 + i: chr(65 + i) for i in range(26)} | {0xFF41 + i: chr(97 + i) for i in range(26)}
+_OTHER_DIGIT = re.compile(r"(?![0-9])\d")
 _HIDDEN = re.compile("[\u00ad\u200b\u200c\u200d\u2060\ufeff]")
 _ODD = re.compile("[^\x00-\x9f\xa1-\xac\xae-\xff]")
 
@@ -92,12 +95,13 @@ _DIGITS = {
     for word in words.split()
 }
 _ANY_DIGIT = "(?:" + "|".join(sorted(_DIGITS, key=len, reverse=True)) + ")"
-_SPELLED = re.compile(rf"(?i)(?:\bplus[\s-]+)?(?<!\w){_ANY_DIGIT}(?:[\s,-]+(?:{_ANY_DIGIT}|[0-9]+|dot|point)(?!\w)){{3,}}")
-_APART = str.maketrans("-,", "  ")
-_IN_RUN = re.compile(r"(?i)[^\W_]+")
-_BRACKETED = re.compile(r"(?i)[ ]*[\[({<][ ]*(at|dot|punkt|punto|point)[ ]*[\])}>][ ]*")
-_BARE = re.compile(r"(?:(?<=[A-Za-z0-9]) (?:at|AT) |(?<=@))[A-Za-z0-9.-]+(?: (?:dot|DOT) [A-Za-z0-9-]+)* (?:dot|DOT) [A-Za-z]{2,24}\b")
-_SIGN = re.compile(r" (at|AT|dot|DOT) ")
+_NUMERAL = rf"(?:{_ANY_DIGIT}|[0-9]+)(?!\w)"
+_SPELLED = re.compile(rf"(?i)(?:\bplus[\s-]+)?(?<!\w){_NUMERAL}(?:(?:[\s,-]+(?:(?:dot|point)[\s,-]+)?|\.){_NUMERAL})+")
+_APART = str.maketrans("-,.", "   ")
+_IN_RUN = re.compile(r"[^\W_]+")
+_BRACKETED = re.compile(r"(?i)(?<!\s)\s*[\[({<]\s*(at|dot|punkt|punto|point)\s*[\])}>]\s*")
+_DOT = re.compile(r"(?i)(?<=[A-Za-z0-9])\s+(?:dot|point)\s+(?=[A-Za-z0-9])")
+_AT = re.compile(r"(?i)(?<=[A-Za-z0-9._%+-])\s+at\s+(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}(?![A-Za-z0-9-]))")
 
 
 class Rewritten:
@@ -146,31 +150,40 @@ class Rewritten:
         return self.place(a)[0], self.place(b - 1)[1]
 
 
-def _spelled(match: re.Match) -> str:
-    out = []
-    for word in _IN_RUN.findall(match[0]):
-        low = word.lower()
-        out.append(_DIGITS.get(low) or ("+" if low == "plus" else "." if low in ("dot", "point") else word))
-    return "".join(out)
+def _spelled(match: re.Match) -> Iterable[tuple[int, int, str]]:
+    """Edits that join spelled digits with the numerals beside them; blanks between plain numerals stay."""
+    words = [(m.start() + match.start(), m.end() + match.start(), m[0].lower()) for m in _IN_RUN.finditer(match[0])]
+    if not any(word in _DIGITS for _, _, word in words):
+        return
+    end, spelled, sign = match.start(), True, ""
+    for a, b, word in words:
+        if word in ("dot", "point"):
+            sign = "."
+        elif word == "plus":
+            sign = "+"
+        else:
+            digit = _DIGITS.get(word)
+            if end < a and match.string[end:a] != "." and (sign or spelled or digit):
+                yield end, a, sign
+            if digit:
+                yield a, b, digit
+            end, spelled, sign = b, digit is not None, ""
 
 
 def normalise(text: str) -> Rewritten | None:
     """The text with its disguises rewritten, or None where there is none."""
     work = Rewritten(text)
     if _ODD.search(text):
-        work.text = text.translate(_LOOKS)
+        work.text = _OTHER_DIGIT.sub(lambda m: str(unicodedata.decimal(m[0])), text.translate(_LOOKS))
         work.replace([(m.start(), m.end(), "") for m in _HIDDEN.finditer(work.text)])
     signs = {"at": "@"}
     work.replace([(m.start(), m.end(), signs.get(m[1].lower(), ".")) for m in _BRACKETED.finditer(work.text)])
-    if " dot " in work.text or " DOT " in work.text:
-        # Signs of a match share no space, as a name stands between two of them.
-        edits = [
-            (m.start() + s.start(), m.start() + s.end(), signs.get(s[1].lower(), "."))
-            for m in _BARE.finditer(work.text) for s in _SIGN.finditer(m[0])
-        ]
-        work.replace(edits)
-    if not _DIGITS.keys().isdisjoint(work.text.lower().translate(_APART).split()):
-        work.replace([(m.start(), m.end(), _spelled(m)) for m in _SPELLED.finditer(work.text)])
+    low = work.text.lower()
+    if not _DIGITS.keys().isdisjoint(low.translate(_APART).split()):
+        work.replace([edit for m in _SPELLED.finditer(work.text) for edit in _spelled(m)])
+    if "dot" in low or "point" in low:
+        work.replace([(m.start(), m.end(), ".") for m in _DOT.finditer(work.text)])
+    work.replace([(m.start(), m.end(), "@") for m in _AT.finditer(work.text)])
     return None if work.text == text else work
 
 

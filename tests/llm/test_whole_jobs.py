@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as P
-from millrace.llm import ngram_join
+from millrace.llm import ngram_join, pii
 
 from .conftest import collected, passage
 from .test_similar import CASES, slow_classes, variants
@@ -50,3 +50,30 @@ def test_copies_are_told_by_row(spark, frame, sf_dir):
 def test_a_hot_id_keeps_its_clean_rows(spark, frame, sf_dir):
     rows = [(1, passage(40)), (7, passage(40)), *[(7, f"own{i} " + passage(30, 3, i)) for i in range(0, 60, 5)], (8, passage(80, 13))]
     assert collected(P.without_copies(spark, frame(rows), sf_dir), "doc_id", "text") == sorted([rows[0], *rows[2:]], key=repr)
+
+
+FORMS = [
+    ("ip 192 dot 168 dot 0 dot 1 ok", "ip", "192 dot 168 dot 0 dot 1"),
+    ("10 dot 0 dot 0 dot one", "ip", "10 dot 0 dot 0 dot one"),
+    ("5 10.0.0.one ok", "ip", "10.0.0.one"),
+    ("pay 4111 1111 1111 one 111 now", "card", "4111 1111 1111 one 111"),
+    ("+1 555 five 55 oh one two three", "phone", "+1 555 five 55 oh one two three"),
+    ("by john dot smith at example dot com", "email", "john dot smith at example dot com"),
+    ("jane at example.org", "email", "jane at example.org"),
+    ("jane At example Dot org", "email", "jane At example Dot org"),
+    ("jane  at\texample point\r\norg", "email", "jane  at\texample point\r\norg"),
+    ("jane\n[ AT ]\texample  (Dot)  org", "email", "jane\n[ AT ]\texample  (Dot)  org"),
+    ("x \u0661\u0660.0.0.\u0661", "ip", "\u0661\u0660.0.0.\u0661"),
+    ("x \U0001d7cf\U0001d7ce.0.0.1", "ip", "\U0001d7cf\U0001d7ce.0.0.1"),
+]
+
+
+@pytest.mark.parametrize("text,kind,what", FORMS)
+def test_disguises_in_any_form(text, kind, what):
+    base, spans = pii.find(text)
+    assert [(k, text[a:b]) for k, a, b in spans if (k, a, b) not in base] == [(kind, what)]
+
+
+@pytest.mark.parametrize("text", ["we met at 5.30 and one, two", "at one point five of them left", "the dot at the end. One 2", "zero point one at most", " " * 50_000 + "(", "1 " * 30_000 + "one", "a dot " * 20_000])
+def test_prose_is_left_alone(text):
+    assert pii.find(text) == ([], [])
