@@ -42,8 +42,10 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them; those it passes over go."""
-    return mixing.take(docs, mixing.mix(docs))
+    """Documents as often as the mix of sources takes them; those it passes over go. Told by row, whether or not ids repeat."""
+    # Stored with the texts, as numbers given to rows hold for one reading only.
+    rows = materialise(docs.withColumn("__number", F.monotonically_increasing_id()), "numbered")
+    return mixing.take(rows, mixing.mix(rows, carry=["__number"]), "__number").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

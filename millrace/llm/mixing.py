@@ -62,14 +62,14 @@ def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, most: int =
     return levels.withColumn("level_all", final).withColumn("target", target).drop("ratio", "level", "level_all")
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, seed: int = 1) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies): one row per row of ``docs``.
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, seed: int = 1, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) and the columns to carry: one row per row of ``docs``.
 
     The texts are read once for their sizes. Places within a source come from one numbering of all rows
     by (source, size, hash), cut into blocks by value, so a source of any size is many tasks.
     """
     salt = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.md5(salt).alias("__hash")), "sizes")
+    rows = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.md5(salt).alias("__hash"), *carry), "sizes")
     stats = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("documents"))
     known = materialise(targets(materialise(stats, "sources"), weights, most), "targets").withColumnRenamed("source", "__source")
     joined = rows.join(known, F.col("source").eqNullSafe(F.col("__source"))).drop("__source", "weight", "documents")
@@ -83,14 +83,14 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, s
     offset = _share(F.md5(F.concat(F.lit(f"{seed}:source:"), F.coalesce("source", F.lit("")))), 5)
     crossed = lambda at: F.floor(rate * at + offset)
     copies = F.least(crossed(place) - crossed(place - 1), F.lit(most)).cast("long")
-    return numbered.select("doc_id", "source", "size", F.col("words").alias("source_size"), "target", copies.alias("copies"))
+    return numbered.select("doc_id", "source", "size", F.col("words").alias("source_size"), "target", copies.alias("copies"), *carry)
 
 
-def take(docs: DataFrame, copies: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as ``mix`` says; rows that repeat an id share its greatest number."""
-    known = copies.groupBy("doc_id").agg(F.max("copies").alias("__copies")).where(F.col("__copies") > 0)
-    known = materialise(known.withColumnRenamed("doc_id", "__taken"), "copies")
+def take(docs: DataFrame, copies: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` says; rows that repeat the key share its greatest number."""
+    known = copies.groupBy(key).agg(F.max("copies").alias("__copies")).where(F.col("__copies") > 0)
+    known = materialise(known.withColumnRenamed(key, "__taken"), "copies")
     # A merge at every size, as what is taken grows with the table.
-    joined = docs.join(known.hint("merge"), docs["doc_id"].eqNullSafe(F.col("__taken")))
+    joined = docs.join(known.hint("merge"), docs[key].eqNullSafe(F.col("__taken")))
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
     return joined.withColumn("__copy", each).select(*docs.columns)

@@ -1,10 +1,13 @@
 """Cases of a review of whole jobs: each failed before its finding was settled."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from millrace.llm import ngram_join, pii
+from millrace.llm import mixing, ngram_join, pii
 
 from .conftest import collected, passage
 from .test_similar import CASES, slow_classes, variants
@@ -77,3 +80,14 @@ def test_disguises_in_any_form(text, kind, what):
 @pytest.mark.parametrize("text", ["we met at 5.30 and one, two", "at one point five of them left", "the dot at the end. One 2", "zero point one at most", " " * 50_000 + "(", "1 " * 30_000 + "one", "a dot " * 20_000])
 def test_prose_is_left_alone(text):
     assert pii.find(text) == ([], [])
+
+
+def test_rows_of_one_id_are_taken_one_by_one(spark, frame, sf_dir):
+    ids, sources = [None] * 20 + [7] * 20, ["a", "b"] * 20
+    made = frame([(d, f"text{i} " + passage(9), "en", s) for i, (d, s) in enumerate(zip(ids, sources, strict=True))])
+    got = Counter(r["text"] for r in P.mixed(spark, made, sf_dir).collect())
+    # Sizes are equal, so of each source what its copies sum to is taken, spread evenly over its rows.
+    decided = mixing.mix(made).groupBy("source").agg(F.sum("copies").alias("n")).collect()
+    for row in decided:
+        mine = [got[r["text"]] for r in made.collect() if r["source"] == row["source"]]
+        assert sum(mine) == row["n"] and max(mine) - min(mine) <= 1
