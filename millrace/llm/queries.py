@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, minhash, mixing, ngram_join, packing, pii, secret_scan, sharding, token_store, topk
+from millrace.llm import (
+    filter_audit, language, minhash, mixing, ngram_join, packing, pii, secret_scan, sharding, token_store, topk,
+)
 from millrace.session import scratch
 
 
@@ -144,11 +146,54 @@ SELECT z.doc_id, z.n AS n_shingles, min(r.b) AS component_id
 FROM sizes z JOIN reach r ON r.a = z.doc_id GROUP BY z.doc_id, z.n
 """
 
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    coalesce(min(doc_id) OVER (PARTITION BY coalesce(text, '')) < doc_id, false) AS later
+  FROM documents),
+failed AS (
+  SELECT doc_id, part,
+    CAST(len(w) < 200 AS INTEGER) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INTEGER)
+    + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS INTEGER)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER) + 16 * CAST(later AS INTEGER) AS mask
+  FROM docs),
+marks AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+cells AS (
+  SELECT f.part, f.mask, count(*) AS n, coalesce(sum(m.good), 0) AS good, coalesce(sum(m.toxic), 0) AS toxic
+  FROM failed f LEFT JOIN marks m ON m.doc_id = f.doc_id GROUP BY f.part, f.mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND a.c <> b.c AND a.c <> c.c AND a.c <> d.c AND a.c <> e.c AND b.c <> c.c AND b.c <> d.c AND b.c <> e.c
+    AND c.c <> d.c AND c.c <> e.c AND d.c <> e.c),
+steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS earlier
+  FROM orders, unnest([1, 2, 3, 4, 5]) AS s(step))
+SELECT part, filter_order, step,
+  CAST(coalesce(sum(n) FILTER (mask & (bit | earlier) = 0), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier <> 0), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(n * (120 // greatest(bit_count(mask), 1))) FILTER (mask & bit <> 0), 0) AS BIGINT) AS shapley
+FROM cells, steps GROUP BY part, filter_order, step
+"""
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_secret_scan, op2_token_store, op3_sharding, op4_pii, op5_minhash,
-        op6_language, op7_packing, op8_topk, op9_mixing, op10_ngram_join,
+        op6_language, op7_packing, op8_topk, op9_mixing, op10_ngram_join, op13_filter_audit,
     )
 }
-SQL = {"op8_topk": OP8_SQL, "op9_mixing": OP9_SQL, "op10_ngram_join": OP10_SQL}
+SQL = {"op8_topk": OP8_SQL, "op9_mixing": OP9_SQL, "op10_ngram_join": OP10_SQL, "op13_filter_audit": OP13_SQL}
