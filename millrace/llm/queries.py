@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    filter_audit, language, minhash, mixing, ngram_join, packing, pii, secret_scan, sharding, token_store, topk,
+    filter_audit, language, minhash, mixing, ngram_join, packing, page_text, pii, secret_scan, sharding, spelling, token_store,
+    topk,
 )
 from millrace.session import scratch
 
@@ -147,6 +148,14 @@ FROM sizes z JOIN reach r ON r.a = z.doc_id GROUP BY z.doc_id, z.n
 """
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(_table(spark, sf_dir, "pages"), page_text.train(page_text.labelled(spark)))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -193,7 +202,8 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_secret_scan, op2_token_store, op3_sharding, op4_pii, op5_minhash,
-        op6_language, op7_packing, op8_topk, op9_mixing, op10_ngram_join, op13_filter_audit,
+        op6_language, op7_packing, op8_topk, op9_mixing, op10_ngram_join,
+        op11_spelling, op12_page_text, op13_filter_audit,
     )
 }
 SQL = {"op8_topk": OP8_SQL, "op9_mixing": OP9_SQL, "op10_ngram_join": OP10_SQL, "op13_filter_audit": OP13_SQL}

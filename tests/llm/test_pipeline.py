@@ -89,5 +89,5 @@ def test_stages_on_odd_rows(spark, frame, sf_dir):
 
 
 def test_every_operator_has_a_query():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert [name for name, _ in P.STAGES] == ["language", "copies", "secrets", "mix", "packing"]
