@@ -11,8 +11,9 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import attach, quantiles
+from millrace.operators.ordered import attach
 from millrace.operators.relational import columns_of_type
+from millrace.operators.selection import quantiles
 from millrace.session import materialise
 
 

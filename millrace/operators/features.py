@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import mode
-from millrace.operators.ordered import attach, quantiles
+from millrace.operators.ordered import attach
+from millrace.operators.selection import quantiles, quantiles_of
 from millrace.session import materialise
 
 
@@ -61,16 +62,18 @@ def binarize(df: DataFrame, column: str, threshold: float, output: str) -> DataF
 def impute(df: DataFrame, strategies: Mapping[str, str]) -> DataFrame:
     """Fill nulls by ``mean``, ``median`` (the lower middle value) or ``mode`` (smallest on a tie).
 
-    All means come from one pass. Medians are exact without gathering the column in one place.
+    All means come from one pass, and all medians from the same few passes of radix selection.
     """
     values: dict[str, object] = {}
     means = [c for c, s in strategies.items() if s == "mean"]
     if means:
         values.update(df.agg(*[F.avg(c).alias(c) for c in means]).first().asDict())
+    medians = [c for c, s in strategies.items() if s == "median"]
+    if medians:
+        # One row for each column.
+        values.update({r["column"]: r["m"] for r in quantiles_of(df, [], medians, {"m": 0.5}, discrete=True).collect()})
     for column, strategy in strategies.items():
-        if strategy == "median":
-            values[column] = quantiles(df, [], column, {"m": 0.5}, discrete=True).first()["m"]
-        elif strategy == "mode":
+        if strategy == "mode":
             found = mode(df, [], column).first()
             values[column] = found["mode"] if found else None
     filled = {c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items() if v is not None}

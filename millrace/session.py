@@ -92,12 +92,24 @@ def scratch(spark: SparkSession, label: str) -> str:
     return path
 
 
-def release(spark: SparkSession) -> None:
-    """Remove the scratch files of this driver. For callers that are done with the frames built on them."""
+def made() -> int:
+    """How many scratch paths there are, to be asked for those made later by ``held``."""
+    return len(_made)
+
+
+def held(first: int) -> list[str]:
+    """The scratch paths made since ``made()`` returned ``first``."""
+    return _made[first:]
+
+
+def release(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Remove scratch files of this driver, all or the given ones. For callers that are done with the frames built on them."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+    for name in list(_made if paths is None else paths):
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+        if name in _made:
+            _made.remove(name)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
