@@ -8,7 +8,7 @@ from itertools import combinations
 
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import attach
@@ -65,11 +65,28 @@ def _unlisted(column: str, values: Sequence) -> Column:
     return F.count(F.when(~F.coalesce(F.col(column).isin(*values), F.lit(False)), 1)).alias("unlisted")
 
 
+def frequent_candidates(df: DataFrame, column: str, support: float) -> DataFrame:
+    """(candidate): every value (or null) that holds more than this share of the rows, and others, from one pass.
+
+    Mergeable counters of the Misra-Gries kind: each task keeps 1 / support of them, whatever it reads.
+    """
+    found = df.stat.freqItems([column], support).toDF("__items")
+    return found.select(F.explode("__items").alias("candidate"))
+
+
 def frequent_items(df: DataFrame, column: str, support: float) -> DataFrame:
-    """Values holding at least this share of the rows, exactly."""
-    rows = df.count()
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") >= support * rows)
+    """Values holding at least this share of the rows, exactly: a pass for candidates, and one that counts only these.
+
+    At most 2 / support values are held anywhere; all other rows are counted as one.
+    """
+    # Counters for half the share, so that a value with just this share is among the candidates.
+    candidates = materialise(frequent_candidates(df, column, support / 2).distinct(), "candidates")
+    met = df.select(column).join(F.broadcast(candidates.withColumn("__hit", F.lit(True))), F.col(column).eqNullSafe(F.col("candidate")), "left")
+    hit = F.col("__hit").isNotNull()
+    counts = met.groupBy(F.when(hit, F.col(column)).alias(column), hit.alias("__hit")).agg(F.count(F.lit(1)).alias("n"))
+    # A row for each candidate and one for the rest.
+    whole = counts.withColumn("__rows", F.sum("n").over(Window.partitionBy()))
+    return whole.where(F.col("__hit") & (F.col("n") >= support * F.col("__rows"))).select(column, "n")
 
 
 def frequent_items_approx(df: DataFrame, columns: Sequence[str], support: float) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,24 +74,41 @@ HOT = 1000
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys holding more than 1/HOT of all rows: fewer than HOT of them."""
-    rows = df.count()
-    return df.groupBy(key).count().where(F.col("count") > rows / HOT).select(key)
+    """(key): every key holding more than 1/HOT of the rows, among at most HOT keys, from one pass."""
+    found = df.stat.freqItems([key], 1 / HOT).toDF("__items")
+    return found.select(F.explode("__items").alias(key)).where(F.col(key).isNotNull())
+
+
+def _fragments(df: DataFrame, own: str, n: int, other: str, copies: int) -> DataFrame:
+    """Deal the rows over ``n`` fragments, and send a copy of each to every fragment of the other side."""
+    dealt = df.withColumn(own, F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int"))
+    return dealt.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
 
 
 def join_partitioned(left: DataFrame, right: DataFrame, key: str, parts: int) -> DataFrame:
     """Inner join of key-value frames in a chosen number of partitions.
 
-    Adaptive execution does not touch partitions the caller asked for. So keys that are frequent on
-    either side are joined apart, without a layout of their own: there it may broadcast the few matching
-    rows of the other side, or split the hot partitions.
+    Adaptive execution does not touch partitions the caller asked for. So keys that are frequent on either side are
+    joined apart, by fragments and replicas: a key that is hot on one side is dealt over ``parts`` fragments there,
+    each of which meets a copy of the other side's few rows; one hot on both sides is dealt into a grid of about
+    ``parts`` cells, each of which joins one fragment of either side.
     """
-    # Fewer than 2 * HOT keys by construction, so the hint is safe.
-    both = hot_keys(left, key).union(hot_keys(right, key)).where(F.col(key).isNotNull()).distinct()
-    hot = F.broadcast(materialise(both, "hot-keys"))
-    cold = [f.join(hot, key, "left_anti").repartition(parts, key) for f in (left, right)]
-    warm = [f.join(hot, key, "left_semi") for f in (left, right)]
-    return cold[0].join(cold[1], key).unionByName(warm[0].join(warm[1], key))
+    sides = materialise(
+        hot_keys(left, key).select(key, F.lit(1).alias("__l"), F.lit(0).alias("__r"))
+        .unionByName(hot_keys(right, key).select(key, F.lit(0).alias("__l"), F.lit(1).alias("__r")))
+        .groupBy(key).agg(F.max("__l").alias("__l"), F.max("__r").alias("__r")),
+        "hot-keys",
+    )
+    # At most 2 * HOT keys by construction, so the hint is safe.
+    hot = F.broadcast(sides)
+    joined = left.join(hot, key, "left_anti").repartition(parts, key).join(right.join(hot, key, "left_anti").repartition(parts, key), key)
+    side = max(2, ceil(sqrt(parts)))
+    for where, rows, columns in (("__l = 1 AND __r = 0", parts, 1), ("__l = 0 AND __r = 1", 1, parts), ("__l = 1 AND __r = 1", side, side)):
+        some = F.broadcast(sides.where(where).select(key))
+        a = _fragments(left.join(some, key, "left_semi"), "__a", rows, "__b", columns)
+        b = _fragments(right.join(some, key, "left_semi"), "__b", columns, "__a", rows)
+        joined = joined.unionByName(a.join(b, [key, "__a", "__b"]).drop("__a", "__b"))
+    return joined
 
 
 def densify(df: DataFrame, key: str, values: Sequence[str], fill: int = 0) -> DataFrame:

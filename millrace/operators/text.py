@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators import dictionaries
 from millrace.operators.ordered import join_groups, running
 from millrace.session import materialise
 
@@ -291,13 +295,11 @@ def vocabulary(df: DataFrame, text: str) -> DataFrame:
     return numbered.select("word", "id", "n")
 
 
-def placed_ids(df: DataFrame, doc: str, text: str, vocab: DataFrame, max_length: int) -> DataFrame:
-    """(doc, pos, id) of the first ``max_length`` words of each document; ``vocab`` should be a stored table."""
-    bare = F.btrim(F.col(text), F.lit(WHITE))
+def _first_words(text: Column, max_length: int) -> Column:
+    bare = F.btrim(text, F.lit(WHITE))
     # The split stops after the words that are kept; a blank text has none.
     first = F.slice(F.split(bare, "\\s+", max_length + 1), 1, max_length)
-    cut = df.select(doc, F.when(bare != "", first).otherwise(F.array().cast("array<string>")).alias("words"))
-    return cut.select(doc, F.posexplode("words").alias("pos", "word")).join(vocab.select("word", "id"), "word").drop("word")
+    return F.coalesce(F.when(bare != "", first), F.array().cast("array<string>"))
 
 
 def pad(rows: DataFrame, ids: str) -> DataFrame:
@@ -309,74 +311,97 @@ def pad(rows: DataFrame, ids: str) -> DataFrame:
     return rows.withColumns({ids: F.concat(ids, F.array_repeat(F.lit(0).cast("long"), padding)), "mask": mask})
 
 
+def _coded(df: DataFrame, doc: str, texts: str, words: Column, table: DataFrame, found: str, kind: str) -> DataFrame:
+    """(doc, column of the table for each word in turn, the words that have one): by a dictionary of each block."""
+    rows = dictionaries.placed(df, [doc, texts])
+
+    def fn(block: pa.Table, known: pa.Table) -> pa.Table:
+        lists = block["words"].combine_chunks()
+        at = pc.index_in(lists.flatten(), value_set=known["word"].combine_chunks())
+        hit = at.is_valid()
+        ends = np.concatenate([[0], np.cumsum(hit.to_numpy(zero_copy_only=False))])[lists.offsets.to_numpy() - lists.offsets[0].as_py()].astype(np.int32)
+        values = known[found].combine_chunks().take(at.filter(hit))
+        coded = pa.ListArray.from_arrays(pa.array(ends), values)
+        back = pa.ListArray.from_arrays(pa.array(ends), known["word"].combine_chunks().take(at.filter(hit)))
+        return pa.table({doc: block[doc], "found": coded, "words": back})
+
+    schema = f"`{doc}` {df.schema[doc].dataType.simpleString()}, found array<{kind}>, words array<string>"
+    return dictionaries.look_up(rows, dictionaries.block_words(rows, words), table, {"words": words}, fn, schema)
+
+
 def encode(df: DataFrame, doc: str, text: str, vocab: DataFrame, max_length: int) -> DataFrame:
-    """Word ids of each document, cut at ``max_length`` words, padded, with their mask."""
-    entries = F.sort_array(F.collect_list(F.struct("pos", "id")))
-    ids = placed_ids(df, doc, text, vocab, max_length).groupBy(doc).agg(entries.alias("e")).select(doc, F.col("e.id").alias("ids"))
-    whole = df.select(doc).join(ids, doc, "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<long>")))
-    return pad(materialise(whole, "coded"), "ids")
+    """Word ids of each document, cut at ``max_length`` words, padded, with their mask. ``vocab`` should be a stored table."""
+    coded = _coded(df, doc, text, _first_words(F.col(text), max_length), vocab, "id", "bigint")
+    return pad(materialise(coded.select(doc, F.col("found").alias("ids")), "coded"), "ids")
 
 
 def decode(df: DataFrame, doc: str, ids: str, vocab: DataFrame) -> DataFrame:
     """Ids back to text, padding skipped."""
-    placed = df.select(doc, F.posexplode(ids).alias("pos", "id")).where("id > 0").join(vocab.select("id", "word"), "id")
-    entries = F.sort_array(F.collect_list(F.struct("pos", "word")))
-    texts = placed.groupBy(doc).agg(entries.alias("e")).select(doc, F.concat_ws(" ", F.col("e.word")).alias("text"))
-    return df.select(doc).join(texts, doc, "left").withColumn("text", F.coalesce("text", F.lit("")))
+    table = vocab.select(F.col("id").cast("string").alias("id"), "word").toDF("word", "found")
+    shown = F.transform(F.filter(ids, lambda i: i > 0), lambda i: i.cast("string"))
+    return _coded(df, doc, ids, shown, table, "found", "string").select(doc, F.concat_ws(" ", "found").alias("text"))
 
 
 def encode_and_back(df: DataFrame, doc: str, text: str, vocab: DataFrame, max_length: int) -> DataFrame:
-    """Ids, mask and the text that the ids give back. The placed ids take both ways, so a document is put
-    together once."""
-    placed = placed_ids(df, doc, text, vocab, max_length).join(vocab.select("id", F.col("word").alias("back")), "id")
-    entries = F.sort_array(F.collect_list(F.struct("pos", "id", "back")))
-    rows = placed.groupBy(doc).agg(entries.alias("e")).select(doc, F.col("e.id").alias("ids"), F.concat_ws(" ", F.col("e.back")).alias("text"))
-    whole = df.select(doc).join(rows, doc, "left")
-    known = whole.withColumns({"ids": F.coalesce("ids", F.array().cast("array<long>")), "text": F.coalesce("text", F.lit(""))})
+    """Ids, mask and the text that the ids give back. One dictionary takes both ways."""
+    coded = _coded(df, doc, text, _first_words(F.col(text), max_length), vocab, "id", "bigint")
+    known = coded.select(doc, F.col("found").alias("ids"), F.concat_ws(" ", "words").alias("text"))
     return pad(materialise(known, "coded"), "ids")
 
 
+def _best_sentences(block: pa.Table, known: pa.Table, doc: str, min_words: int, max_words: int) -> pa.Table:
+    """The chosen sentences of each document of a block, given the weight of every word."""
+    by_sentence = block["words"].combine_chunks()
+    inner = by_sentence.flatten()
+    at = pc.index_in(inner.flatten(), value_set=known["word"].combine_chunks()).to_numpy(zero_copy_only=False).astype(np.int64)
+    # Of each word: its sentence, its document, and how often the document has it.
+    sizes = np.diff(inner.offsets.to_numpy())
+    per_doc = np.diff(by_sentence.offsets.to_numpy())
+    sentence = np.repeat(np.arange(len(sizes)), sizes)
+    owner = np.repeat(np.arange(len(per_doc)), per_doc)
+    _, same, times = np.unique(owner[sentence] * (len(known) + 1) + at, return_inverse=True, return_counts=True)
+    weight = times[same] * known["idf"].to_numpy()[at] if len(at) else np.zeros(0)
+    sums = np.bincount(sentence, weight, len(sizes))
+    first, out = np.concatenate([[0], np.cumsum(per_doc)]), {doc: [], "summary": [], "sentences": []}
+    for i, (name, texts) in enumerate(zip(block[doc].to_pylist(), block["split"].to_pylist(), strict=True)):
+        own = range(first[i], first[i + 1])
+        ranked = sorted((-round(float(sums[s] / sizes[s]), 6), s - first[i], int(sizes[s])) for s in own if sizes[s])
+        chosen, upto = [], 0
+        for _, place, length in ranked:
+            if upto < min_words or upto + length <= max_words:
+                chosen.append(place)
+            upto += length
+        if chosen:
+            out[doc].append(name)
+            out["summary"].append(". ".join(texts[s] for s in sorted(chosen)))
+            out["sentences"].append(len(chosen))
+    return pa.table([pa.array(out[doc], block[doc].type), pa.array(out["summary"], pa.string()), pa.array(out["sentences"], pa.int32())], names=list(out))
+
+
 def extract_summary(df: DataFrame, doc: str, text: str, min_words: int, max_words: int) -> DataFrame:
     """The best sentences of each document in their original order.
 
     A sentence scores the mean over its words of count in the document times ln((N + 1) / (df + 1)).
     Sentences are taken from the best down while the summary has fewer than ``min_words`` words or the
     next one still ends within ``max_words``.
+
+    The texts are read twice, once for the words of blocks of documents, and once, with a shuffle, to be scored whole
+    in their block. Of words, only counts by block leave the rows.
     """
-    rows = df.count()
-    # One shuffle of the raw rows by document: all steps below that stay within a document follow it.
+    rows = dictionaries.placed(df.where(F.col(text).isNotNull()), [doc, text])
     split = F.split(text, "[.!?\\n]+\\s*")
-    pieces = df.select(doc, text).repartition(doc).select(doc, F.posexplode_outer(split).alias("s", "sentence"))
-    sentences = pieces.where("trim(sentence) <> ''")
-    found = words(sentences.select(doc, "s", F.lower("sentence").alias("sentence")), "sentence", keep=[doc, "s"])
-    counts = found.groupBy(doc, "s", "word").agg(F.count(F.lit(1)).alias("c"))
-    weighted = counts.withColumn("tf", F.sum("c").over(Window.partitionBy(doc, "word")))
-    # Distinct words of a row are found inside it, so only word counts are shuffled for this.
-    listed = F.array_distinct(F.split(F.lower(text), "[.!?\\s]+"))
-    weights = (
-        df.select(F.explode_outer(listed).alias("word"))
-        .where("word <> ''")
-        .groupBy("word")
-        .agg(F.log((F.lit(rows) + 1.0) / (F.count(F.lit(1)) + 1.0)).alias("idf"))
-    )
-    # Written first, so that hot words can be split in the join (see ordered.attach).
-    idf = materialise(weights, "weights")
-    scores = (
-        weighted.join(idf, "word")
-        .groupBy(doc, "s")
-        .agg(F.round(F.sum(F.col("c") * F.col("tf") * F.col("idf")) / F.sum("c"), 6).alias("score"), F.sum("c").alias("len"))
-    )
-    best = Window.partitionBy(doc).orderBy(F.col("score").desc(), "s")
-    upto = F.sum("len").over(best.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    picked = scores.withColumn("upto", upto).where(
-        (F.col("upto") - F.col("len") < min_words) | (F.col("upto") <= max_words)
-    )
-    # The chosen places go back to the texts, one row per document, and the row picks its sentences.
-    chosen = picked.groupBy(doc).agg(F.sort_array(F.collect_list("s")).alias("places"))
-    texts = F.transform("places", lambda i: F.get(split, i))
-    return df.select(doc, text).join(chosen, doc).select(
-        doc, F.concat_ws(". ", texts).alias("summary"), F.size("places").alias("sentences")
-    )
+    listed = F.transform(split, lambda s: F.filter(F.split(F.lower(s), "\\s+"), lambda w: w != ""))
+    # Read for the weights and for the blocks' dictionaries.
+    asked = materialise(dictionaries.block_words(rows, F.flatten(listed)), "block-words")
+    weights = asked.groupBy("word").agg(F.log((F.lit(df.count()) + 1.0) / (F.sum("n") + 1.0)).alias("idf"))
+    schema = f"`{doc}` {df.schema[doc].dataType.simpleString()}, summary string, sentences int"
+
+    def fn(block: pa.Table, known: pa.Table) -> pa.Table:
+        return _best_sentences(block, known, doc, min_words, max_words)
+
+    # Stored, so that a word that every block has is split in the join (see ordered.attach).
+    stored = materialise(weights, "weights")
+    return dictionaries.look_up(rows, asked, stored, {"split": split, "words": listed}, fn, schema)
 
 
 def next_token(df: DataFrame, text: str, top_k: int, top_p: float) -> DataFrame:

@@ -377,12 +377,12 @@ def _(t: Tables):
 
 @query("sample_n")
 def _(t: Tables):
-    return S.sample_n(t.orders.select("o_orderkey", "o_totalprice"), 500, seed=7, replace=True)
+    return S.sample_n(t.orders.select("o_orderkey", "o_totalprice"), 500, seed=7, replace=True, key=["o_orderkey"])
 
 
 @query("sample_n_distinct")
 def _(t: Tables):
-    return S.sample_n(t.orders.select("o_orderkey", "o_totalprice"), 500, seed=7)
+    return S.sample_n(t.orders.select("o_orderkey", "o_totalprice"), 500, seed=7, key=["o_orderkey"])
 
 
 @query("sample_by_key")
@@ -394,8 +394,7 @@ def _(t: Tables):
 
 @query("split_random")
 def _(t: Tables):
-    train, test = S.split_random(t.orders.select("o_orderkey"), [0.7, 0.3], seed=42)
-    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+    return S.mark_random(t.orders.select("o_orderkey"), {"train": 0.7, "test": 0.3}, 42, ["o_orderkey"])
 
 
 @query(

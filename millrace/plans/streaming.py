@@ -11,7 +11,7 @@ from millrace.operators import models as ML
 from millrace.operators import sampling as S
 from millrace.plans.features import priced
 from millrace.plans.registry import Tables, query
-from millrace.session import scratch
+from millrace.session import materialise, scratch
 from millrace.sources.files import write_csv
 from millrace.streaming import files as ST
 from millrace.streaming.online import OnlineKMeans, OnlineLinear, StateTable
@@ -36,8 +36,9 @@ def _heart_like(t: Tables) -> tuple[Pipeline, DataFrame, DataFrame]:
     )
     chain = E.stage_chain(["c_mktsegment", "o_orderpriority"], ["c_acctbal", "o_totalprice"])
     stages = Pipeline(stages=[*chain.getStages(), ML.classifiers("label")["logistic"]])
-    train, test = S.split_hash(rows, "o_orderkey", 70)
-    return stages, train, test
+    # Stored: one scan for both parts, and every fitted stage reads the first one again.
+    marked = materialise(S.mark_split(rows, "o_orderkey", 70), "marked")
+    return stages, marked.where("part = 'train'").drop("part"), marked.where("part = 'test'").drop("part")
 
 
 @query("stream_ml_score")

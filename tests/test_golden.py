@@ -313,8 +313,9 @@ def test_splits_are_disjoint_and_complete(spark):
     # A key keeps its side when the table grows.
     grown, _ = SA.split_hash(spark.range(1000), "id", 70)
     assert a.subtract(grown).count() == 0
-    c, d = SA.split_random(frame, [0.7, 0.3], 42)
-    assert c.count() + d.count() == 500 and c.intersect(d).count() == 0
+    sizes = {r["part"]: r["count"] for r in SA.mark_random(frame, {"c": 7, "d": 3}, 42, ["id"]).groupBy("part").count().collect()}
+    assert sum(sizes.values()) == 500 and 300 < sizes["c"] < 400
+    assert SA.mark_random(frame.repartition(7), {"c": 7, "d": 3}, 42, ["id"]).exceptAll(SA.mark_random(frame, {"c": 7, "d": 3}, 42, ["id"])).count() == 0
 
 
 def test_samples(spark):
@@ -323,7 +324,40 @@ def test_samples(spark):
     assert SA.sample_n(frame, 50, 1).select("id").distinct().count() == 50
     assert SA.sample_n(frame, 3000, 1, replace=True).count() == 3000
     assert SA.sample_n(frame, 3000, 1).count() == 2000
+    # The same rows under any layout, with and without a key, and from a table with equal rows.
+    for more in ({}, {"key": ["id"]}, {"key": ["id"], "replace": True}, {"replace": True}):
+        once, again = (sorted(map(tuple, SA.sample_n(f, 70, 5, **more).collect())) for f in (frame, frame.repartition(9, "k")))
+        assert once == again and len(once) == 70
+    equal = spark.range(1000).select((F.col("id") % 2).alias("v"))
+    halves = {r["v"]: r["count"] for r in SA.sample_n(equal, 300, 2).groupBy("v").count().collect()}
+    assert sum(halves.values()) == 300 and 100 < halves[0] < 200
+    SETTLED, SA.SETTLED = SA.SETTLED, 10
+    try:
+        assert SA.sample_n(frame, 777, 3, key=["id"]).distinct().count() == 777
+        # A key that does not tell rows apart: the last hash is cut to the number that is missing.
+        assert SA.sample_n(frame, 777, 3, key=["k"]).count() == 777
+    finally:
+        SA.SETTLED = SETTLED
     drawn = SA.sample_by_key(frame, "k", {0: 2.0, 1: 0.5}, 9, replace=True)
     counts = {r["k"]: r["count"] for r in drawn.groupBy("k").count().collect()}
     assert set(counts) == {0, 1} and abs(counts[0] - 1334) < 200 and abs(counts[1] - 333) < 100
     assert SA.sample_by_key(frame, "k", {0: 0.5}, 9).where("k <> 0").count() == 0
+
+
+def test_key_hot_on_both_sides_is_a_grid(spark):
+    """Half of both sides under one key: the join of that key is many tasks, and nothing is lost or doubled."""
+    left = spark.range(0, 400, 1, 4).select(F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
+    right = spark.range(0, 300, 1, 4).select(F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).alias("k"), F.col("id").alias("b"))
+    joined = R.join_partitioned(left, right, "k", 16)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+    cells = R._fragments(left.where("k = 5"), "x", 4, "y", 4).groupBy("x", "y").count().collect()
+    assert len(cells) == 16 and max(r["count"] for r in cells) <= 2 * 200 / 4
+
+
+def test_frequent_items_count_candidates_only(spark):
+    frame = spark.range(10_000).select(F.when(F.col("id") % 4 == 0, 1).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.col("id") + 10).alias("v"))
+    want = {(r["v"], r["count"]) for r in frame.groupBy("v").count().collect() if r["count"] >= 0.02 * 10_000}
+    assert {tuple(r) for r in A.frequent_items(frame, "v", 0.02).collect()} == want and len(want) == 2
+    assert A.frequent_items(frame, "v", 0.25).collect()[0][0] == 1
+    assert A.frequent_candidates(frame, "v", 0.02).count() <= 50
+    assert A.frequent_items(frame.limit(0), "v", 0.5).collect() == []
