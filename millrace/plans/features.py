@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -10,9 +10,10 @@ from millrace.functions import numbers as M
 from millrace.functions import nested as N
 from millrace.operators import features as E
 from millrace.operators import sampling as S
+from millrace.operators.stages import feature_pipeline
 from millrace.plans.registry import Tables, query
 from millrace.plans.scalars import RATES, RATES_SQL
-from millrace.session import materialise, spread
+from millrace.session import materialise, scratch, spread
 
 _LINES = ["l_orderkey", "l_linenumber", "l_partkey"]
 _LINES_SQL = "l_orderkey, l_linenumber, l_partkey"
@@ -199,6 +200,20 @@ def _(t: Tables):
     return chain.transform(marked).select("o_orderkey", "part", vector_to_array("features").alias("features"))
 
 
+@query("fe_pipeline")
+def _(t: Tables):
+    """The whole chain, fitted on the training rows, saved, loaded, and applied to all rows."""
+    words = F.split(F.lower("o_orderpriority"), "[- ]+")
+    gaps = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal"))
+    rows = priced(t).select("o_orderkey", "c_mktsegment", "r_name", "n_name", gaps.alias("balance"), "o_totalprice", words.alias("marks"))
+    marked = materialise(S.mark_split(rows, "o_orderkey", 70), "chain")
+    chain = feature_pipeline(["c_mktsegment", "r_name"], ["balance", "o_totalprice"], {"o_totalprice": 150_000.0}, ["marks"], "n_name", 3)
+    path = scratch(t.spark, "feature-pipeline")
+    chain.fit(marked.where("part = 'train'")).write().save(path)
+    applied = PipelineModel.load(path).transform(marked)
+    return applied.select("o_orderkey", "part", vector_to_array("features").alias("features"), vector_to_array("components").alias("components"))
+
+
 @query("txt_hash_tfidf")
 def _(t: Tables):
     weighted = E.hash_tfidf(t.documents.select("doc_id", "text"), "text", 20)
