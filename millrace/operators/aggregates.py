@@ -155,34 +155,6 @@ def corr_with_target(df: DataFrame, target: str, columns: Sequence[str]) -> Data
     return unpivot(df.agg(*aggs), columns, ["r"], "column").orderBy(F.col("r").desc(), "column")
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Full correlation matrix in long form ``(a, b, r)``, pairwise complete."""
-    pairs = list(combinations(columns, 2))
-    spreads = [F.var_pop(c).alias(f"v_{i}") for i, c in enumerate(columns)]
-    row = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)], *spreads)
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        entries += [_pair(a, b, F.col(f"r{i}")), _pair(b, a, F.col(f"r{i}"))]
-    # A constant column, or one without two values, has no correlation, not even with itself.
-    entries += [_pair(c, c, F.when(F.col(f"v_{i}") > 0, 1.0)) for i, c in enumerate(columns)]
-    return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-
-
-def _pair(a: str, b: str, r: Column) -> Column:
-    return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
-
-
-def series_corr(df: DataFrame, time: str, key: str, value: str, keys: Sequence, zero_fill: bool = False) -> DataFrame:
-    """Correlation between the listed series: one column each, one row per time, then the matrix.
-
-    ``zero_fill`` puts 0 where a series has no value at a time; otherwise each pair uses the times
-    both have.
-    """
-    names = [f"s{k}" for k in keys]
-    wide = df.groupBy(time).pivot(key, list(keys)).agg(F.first(value)).toDF(time, *names)
-    return corr_matrix(wide.fillna(0) if zero_fill else wide, names)
-
-
 def chi_square(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Independence test of every pair of category columns: statistic and degrees of freedom.
 

@@ -22,6 +22,12 @@ HORIZON = 90
 # Fixed value: two-sided 95 % quantile of the normal distribution.
 Z95 = 1.96
 
+#: Changepoints of a trend at most, days of history for each, and the share of the history they lie in.
+CHANGEPOINTS = 25
+DAYS_A_CHANGEPOINT = 30
+CHANGE_SHARE = 0.8
+CHANGE_PENALTY = 0.01
+
 FORECAST_COLUMNS = ["ds", "y", "yhat", "yhat_upper", "yhat_lower"]
 
 
@@ -100,10 +106,18 @@ def _design(days: np.ndarray) -> np.ndarray:
     return np.column_stack(columns)
 
 
+def _bends(days: np.ndarray, last: float) -> np.ndarray:
+    """Columns that are 0 up to a changepoint and rise from there; changepoints lie evenly in the first part of the history."""
+    count = int(min(CHANGEPOINTS, last // DAYS_A_CHANGEPOINT))
+    at = np.linspace(0, CHANGE_SHARE * last, count + 1)[1:]
+    return np.maximum(0.0, days[:, None] - at[None, :]) / max(last, 1.0)
+
+
 def _forecast_group(pdf: pd.DataFrame, keys: Sequence[str], days: int) -> pd.DataFrame:
     """Least squares on the values, with the history and the days after it.
 
-    Over two years or more the seasons multiply the trend: every wave also comes times the slope. The fit is
+    The trend is piecewise linear: its slope may change at evenly spaced days, with a small penalty on the square of each
+    change, and goes on as it last was. Over two years or more the seasons multiply the trend: every wave also comes times the slope. The fit is
     linear in the values, so zeros and negative values are values like others. A series without any value
     has no forecast.
     """
@@ -119,8 +133,14 @@ def _forecast_group(pdf: pd.DataFrame, keys: Sequence[str], days: int) -> pd.Dat
     design = _design(t)
     if t[len(known) - 1] >= 2 * 365.25:
         design = np.column_stack([design, design[:, 2:] * design[:, 1:2]])
-    weights, *_ = np.linalg.lstsq(design[: len(known)], level, rcond=None)
-    fitted = design @ weights
+    bends = _bends(t, t[len(known) - 1])
+    whole = np.column_stack([design, bends])
+    # The penalty as rows of their own, in units of the series' size.
+    size = max(float(np.abs(level).max()), 1e-12)
+    penalty = np.column_stack([np.zeros((bends.shape[1], design.shape[1])), np.sqrt(CHANGE_PENALTY) * np.eye(bends.shape[1])])
+    left = np.concatenate([whole[: len(known)], penalty])
+    weights, *_ = np.linalg.lstsq(left, np.concatenate([level / size, np.zeros(bends.shape[1])]), rcond=None)
+    fitted = size * (whole @ weights)
     rest = level - fitted[: len(known)]
     band = Z95 * (rest.std(ddof=1) if len(rest) > 1 else 0.0)
     out = pd.DataFrame(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numbers import cents, cents_sql, mean_of_cents, mean_of_cents_sql
 from millrace.operators import aggregates as A
+from millrace.operators import correlation as C
 from millrace.operators import text as X
 from millrace.plans.registry import Tables, query
 
@@ -329,7 +330,7 @@ def _(t: Tables):
         .groupBy(F.to_date("o_orderdate").alias("d"), "c_mktsegment")
         .agg(F.sum("o_totalprice").alias("sales"))
     )
-    return A.series_corr(daily, "d", "c_mktsegment", "sales", SEGMENTS).withColumn("r", F.round("r", 6))
+    return C.series_corr(daily, "d", "c_mktsegment", "sales", "s").withColumn("r", F.round("r", 6))
 
 
 _CHI_COLUMNS = ["o_orderstatus", "o_orderpriority", "c_mktsegment"]

@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -14,6 +15,7 @@ from millrace.functions import nulls as U
 from millrace.functions import numbers as M
 from millrace.functions import strings as S
 from millrace.operators import aggregates as A
+from millrace.operators import correlation as C
 from millrace.operators import features as E
 from millrace.operators import relational as R
 from millrace.operators import sampling as SA
@@ -361,3 +363,48 @@ def test_frequent_items_count_candidates_only(spark):
     assert A.frequent_items(frame, "v", 0.25).collect()[0][0] == 1
     assert A.frequent_candidates(frame, "v", 0.02).count() <= 50
     assert A.frequent_items(frame.limit(0), "v", 0.5).collect() == []
+
+
+def test_correlation_of_many_columns(spark):
+    """500 columns, some with gaps, one constant, one without values: equal to a plain count of every pair."""
+    r = np.random.default_rng(2)
+    data = r.normal(1e6, 3, (60, 500))
+    data[:, 1] = 2 * data[:, 0] + r.normal(0, 1, 60)
+    data[::7, 2:9] = np.nan
+    data[:, 9], data[:, 10] = 0.1, np.nan
+    frame = spark.createDataFrame([[None if v != v else float(v) for v in row] for row in data], ", ".join(f"x{i} double" for i in range(500)))
+    got = {(x["a"], x["b"]): x["r"] for x in C.corr_matrix(frame.repartition(3), frame.columns).collect()}
+    assert len(got) == 500 * 500
+    for i, j in [(0, 1), (1, 0), (2, 3), (2, 400), (8, 0), (499, 498), (5, 5)]:
+        both = ~np.isnan(data[:, i]) & ~np.isnan(data[:, j])
+        assert got[f"x{i}", f"x{j}"] == pytest.approx(np.corrcoef(data[both, i], data[both, j])[0, 1], abs=1e-9)
+    assert got["x9", "x9"] is None and got["x9", "x0"] is None and got["x10", "x3"] is None
+    assert C.corr_matrix(frame.limit(0), ["x0", "x1"]).where("r IS NOT NULL").count() == 0
+
+
+def test_correlation_of_series_found_in_the_data(spark):
+    rows = [(t, f"k{k}", float((t * (k + 3)) % 11)) for t in range(30) for k in range(40) if (t + k) % 9]
+    frame = spark.createDataFrame(rows, "t int, k string, v double")
+    for fill in (False, True):
+        got = {(x["a"], x["b"]): x["r"] for x in C.series_corr(frame, "t", "k", "v", zero_fill=fill).collect()}
+        wide = {k: {t: v for t, key, v in rows if key == k} for k in {r[1] for r in rows}}
+        assert len(got) == 1600
+        for a, b in [("k0", "k1"), ("k7", "k31"), ("k39", "k2")]:
+            at = sorted(set(wide[a]) & set(wide[b])) if not fill else range(30)
+            x, y = ([wide[k].get(t, 0.0) for t in at] for k in (a, b))
+            assert got[a, b] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-9)
+
+
+def test_forecast_of_a_kinked_series(spark):
+    """A trend that turns: history and the days after it are met within 5 per cent."""
+    from millrace.operators import forecast as FC
+
+    start = dt.date(2020, 1, 1)
+    level = lambda i: 100 + i if i < 200 else 300 - 0.5 * (i - 200)
+    days = [("a", start + dt.timedelta(days=i), float(level(i) + (i % 7))) for i in range(400)]
+    hist = spark.createDataFrame(days, "k string, ds date, y double")
+    got = FC.grouped_map(hist, ["k"], 30).orderBy("ds").collect()
+    assert len(got) == 430
+    for i, r in enumerate(got):
+        truth = level(i) + (i % 7)
+        assert abs(r["yhat"] - truth) <= 0.05 * abs(truth), (i, r["yhat"], truth)
