@@ -14,6 +14,7 @@ from millrace.plans.registry import Tables, query
 from millrace.session import materialise, scratch
 from millrace.sources.files import write_csv
 from millrace.streaming import files as ST
+from millrace.streaming import keyed
 from millrace.streaming.online import OnlineKMeans, OnlineLinear, StateTable
 
 # Input is cut by size; a batch takes a few files.
@@ -90,6 +91,17 @@ def _(t: Tables):
     return ST.run_to_files(fresh.select("label", model.predict().alias("prediction")), scratch(t.spark, "sgd-out"))
 
 
+@query("stream_linear_keyed")
+def _(t: Tables):
+    """A linear model for each return flag, moved on by every batch: what each knows after the last one."""
+    rows = _points(t).select("l_returnflag", "label", F.array("a", "b", "c").alias("features"))
+    path = scratch(t.spark, "keyed-in")
+    rows.write.option("maxRecordsPerFile", _ROWS).parquet(path)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", _FILES_PER_BATCH).parquet(path)
+    updates = keyed.run_updates(keyed.keyed_linear(stream, "l_returnflag", OnlineLinear(features=3)), scratch(t.spark, "keyed-out"))
+    return keyed.newest(updates).drop("dropped")
+
+
 _START = [[0.2, 0.2, 0.2], [0.8, 0.8, 0.6]]
 
 

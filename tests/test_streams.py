@@ -11,6 +11,7 @@ from millrace.plans.streaming import _heart_like
 from millrace.session import scratch
 from millrace.sources.files import write_csv
 from millrace.streaming import files as ST
+from millrace.streaming import keyed
 from millrace.streaming.online import OnlineKMeans, OnlineLinear, StateTable
 
 
@@ -164,3 +165,74 @@ def test_empty_batch_keeps_the_state(spark):
     model.update(spark.createDataFrame([(1.0, [1.0, 0.0])], empty.schema), 1)
     model.update(empty, 2)
     assert model.weights()[0] == pytest.approx(1.0) and model.weights()[1] == pytest.approx(2.0)
+
+
+def keyed_batches(spark, batches, name):
+    """Files of (k, label, features), one a batch, in the order given; a function that adds more of them."""
+    path = scratch(spark, name)
+
+    def add(more):
+        import os
+        import shutil
+
+        for rows in more:
+            at = len(os.listdir(path)) if os.path.exists(path) else 0
+            aside = scratch(spark, "one")
+            spark.createDataFrame(rows, KEYED).coalesce(1).write.parquet(aside)
+            os.makedirs(path, exist_ok=True)
+            part = next(f for f in os.listdir(aside) if f.startswith("part-"))
+            shutil.copy(f"{aside}/{part}", f"{path}/b{at:03d}.parquet")
+            os.utime(f"{path}/b{at:03d}.parquet", (1_700_000_000 + at, 1_700_000_000 + at))
+
+    add(batches)
+    return path, add
+
+
+KEYED = "k string, label double, features array<double>"
+
+
+def keyed_stream(spark, path, idle_ms=0):
+    stream = spark.readStream.schema(KEYED).option("maxFilesPerTrigger", 1).parquet(path)
+    return keyed.keyed_linear(stream, "k", OnlineLinear(features=2), idle_ms)
+
+
+def two_keys(seed, n):
+    rng = np.random.default_rng(seed)
+    rows = [(k, x, y) for k in "ab" for x, y in rng.random((n if k == "a" else n // 3, 2))]
+    return [(k, float(2 * x + 3 * y if k == "a" else x - y), [float(x), float(y)]) for k, x, y in rows] + [(None, 1.0, [0.0, 0.0])]
+
+
+def test_keyed_models_go_on_after_a_stop(spark):
+    """Two keys, cut after two of four batches: equal to the uncut run, and to a model for each key alone."""
+    batches = [two_keys(i, 40 + i) for i in range(4)]
+    whole, _ = keyed_batches(spark, batches, "whole")
+    uncut = keyed.newest(keyed.run_updates(keyed_stream(spark, whole), scratch(spark, "uncut"))).orderBy("key").collect()
+    cut, add = keyed_batches(spark, batches[:2], "cut")
+    folder = scratch(spark, "cut-out")
+    first = keyed.newest(keyed.run_updates(keyed_stream(spark, cut), folder)).collect()
+    assert {r["batches"] for r in first} == {2}
+    add(batches[2:])
+    again = keyed.newest(keyed.run_updates(keyed_stream(spark, cut), folder)).orderBy("key").collect()
+    assert [r["key"] for r in uncut] == ["a", "b"] and [r["batches"] for r in again] == [4, 4]
+    for x, y in zip(uncut, again, strict=True):
+        assert x["rows"] == y["rows"] and np.allclose(x["weights"], y["weights"], rtol=1e-9)
+    model = OnlineLinear(features=2)
+    for r in uncut:
+        w = model.weights()
+        for rows in batches:
+            own = [(label, f) for k, label, f in rows if k == r["key"]]
+            x, y = np.array([f for _, f in own]), np.array([label for label, _ in own])
+            w = model.descend(x.T @ x / len(y), x.T @ y / len(y), w)
+        assert np.allclose(w, r["weights"], rtol=1e-9)
+
+
+def test_idle_keys_are_dropped(spark):
+    """Key b comes once; its timer drops it, and when it comes again it starts anew."""
+    only_a = [r for r in two_keys(5, 30) if r[0] == "a"]
+    path, add = keyed_batches(spark, [two_keys(1, 30), only_a, only_a], "idle")
+    folder = scratch(spark, "idle-out")
+    updates = keyed.run_updates(keyed_stream(spark, path, 1), folder, timers=True).where("key = 'b'").orderBy("batch").collect()
+    assert [r["dropped"] for r in updates] == [False, True] and updates[0]["weights"] == updates[1]["weights"]
+    add([two_keys(2, 30)])
+    last = keyed.newest(keyed.run_updates(keyed_stream(spark, path, 1), folder, timers=True)).where("key = 'b'").first()
+    assert last["batches"] == 1
