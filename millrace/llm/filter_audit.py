@@ -8,9 +8,8 @@ most 32 masks give all 120 orders.
 Copies are found in two steps. A counting Bloom filter takes the digests of all texts: each task counts its own
 rows, counters (0, 1, more) are merged segment by segment, and a text with a counter below two occurs once for
 certain. Such texts are cleared where they are; only possible repeats are shuffled, by the SHA-256 of the whole
-text, to the least doc_id of each text. The filter has as many segments as the row count asks for. It is
-broadcast while its size, known from that count, is at most BROADCAST_BYTES; beyond it, rows meet their segment by
-a merge join.
+text, to the least doc_id of each text. The filter has as many segments as the row count asks for, and is broadcast up to a size
+that this count tells beforehand; beyond it, rows meet their segment by a merge join (``sketches``).
 
 A null text is empty, and so is a null source. A null doc_id is not smaller than any, so it is no first copy
 and never a later one. Rows that repeat a doc_id are documents of their own, with the labels of that id; rows with
@@ -23,13 +22,14 @@ from __future__ import annotations
 import hashlib
 import json
 from itertools import permutations
-from math import ceil, factorial
+from math import factorial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import sketches
 from millrace.llm.common import slices
 from millrace.session import materialise
 
@@ -40,16 +40,6 @@ MOST_CAPITALS = 2
 MARKS = b"#$%&*|"
 COPY_BIT = 1 << FILTERS.index("E")
 
-#: Counters for each row, probes for each text, and counters in a segment, a share of them for each probe.
-COUNTERS_PER_ROW = 8
-PROBES = 4
-SEGMENT = 1 << 16
-_SHARE = SEGMENT // PROBES
-#: Largest sketch that is sent to every executor: one bit for each counter, so some 60 million rows.
-BROADCAST_BYTES = 64 << 20
-#: Rows whose counters a task holds before it hands them on.
-HELD_ROWS = 1 << 20
-
 _CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 _INNER_BYTES = bytes(range(0x80, 0xC0))
 
@@ -86,82 +76,9 @@ def masks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, part string, mask int, digest binary, at long, probes long")
 
 
-def counters(probes: np.ndarray) -> np.ndarray:
-    """The counters of each row within its segment: one in each share, so none is met twice by a row."""
-    bits = [(probes >> (16 * i)) & (_SHARE - 1) for i in range(PROBES)]
-    return np.stack([i * _SHARE + b for i, b in enumerate(bits)], axis=1)
-
-
-def sketch(rows: DataFrame, segments: int) -> DataFrame:
-    """(segment, repeats): a bit, in 64-bit words, for every counter that reached two."""
-
-    def count(batches):
-        held, size = [], 0
-
-        def hand_on():
-            at = np.concatenate([h[0] for h in held])
-            cells = (at[:, None] * SEGMENT + counters(np.concatenate([h[1] for h in held]))).ravel()
-            cells, times = np.unique(cells, return_counts=True)
-            starts = np.flatnonzero(np.diff(cells // SEGMENT, prepend=-1))
-            out: dict[str, list] = {"segment": [], "once": [], "more": []}
-            for a, b in zip(starts, [*starts[1:], len(cells)], strict=True):
-                place = (cells[a:b] % SEGMENT).astype("<u2")
-                out["segment"].append(int(cells[a] // SEGMENT))
-                out["once"].append(place[times[a:b] == 1].tobytes())
-                out["more"].append(place[times[a:b] > 1].tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(out["segment"], pa.int64()), pa.array(out["once"], pa.binary()), pa.array(out["more"], pa.binary())], list(out))
-
-        for batch in batches:
-            held.append((np.mod(batch["at"].to_numpy(), segments), batch["probes"].to_numpy()))
-            size += batch.num_rows
-            if size >= HELD_ROWS:
-                yield hand_on()
-                held, size = [], 0
-        if size:
-            yield hand_on()
-
-    def merge(batches):
-        now, sums = None, np.zeros(SEGMENT, dtype=np.uint8)
-
-        def merged():
-            words = np.packbits(sums > 1, bitorder="little").view("<i8")
-            lists = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(words))
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), lists], ["segment", "repeats"])
-
-        for batch in batches:
-            for segment, once, more in zip(*[batch[c].to_pylist() for c in ("segment", "once", "more")], strict=True):
-                if segment != now:
-                    if now is not None:
-                        yield merged()
-                    now = segment
-                    sums[:] = 0
-                few = np.frombuffer(once, "<u2")
-                sums[few] = np.minimum(sums[few] + 1, 2)
-                sums[np.frombuffer(more, "<u2")] = 2
-        if now is not None:
-            yield merged()
-
-    parts = rows.select("at", "probes").mapInArrow(count, "segment long, once binary, more binary")
-    dealt = parts.repartition("segment").sortWithinPartitions("segment")
-    return dealt.mapInArrow(merge, "segment long, repeats array<long>")
-
-
 def with_repeats(rows: DataFrame) -> DataFrame:
     """Add ``repeat`` to stored rows of ``masks``: false where the text occurs once for certain."""
-    segments = max(1, ceil(rows.count() * COUNTERS_PER_ROW / SEGMENT))
-    merged = materialise(sketch(rows, segments), "sketch")
-    small = segments * (SEGMENT // 8) <= BROADCAST_BYTES
-    met = rows.withColumn("segment", F.pmod("at", F.lit(segments))).join(F.broadcast(merged) if small else merged.hint("merge"), "segment")
-
-    def set_at(i: int) -> Column:
-        cell = F.shiftrightunsigned("probes", 16 * i).bitwiseAND(F.lit(_SHARE - 1)) + i * _SHARE
-        word = F.get("repeats", F.shiftright(cell, 6).cast("int"))
-        return F.getbit(word, cell.bitwiseAND(F.lit(63)).cast("int")) == 1
-
-    every = set_at(0)
-    for i in range(1, PROBES):
-        every = every & set_at(i)
-    return met.withColumn("repeat", every).drop("segment", "repeats", "at", "probes")
+    return sketches.reached(rows, sketches.build(rows, 2), "repeat").drop("at", "probes")
 
 
 def with_copies(rows: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import similar_sets
-from millrace.llm.common import block_count, cut_points, map_arrow, slices, texts, with_block
+from millrace.llm.common import BLOCKS_PER_TASK, TASK_BYTES, map_arrow, slices, task_count, texts, with_block
 from millrace.llm.shingles import shingles
 from millrace.session import materialise
 
@@ -73,20 +73,20 @@ def fingerprints_with_next(docs: DataFrame) -> DataFrame:
     The next row is the following one in the order of doc_id, after the last the first. Texts are shuffled once
     into blocks of ids; the first row of a block also goes to the block before it.
     """
-    rows, key = texts(docs), F.col("doc_id")
-    points = cut_points(rows, key, block_count(docs.sparkSession))
-    cut = with_block(rows, key, points).withColumn("__hash", F.xxhash64("text"))
+    rows = texts(docs).withColumn("__hash", F.xxhash64("text"))
+    tasks = task_count(rows, F.octet_length("text"), TASK_BYTES)
+    cut = with_block(rows, F.col("doc_id"), F.col("__hash"), BLOCKS_PER_TASK * tasks)
     # One row per block: its first document, and the block before it among those that have rows.
-    first = F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("id"), "__hash"))
-    heads = materialise(cut.groupBy("__block").agg(first.alias("head")), "heads")
+    known = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
+    heads = materialise(cut.groupBy("__block").agg(F.min(F.struct(known.alias("id"), "__hash")).alias("head")), "heads")
     # One row per block in these windows.
     along, whole = Window.orderBy("__block"), Window.partitionBy()
     before = F.coalesce(F.lag("__block").over(along), F.max("__block").over(whole))
     lead = heads.select(F.col("head.id").alias("__id"), F.col("head.__hash").alias("__h"), before.alias("__to"))
-    copies = rows.withColumn("__hash", F.xxhash64("text")).join(
-        F.broadcast(lead), (F.coalesce(key, F.lit(-(1 << 63))) == F.col("__id")) & (F.col("__hash") == F.col("__h"))
-    )
-    copies = copies.dropDuplicates(["__to"]).select(F.col("__to").alias("__block"), F.lit(1).alias("__copy"), "doc_id", "__hash", "text")
+    # Blocks of rows alike in id and text begin alike: one of these rows is handed to each block before.
+    firsts = rows.join(F.broadcast(lead.select("__id", "__h").distinct()), (known == F.col("__id")) & (F.col("__hash") == F.col("__h")))
+    copies = firsts.dropDuplicates(["__id", "__h"]).join(F.broadcast(lead), ["__id", "__h"])
+    copies = copies.select(F.col("__to").alias("__block"), F.lit(1).alias("__copy"), "doc_id", "__hash", "text")
     own = cut.select("__block", F.lit(0).alias("__copy"), "doc_id", "__hash", "text")
 
     def run(batches):
@@ -110,7 +110,7 @@ def fingerprints_with_next(docs: DataFrame) -> DataFrame:
             names = [c.split()[0] for c in FOUND.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names)
 
-    dealt = own.unionByName(copies).repartition("__block").sortWithinPartitions("__block", "__copy", "doc_id", "__hash")
+    dealt = own.unionByName(copies).repartition(tasks, "__block").sortWithinPartitions("__block", "__copy", "doc_id", "__hash")
     return dealt.mapInArrow(run, FOUND)
 
 

@@ -9,7 +9,8 @@ from the target by less than one largest document.
 
 A null or blank text has size 0, and is taken like any other document. Rows that repeat an id are rows of
 their own. A null source is a source, the last in order. An empty table gives no rows. Reruns agree: the
-offset and the order of equal sizes come from hashes of the seed with the source and the doc_id.
+offset and the order of equal sizes come from hashes of the seed with the source and the doc_id, and of the text
+where rows of one size repeat an id.
 Columns other than doc_id, text and source are ignored.
 """
 
@@ -20,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import number_rows
+from millrace.llm.common import fresh, number_rows
 from millrace.session import materialise
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -69,7 +70,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, s
     by (source, size, hash), cut into blocks by value, so a source of any size is many tasks.
     """
     salt = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.md5(salt).alias("__hash"), *carry), "sizes")
+    # Within one id and size, the text decides.
+    own = [word_count(F.col("text")).alias("size"), F.md5(salt).alias("__hash"), F.xxhash64("text").alias("__text")]
+    rows = materialise(docs.select("doc_id", "source", *own, *carry), "sizes")
     stats = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("documents"))
     known = materialise(targets(materialise(stats, "sources"), weights, most), "targets").withColumnRenamed("source", "__source")
     joined = rows.join(known, F.col("source").eqNullSafe(F.col("__source"))).drop("__source", "weight", "documents")
@@ -77,7 +80,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, s
     # Ascends with (source, size, hash); sizes beyond 2^26 words share a step and are ordered by hash.
     size = F.least("size", F.lit((1 << 26) - 1))
     key = F.col("number") * (1 << 42) + size * (1 << 16) + F.conv(F.substring("__hash", 1, 4), 16, 10).cast("long")
-    numbered = number_rows(joined, key, [key, F.col("__hash"), F.col("doc_id")], "__row")
+    numbered = number_rows(joined, key, F.xxhash64("__hash", "doc_id", "__text"), [key, F.col("__hash"), F.col("doc_id"), F.col("__text")], "__row")
     place = F.col("__row") - F.col("docs_before") + 1
     rate = F.when(F.col("words") > 0, F.col("target") / F.col("words")).otherwise(0.0)
     offset = _share(F.md5(F.concat(F.lit(f"{seed}:source:"), F.coalesce("source", F.lit("")))), 5)
@@ -88,9 +91,15 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, s
 
 def take(docs: DataFrame, copies: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` as often as ``mix`` says; rows that repeat the key share its greatest number."""
-    known = copies.groupBy(key).agg(F.max("copies").alias("__copies")).where(F.col("__copies") > 0)
-    known = materialise(known.withColumnRenamed(key, "__taken"), "copies")
+    taken, number = fresh(docs, "__taken"), fresh(docs, "__copies")
+    known = copies.groupBy(key).agg(F.max("copies").alias(number)).where(F.col(number) > 0)
+    known = materialise(known.withColumnRenamed(key, taken), "copies")
     # A merge at every size, as what is taken grows with the table.
-    joined = docs.join(known.hint("merge"), docs[key].eqNullSafe(F.col("__taken")))
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
-    return joined.withColumn("__copy", each).select(*docs.columns)
+    joined = docs.join(known.hint("merge"), docs[key].eqNullSafe(F.col(taken)))
+    return repeated(joined, number).select(*docs.columns)
+
+
+def repeated(rows: DataFrame, number: str) -> DataFrame:
+    """Every row as often as its column ``number`` says."""
+    copies = F.explode(F.array_repeat(F.lit(1), F.col(number).cast("int")))
+    return rows.where(F.col(number) > 0).withColumn(fresh(rows, "__copy"), copies).drop(fresh(rows, "__copy"))

@@ -103,7 +103,7 @@ def shard(docs: DataFrame, shards: int, seed: int = 1) -> DataFrame:
     size = (F.octet_length(text) + 16).cast("long")
     rows = materialise(docs.select("doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("__hash")), "rows")
     order: list[Column] = [F.col("doc_id"), F.col("__hash")]
-    numbered = number_rows(rows, F.col("doc_id"), order, "row").drop("__hash")
+    numbered = number_rows(rows, F.col("doc_id"), F.col("__hash"), order, "row").drop("__hash")
     moved = permute(numbered, rows.count(), seed)
     place = F.col("permuted")
     return moved.select(

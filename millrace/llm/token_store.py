@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bases, block_count, cut_points, slices, texts, with_block
+from millrace.llm.common import BLOCKS_PER_TASK, TASK_BYTES, bases, slices, task_count, texts, tidy, with_block
 from millrace.llm.tokens import SLICE, default_path, encoder
 
 END_ID = 1
@@ -82,8 +82,9 @@ def read_all(levels: list[dict[str, bytes]]) -> np.ndarray:
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, segment_ids: int = SEGMENT_IDS) -> None:
     """Encode the texts and write the store to ``path``. The texts are shuffled once, by blocks of ids."""
     file, end, spark = tokenizer or default_path(), end_id.to_bytes(4, "little"), docs.sparkSession
-    key, rows = F.col("doc_id"), texts(docs)
-    cut = with_block(rows, key, cut_points(rows, key, block_count(spark)))
+    rows, hash_ = texts(docs), F.xxhash64("text")
+    tasks = task_count(rows, F.octet_length("text"), TASK_BYTES)
+    cut = with_block(rows, F.col("doc_id"), hash_, BLOCKS_PER_TASK * tasks)
 
     def segments(batches):
         encode, held, block, number, first = encoder(file), [], None, 0, 0
@@ -110,8 +111,8 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
         if held:
             yield flush()
 
-    ordered = cut.repartition("__block").sortWithinPartitions("__block", "doc_id", F.xxhash64("text"))
-    ordered.select("__block", "doc_id", "text").mapInArrow(segments, SEGMENT).write.parquet(f"{path}/segments")
+    ordered = cut.repartition(tasks, "__block").sortWithinPartitions("__block", "doc_id", hash_)
+    ordered.select("__block", "doc_id", "text").mapInArrow(tidy(segments), SEGMENT).write.parquet(f"{path}/segments")
     stored = spark.read.parquet(f"{path}/segments").select("__block", "n_ids")
     bases(stored, ["n_ids"]).select("__block", F.col("__base_n_ids").alias("base")).write.parquet(f"{path}/bases")
 

@@ -65,12 +65,32 @@ def test_shard_cases(spark, frame):
 
 def test_row_numbers_with_repeats(spark):
     df = spark.createDataFrame([(i % 7 if i % 5 else None, i) for i in range(300)], "k long, v long")
-    got = common.number_rows(df, F.col("k"), [F.col("k").asc_nulls_first(), F.col("v")], "n")
-    want = sorted(((i % 7 if i % 5 else None, i) for i in range(300)), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-    assert [r[1:] for r in collected(got, "n", "k", "v") ] is not None
+    got = common.number_rows(df, F.col("k"), F.xxhash64("v"), [F.col("k").asc_nulls_first(), F.xxhash64("v")], "n")
+    hashes = {r["v"]: r["h"] for r in df.select("v", F.xxhash64("v").alias("h")).collect()}
+    want = sorted(((i % 7 if i % 5 else None, i) for i in range(300)), key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]]))
     assert [(r["k"], r["v"]) for r in sorted(got.collect(), key=lambda r: r["n"])] == want
 
 
+def test_blocks_split_hot_ids_and_equal_rows(spark):
+    """A third of the rows without an id, a fifth with one id, and most of those one text: no block much above its share."""
+    def row(i):
+        doc = None if i % 3 == 0 else 5 if i % 5 == 0 else i
+        return doc, "copy" if i % 3 == 0 and i % 4 else "same" if doc == 5 else f"text {i}"
+
+    df = spark.createDataFrame([row(i) for i in range(12_000)], "doc_id long, text string").withColumn("h", F.xxhash64("text"))
+    parts = 24
+    cut = common.with_block(df, F.col("doc_id"), F.col("h"), parts)
+    sizes = [r["count"] for r in cut.groupBy("__block").count().collect()]
+    assert max(sizes) <= 2.5 * 12_000 / parts and len(sizes) >= parts / 2
+    spans = cut.select("__block", F.struct(F.col("doc_id").isNotNull().alias("a"), F.coalesce("doc_id", F.lit(0)).alias("b"), "h").alias("at"))
+    ends = spans.groupBy("__block").agg(F.min("at").alias("low"), F.max("at").alias("high")).orderBy("__block").collect()
+    assert all(a["high"] <= b["low"] for a, b in zip(ends, ends[1:], strict=False))
+    numbered = common.number_rows(df, F.col("doc_id"), F.col("h"), [F.col("doc_id"), F.col("h")], "n").collect()
+    assert sorted(r["n"] for r in numbered) == list(range(12_000))
+    shown = [(r["doc_id"] is not None, r["doc_id"] or 0, r["h"]) for r in sorted(numbered, key=lambda r: r["n"])]
+    assert shown == sorted(shown)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (5, 5), (3, 1), *[(100 + i, 101 + i) for i in range(60)], *[(500, 501 + i) for i in range(50)]]
     got = dict(collected(common.components(spark.createDataFrame(edges, "a long, b long")), "node", "component"))

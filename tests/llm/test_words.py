@@ -7,8 +7,9 @@ from itertools import permutations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from millrace.llm import filter_audit, spelling
+from millrace.llm import filter_audit, sketches, spelling
 from millrace.llm.queries import QUERIES
 
 
@@ -122,10 +123,10 @@ AUDIT = ("part", "filter_order", "step", "kept", "removed", "redundant", "unique
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_audit_on_odd_rows(spark, frame, monkeypatch, broadcast):
     if not broadcast:
-        monkeypatch.setattr(filter_audit, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(sketches, "BROADCAST_BYTES", 0)
     # Many segments, and tasks that hand on their counters more than once.
-    monkeypatch.setattr(filter_audit, "COUNTERS_PER_ROW", 20_000)
-    monkeypatch.setattr(filter_audit, "HELD_ROWS", 3)
+    monkeypatch.setattr(sketches, "COUNTERS_PER_ROW", 20_000)
+    monkeypatch.setattr(sketches, "HELD_ROWS", 3)
     many = " ".join(f"w{i}" for i in range(250))
     odd = [
         (1, None, None, "a"), (2, "", None, None), (3, "", None, ""), (4, many, None, "a"), (4, many, None, "b"), (5, many, None, "b"), (None, many, None, "b"),
@@ -147,3 +148,15 @@ def test_sketch_clears_most_unique_texts(spark, docs):
     repeated = docs.groupBy("text").count().where("count > 1").agg({"count": "sum"}).first()[0] or 0
     flagged = tested.where("repeat").count()
     assert repeated <= flagged <= repeated + 0.1 * docs.count()
+
+
+def test_only_known_keeps_every_partner(spark, monkeypatch):
+    rows = spark.range(20_000).select((F.col("id") % 7_000).alias("doc_id"), F.lit("x").alias("segment"))
+    keys = spark.range(0, 7_000, 50).select(F.col("id").alias("k"))
+    for size in (sketches.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(sketches, "BROADCAST_BYTES", size)
+        left = sketches.only_known(rows, keys, "doc_id", "k")
+        assert left.columns == rows.columns
+        exact = rows.where("doc_id % 50 = 0").count()
+        assert left.where("doc_id % 50 = 0").count() == exact and exact <= left.count() < 1.2 * exact
+        assert sketches.only_known(rows, keys.limit(0), "doc_id", "k").collect() == []
