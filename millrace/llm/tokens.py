@@ -19,13 +19,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Parts kept per worker. When full, the store starts anew; ids don't depend on it.
+#: Parts kept per worker, and bytes of their names. When full, the store starts anew; ids don't depend on it.
 KEPT = 600_000
+KEPT_BYTES = 16 << 20
 #: Parts given to the library at once.
 _TOGETHER = 5_000
 #: Bytes of text worth handing over at a time: the more, the fewer parts are distinct.
 SLICE = 8_000_000
 _STOPS = ".,;:!?"
+_NONE = np.zeros(0, "<u4")
 
 # How the file must cut words for the shortcut to hold.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -83,38 +85,46 @@ class Encoder:
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
-        self.stops = {s: self._whole([s])[0] for s in _STOPS}
-        self.parts: dict[str, bytes] = {}
+        self.stops = {s: np.frombuffer(self._whole([s])[0], "<u4") for s in _STOPS}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start the store anew: the parts met, and in their order the ids of all and where each part's end."""
+        self.parts, self.ids, self.cuts = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(1, np.int64)
 
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
         found = self.library.encode_batch(list(texts), add_special_tokens=False)
         return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
 
-    def _learn(self, parts: Sequence[str]) -> None:
-        every = pa.array(parts, pa.string())
-        simple = pc.match_substring_regex(every, _ONE_WORD)
-        names = every.filter(simple).to_pylist()
-        words = pc.utf8_rtrim(every.filter(simple), _STOPS).to_pylist()
-        stops = [self.stops.get(n[-1], b"") for n in names]
-        for at in range(0, len(words), _TOGETHER):
-            here = slice(at, at + _TOGETHER)
-            joined = " ".join(words[here])
+    def _learn(self, parts: pa.Array) -> None:
+        simple = pc.match_substring_regex(parts, _ONE_WORD)
+        names = parts.filter(simple)
+        words = pc.utf8_rtrim(names, _STOPS)
+        stops = pc.utf8_slice_codeunits(names, -1).to_pylist()
+        plain = words.to_pylist()
+        for at in range(0, len(plain), _TOGETHER):
+            joined = " ".join(plain[at : at + _TOGETHER])
             if not joined.isascii():
                 joined = joined.encode().decode("latin-1").translate(self.letters)
             ids = np.array(self.merges.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
-            self._keep(names[here], ids, np.flatnonzero(self.ends[ids]) + 1, stops[here])
-        odd = every.filter(pc.invert(simple)).to_pylist()
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            # A stop's ids go behind those of its word.
+            behind = [self.stops.get(s, _NONE) for s in stops[at : at + _TOGETHER]]
+            sizes = np.fromiter(map(len, behind), np.int64, len(behind))
+            ids = np.insert(ids, np.repeat(cuts, sizes), np.concatenate([_NONE, *behind]))
+            self._keep(names.slice(at, _TOGETHER), ids, cuts + np.cumsum(sizes))
+        odd = parts.filter(pc.invert(simple))
         for at in range(0, len(odd), _TOGETHER):
-            some = odd[at : at + _TOGETHER]
-            found = self.library.encode(" ".join(some), add_special_tokens=False)
+            some = odd.slice(at, _TOGETHER)
+            found = self.library.encode(" ".join(some.to_pylist()), add_special_tokens=False)
             places = np.array([a for a, _ in found.offsets], dtype=np.int64)
-            cuts = np.searchsorted(places, np.cumsum([len(p) + 1 for p in some]))
-            self._keep(some, np.array(found.ids, dtype="<u4"), cuts, [b""] * len(some))
+            lengths = pc.utf8_length(some).to_numpy()
+            self._keep(some, np.array(found.ids, dtype="<u4"), np.searchsorted(places, np.cumsum(lengths + 1)))
 
-    def _keep(self, names: Sequence[str], ids: np.ndarray, ends: np.ndarray, stops: Sequence[bytes]) -> None:
-        raw, at = ids.tobytes(), (4 * ends).tolist()
-        pieces = [raw[a:b] + s for a, b, s in zip([0, *at[:-1]], at, stops, strict=True)]
-        self.parts.update(zip(names, pieces, strict=True))
+    def _keep(self, names: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
+        self.parts = pa.concat_arrays([self.parts, names])
+        self.cuts = np.concatenate([self.cuts, self.cuts[-1] + ends])
+        self.ids = np.concatenate([self.ids, ids[: ends[-1]]])
 
     def __call__(self, texts: pa.Array | Sequence[str]) -> list[bytes]:
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
@@ -122,23 +132,19 @@ class Encoder:
             return self._whole(texts.to_pylist())
         if not len(texts):
             return []
-        if len(self.parts) > KEPT:
-            self.parts.clear()
+        if len(self.parts) > KEPT or self.parts.nbytes > KEPT_BYTES:
+            self._forget()
         split = _parts(texts)
         coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        pieces = list(map(self.parts.get, distinct))
-        gaps = [i for i, piece in enumerate(pieces) if piece is None]
-        self._learn([distinct[i] for i in gaps])
-        for i in gaps:
-            pieces[i] = self.parts[distinct[i]]
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        flat, starts = np.frombuffer(b"".join(pieces), "<u4"), np.cumsum(lengths) - lengths
+        place = pc.index_in(coded.dictionary, value_set=self.parts)
+        if place.null_count:
+            self._learn(coded.dictionary.filter(place.is_null()))
+            place = pc.index_in(coded.dictionary, value_set=self.parts)
         # The ids of every part in turn: each run of places starts where its part's ids start.
-        at = coded.indices.to_numpy()
-        size = lengths[at]
+        at = place.to_numpy()[coded.indices.to_numpy()]
+        start, size = self.cuts[at], self.cuts[at + 1] - self.cuts[at]
         ends = np.cumsum(size)
-        ids = flat[np.repeat(starts[at] - (ends - size), size) + np.arange(ends[-1])]
+        ids = self.ids[np.repeat(start - (ends - size), size) + np.arange(ends[-1])]
         raw, cuts = ids.tobytes(), np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4
         return [raw[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
 
