@@ -7,8 +7,8 @@ languages share; a text goes to the profile with the greatest cosine.
 
 Letters are Unicode letters in lower case; whatever lies between words is one blank. Letters share
 SLOTS vectors by their code, a-z one each. A null text, or one without letters, is ``und`` with score 0. Texts
-that no profile is near, or a model without any language, give the first language in order with score 0,
-or ``und``. Rows that repeat an id are rows of their own. Rows without a language don't train. An empty table
+that no profile is near give the first language in order with score 0, a model without any language gives
+``und``; whether a text has letters is told apart from that. Rows that repeat an id are rows of their own. Rows without a language don't train. An empty table
 trains no language. Columns other than those named are ignored.
 """
 
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices
+from millrace.llm.common import slices, tidy
 
 DIMENSIONS = 512
 RUN = 3
@@ -40,9 +40,11 @@ def _slot(char: str) -> int:
 
 
 _slots = np.array([_slot(chr(c)) for c in range(sys.maxunicode + 1)], dtype=np.uint8)
-# Vectors of runs met by this worker, filled as they come.
-_bound = np.zeros((SLOTS**RUN, DIMENSIONS), dtype=np.int8)
-_known = np.zeros(SLOTS**RUN, dtype=bool)
+#: Runs whose vectors are added up at a time.
+STEP = 2048
+# Vectors of the runs met by this worker, in the order of their coming, and the place of each run among them.
+_bound = np.zeros((STEP, DIMENSIONS), dtype=np.int8)
+_place = np.full(SLOTS**RUN, -1, dtype=np.int32)
 
 
 def letters(text: str) -> np.ndarray:
@@ -63,20 +65,34 @@ def runs(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bound(codes: np.ndarray) -> np.ndarray:
-    """One vector per run: its letters' vectors, rotated by their distance from its end, multiplied."""
-    new = codes[~_known[codes]]
+    """One vector per distinct run: its letters' vectors, rotated by their distance from its end, multiplied."""
+    global _bound
+    new = codes[_place[codes] < 0]
     if len(new):
         made = _rotated[0][new % SLOTS]
         for k in range(1, RUN):
             made = made * _rotated[k][new // SLOTS**k % SLOTS]
-        _bound[new], _known[new] = made, True
-    return _bound[codes]
+        known = int(_place.max()) + 1
+        if known + len(new) > len(_bound):
+            # Grown by half, to what this worker meets and no further.
+            _bound = np.concatenate([_bound, np.zeros((max(len(new), len(_bound) // 2), DIMENSIONS), dtype=np.int8)])
+        _bound[known : known + len(new)] = made
+        _place[new] = np.arange(known, known + len(new))
+    return _bound[_place[codes]]
+
+
+def total(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weighted sum of the vectors of distinct runs, some at a time."""
+    out = np.zeros(DIMENSIONS, dtype=weights.dtype)
+    for at in range(0, len(codes), STEP):
+        out += weights[at : at + STEP] @ bound(codes[at : at + STEP]).astype(weights.dtype)
+    return out
 
 
 def bundle(text: str) -> np.ndarray:
     """The sum of the vectors of a text's runs, of which there are at most SLOTS ** RUN."""
     codes, counts = runs(text)
-    return counts.astype(np.float32) @ bound(codes).astype(np.float32)
+    return total(codes, counts.astype(np.float32))
 
 
 @dataclass(frozen=True)
@@ -104,11 +120,11 @@ def train(rows: DataFrame) -> Profiles:
                 counts.setdefault(lang, np.zeros(SLOTS**RUN))[codes] += n / max(n.sum(), 1)
         for lang, sums in counts.items():
             codes = np.flatnonzero(sums)
-            total = sums[codes] @ bound(codes).astype(np.float64)
             names = pa.array([lang] * DIMENSIONS)
-            yield pa.RecordBatch.from_arrays([names, pa.array(np.arange(DIMENSIONS, dtype=np.int32)), pa.array(total)], ["lang", "dim", "value"])
+            values = pa.array(total(codes, sums[codes]))
+            yield pa.RecordBatch.from_arrays([names, pa.array(np.arange(DIMENSIONS, dtype=np.int32)), values], ["lang", "dim", "value"])
 
-    parts = kept.mapInArrow(run, "lang string, dim int, value double")
+    parts = kept.mapInArrow(tidy(run), "lang string, dim int, value double")
     sums = parts.groupBy("lang", "dim").agg(F.sum("value").alias("value")).collect()
     languages = tuple(sorted({r["lang"] for r in sums}))
     vectors = np.zeros((len(languages), DIMENSIONS))
@@ -124,25 +140,27 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
 
-def guess(text: str | None, profiles: Profiles) -> tuple[str, float]:
-    """(language, cosine with its profile, at least 0)."""
-    total = bundle(text or "")
-    size = float(np.linalg.norm(total))
-    if not len(letters(text or "")) or not profiles.languages:
-        return UNKNOWN, 0.0
-    apart = total / max(size, 1e-12) - profiles.shared
+def guess(text: str | None, profiles: Profiles) -> tuple[str, float, bool]:
+    """(language, cosine with its profile, at least 0, whether the text has letters)."""
+    if not len(letters(text or "")):
+        return UNKNOWN, 0.0, False
+    if not profiles.languages:
+        return UNKNOWN, 0.0, True
+    sums = bundle(text or "")
+    apart = sums / max(float(np.linalg.norm(sums)), 1e-12) - profiles.shared
     scores = profiles.vectors @ (apart / max(float(np.linalg.norm(apart)), 1e-12))
     best = int(scores.argmax())
-    return profiles.languages[best], min(1.0, max(0.0, float(scores[best])))
+    return profiles.languages[best], min(1.0, max(0.0, float(scores[best]))), True
 
 
 def predict(profiles: Profiles, text: Column) -> Column:
-    """A column of struct(lang, score) for a column of texts."""
-
-    @F.pandas_udf("lang string, score double")
-    def of(series):
-        import pandas as pd
-
-        return pd.DataFrame([guess(t, profiles) for t in series], columns=["lang", "score"])
+    """A column of struct(lang, score, letters) for a column of texts."""
+
+    @F.arrow_udf("struct<lang:string,score:double,letters:boolean>")
+    def of(column):
+        found = [guess(t.as_py(), profiles) for t in column]
+        kinds = {"lang": pa.string(), "score": pa.float64(), "letters": pa.bool_()}
+        values = zip(*found, strict=True) if found else ((), (), ())
+        return pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(values, kinds.values(), strict=True)], list(kinds))
 
     return of(text)
