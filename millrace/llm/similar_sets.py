@@ -16,20 +16,23 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, map_arrow, slices, texts
+from millrace.llm.common import components, map_arrow, slices, texts, tidy
 from millrace.llm.shingles import shingles
+from millrace.llm.sketches import only_known
 from millrace.session import materialise
 
 #: A block of a family holds about so many sets, and so many shingles unless one set has more.
 BLOCK_SETS = 128
 BLOCK_SHINGLES = 200_000
+#: Families of more distinct sets are tied again before their sets are compared.
+LARGE_FAMILY = 4 * BLOCK_SETS
 
 
 def digest(tokens: np.ndarray) -> bytes:
@@ -133,11 +136,12 @@ def _cells(families: DataFrame, num: int, den: int) -> DataFrame:
 def verified_links(docs: DataFrame, families: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """(a, b): pairs that connect what links connect within each family of distinct sets.
 
-    Texts are read once more, and those of families travel to their cells as texts. The join is a merge at
-    every size: how many texts are in families is known only now, and grows with the table.
+    Texts are read once more, and those of families travel to their cells as texts; most others stay where they are,
+    as a Bloom filter of the families' ids says. The join is a merge at every size: how many texts are in families is
+    known only now, and grows with the table.
     """
     cells = materialise(_cells(families, num, den), "cells")
-    some = texts(docs).join(cells.hint("merge"), F.col("doc_id") == F.col("set_id")).select("cell", "set_id", "text")
+    some = only_known(texts(docs), cells, "doc_id", "set_id").join(cells.hint("merge"), F.col("doc_id") == F.col("set_id")).select("cell", "set_id", "text")
     dealt = some.repartition("cell").sortWithinPartitions("cell", "set_id")
 
     def run(batches):
@@ -157,19 +161,41 @@ def verified_links(docs: DataFrame, families: DataFrame, size: int, num: int, de
                 sets.append(np.unique(shingles(text, size)))
         yield flush()
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(tidy(run), "a long, b long")
 
 
-def classes(docs: DataFrame, sets: DataFrame, ties: DataFrame, size: int, num: int, den: int) -> DataFrame:
+def _refined(docs: DataFrame, distinct: DataFrame, again: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(family, set_id, n_shingles) of stored distinct sets, large families cut into what ``again`` ties.
+
+    A cut family's parts are named by their least set.
+    """
+    sizes = materialise(distinct.groupBy("family").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") > LARGE_FAMILY).select("family"), "large")
+    if not sizes.head(1):
+        return distinct.select("family", "set_id", "n_shingles")
+    large = materialise(distinct.join(sizes, "family").select("family", "set_id", "n_shingles"), "large-sets")
+    some = only_known(texts(docs), large, "doc_id", "set_id").join(large.select("set_id").distinct().hint("merge"), F.col("doc_id") == F.col("set_id"))
+    # Rows that repeat an id are one set each, and ties know ids only: what they connect stays together.
+    cut = components(again(some.select("doc_id", "text"))).withColumnRenamed("node", "set_id")
+    parts = large.drop("family").join(cut, "set_id").select(F.col("component").alias("family"), "set_id", "n_shingles")
+    small = distinct.join(sizes, "family", "left_anti").select("family", "set_id", "n_shingles")
+    # Least sets name families of both kinds; those of small families are no sets of large ones.
+    return small.unionByName(parts)
+
+
+def classes(
+    docs: DataFrame, sets: DataFrame, ties: DataFrame, size: int, num: int, den: int, again: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row, given a superset of the links as ties (a, b).
 
-    ``sets`` is a stored ``set_table``. Equal sets must be tied, directly or through others.
+    ``sets`` is a stored ``set_table``. Equal sets must be tied, directly or through others. ``again`` gives another
+    superset of the links between some documents (doc_id, text), with fewer ties between unlike ones.
     """
     families = components(ties).withColumnRenamed("component", "family")
     members = materialise(families.join(sets.select(F.col("doc_id").alias("node"), "n_shingles", "digest"), "node"), "members")
     distinct = members.groupBy("family", "digest").agg(F.min("node").alias("set_id"), F.first("n_shingles").alias("n_shingles"))
     distinct = materialise(distinct, "distinct")
-    found = verified_links(docs, distinct.select("family", "set_id", "n_shingles"), size, num, den)
+    cut = distinct.select("family", "set_id", "n_shingles") if again is None else materialise(_refined(docs, distinct, again), "refined")
+    found = verified_links(docs, cut, size, num, den)
     equal = members.join(distinct.drop("n_shingles"), ["family", "digest"]).select(F.col("node").alias("a"), F.col("set_id").alias("b"))
     known = components(found.union(equal)).withColumnRenamed("node", "doc_id")
     rows = sets.select("doc_id", "n_shingles").join(known, "doc_id", "left")

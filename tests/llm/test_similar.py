@@ -177,7 +177,7 @@ def test_language_cases(spark, frame):
     by_row = [got[k] for k in sorted(got)]
     assert by_row[:5] == ["en", "de", "und", "und", "und"] and by_row[5] in profiles.languages and by_row[6:] == ["en", "de"]
     none = language.train(frame([]))
-    assert none.languages == () and language.guess("some text", none) == ("und", 0.0)
+    assert none.languages == () and language.guess("some text", none) == ("und", 0.0, True)
     one = language.train(frame([(1, "only one", "xx")]))
     assert language.guess("only this", one)[0] == "xx"
 
@@ -223,9 +223,53 @@ def test_search_stops_early_and_stays_exact():
     base = r.normal(size=(20, 32))
     vectors = np.floor(256 * np.concatenate([base[i % 20][None] + 0.1 * r.normal(size=(1, 32)) for i in range(2000)])).astype(np.int64)
     block = topk.Block(np.arange(2000), vectors)
-    block.prepare()
     for q in range(0, 200, 13):
         scores = vectors @ vectors[q]
         scores[q] = scores.min() - 1
         want = sorted(range(2000), key=lambda i: (-scores[i], i))[:5]
         assert block.search(vectors[q], q, 5) == [(i, int(scores[i])) for i in want]
+    assert block.walked < 0.9 * block.postings and block.scored < 0.05 * block.rows
+
+
+def test_walks_of_the_test_table_decide_by_proof(spark):
+    """On vectors without any structure most rows are ruled out by the walk, and few are scored exactly."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    ids = np.array([r["vec_id"] for r in rows])
+    vectors = np.floor(256 * np.array([r["embedding"] for r in rows], dtype=np.float64)).astype(np.int64)
+    block = topk.Block(ids, vectors)
+    for q in np.flatnonzero(ids % 50 == 0):
+        scores = np.where(ids == ids[q], -(10**9), vectors @ vectors[q])
+        want = np.lexsort((ids, -scores))[:5]
+        assert block.search(vectors[q], int(ids[q]), 5) == [(int(ids[i]), int(scores[i])) for i in want]
+    assert block.walked < 0.8 * block.postings and block.scored < 0.05 * block.rows
+
+
+def test_near_duplicates_against_brute_force_at_size(spark):
+    """Of all pairs of the test table at five words and 0.8, every one shares a class; no class joins documents that no
+    chain of such pairs joins."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sets = {r["doc_id"]: set_of(r["text"], 5) for r in table.collect()}
+    holders, pairs = {}, set()
+    for doc, shingle_set in sets.items():
+        for s in shingle_set:
+            holders.setdefault(s, []).append(doc)
+    shared = {}
+    for docs in holders.values():
+        for i, a in enumerate(docs):
+            for b in docs[:i]:
+                shared[a, b] = shared.get((a, b), 0) + 1
+    for (a, b), n in shared.items():
+        if 10 * n >= 8 * (len(sets[a]) + len(sets[b]) - n):
+            pairs.add((a, b))
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(table).collect()}
+    assert len(pairs) > 100 and all(got[a] == got[b] for a, b in pairs)
+    at = {d: d for d in sets}
+
+    def root(d):
+        while at[d] != d:
+            d = at[d]
+        return d
+
+    for a, b in pairs:
+        at[max(root(a), root(b))] = min(root(a), root(b))
+    assert {d: root(d) for d in sets} == got

@@ -1,5 +1,6 @@
 """Cases of a review of whole jobs: each failed before its finding was settled."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -7,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from millrace.llm import mixing, ngram_join, pii
+from millrace.llm import mixing, ngram_join, pii, similar_sets
+from millrace.llm.common import by_row, numbered, with_value
 
 from .conftest import collected, passage
 from .test_similar import CASES, slow_classes, variants
@@ -91,3 +93,47 @@ def test_rows_of_one_id_are_taken_one_by_one(spark, frame, sf_dir):
     for row in decided:
         mine = [got[r["text"]] for r in made.collect() if r["source"] == row["source"]]
         assert sum(mine) == row["n"] and max(mine) - min(mine) <= 1
+
+
+def test_rows_from_files_keep_their_numbers(spark, tmp_path):
+    made = spark.range(0, 30_000, 1, 3).select((F.col("id") % 7).alias("doc_id"), F.col("id").alias("__path"), F.lit("x").alias("text"))
+    made.write.parquet(str(tmp_path / "rows"))
+    whole = spark.read.parquet(str(tmp_path / "rows"))
+    once = numbered(whole, "n")
+    assert once.columns == [*whole.columns, "n"]
+    first = {r["__path"]: r["n"] for r in once.collect()}
+    assert len(set(first.values())) == 30_000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert {r["__path"]: r["n"] for r in numbered(whole, "n").collect()} == first
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # Rows that are not a file's own are stored with their numbers.
+    twice = numbered(whole.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))), "n")
+    assert twice.select("n").distinct().count() == 60_000
+    packed = by_row(once.where("__path % 5 = 0").withColumn("v", F.lit(3)), "n", "v")
+    told = with_value(once, "n", packed, "v").collect()
+    assert len(told) == 30_000 and all(r["v"] == (0 if r["__path"] % 5 else 3) for r in told)
+
+
+@pytest.mark.parametrize("num,den", [(9, 10), (8, 10)])
+def test_large_families_are_tied_again_without_losing_a_link(frame, monkeypatch, num, den):
+    """Unlike texts around common passages make one family; what the second lists tie has every link and fewer sets."""
+    monkeypatch.setattr(similar_sets, "LARGE_FAMILY", 3)
+    r, rows = random.Random(4), []
+    for i in range(120):
+        own = passage(r.choice([30, 80, 300]), 7, 1000 + 400 * i).split()
+        text = own + passage(46, 1, 97 * (i % 3)).split()
+        rows.append((10 * i, " ".join(text)))
+        for k in range(i % 4):
+            changed = list(text)
+            changed[r.randrange(len(own))] = f"edit{i}"
+            rows.append((10 * i + 1 + k, " ".join(changed)))
+    want = slow_classes(rows, 5, num, den)
+    assert collected(ngram_join.components_of(frame(rows), 5, num, den), "doc_id", "n_shingles", "component_id") == want
+    for n in (8, 20, 60, 200, 700, 3000):
+        base = np.sort(np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64))
+        kept = base[: -(-n * num // den)]
+        for a, b in ((base, kept), (base, np.sort(np.concatenate([kept, base[:0]])))):
+            assert set(ngram_join.second_keys(a, num, den)) & set(ngram_join.second_keys(b, num, den))
+            assert set(ngram_join.part_keys(a, num, den)) & set(ngram_join.part_keys(b, num, den))
