@@ -17,7 +17,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan(_table(spark, sf_dir, "documents"), scratch(spark, "ledger"))
+    docs, ledger = _table(spark, sf_dir, "documents"), scratch(spark, "ledger")
+    # Two deliveries into one ledger, the older ids and then all other rows: a blob that the first had is not scanned again.
+    middle = docs.approxQuantile("doc_id", [0.5], 0.01)
+    older = F.coalesce(F.col("doc_id") <= F.lit(middle[0] if middle else None), F.lit(False))
+    for delivery in (docs.where(older), docs.where(~older)):
+        secret_scan.extend(delivery, ledger)
+    found = secret_scan.report(docs, ledger)
     base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
 
     def count(kind: str):

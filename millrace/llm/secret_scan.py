@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices, texts
+from millrace.llm.common import fresh, slices, texts, tidy
 from millrace.operators.ordered import join_groups
 from millrace.session import materialise
 
@@ -47,7 +47,8 @@ BASE = {
 }
 RULES = BASE | {
     "pem": Rule(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----"),
-    "jwt": Rule(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}"),
+    # Begins a run, and runs are not given back: else a run of its own prefixes would be walked from each of them.
+    "jwt": Rule(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{16,}+", version=2),
     "forge": Rule(r"gh[pousr]_[A-Za-z0-9]{36,}"),
     "chat": Rule(r"xox[abprs]-[A-Za-z0-9-]{20,}"),
 }
@@ -109,7 +110,7 @@ def extend(docs: DataFrame, ledger: str, rules: Mapping[str, Rule] = RULES) -> N
                 rows.append({"blob": blob, "rules": asked, "spans": spans})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    todo.select("blob", "rules", "text").mapInArrow(run, LEDGER).write.mode("append").parquet(ledger)
+    todo.select("blob", "rules", "text").mapInArrow(tidy(run), LEDGER).write.mode("append").parquet(ledger)
 
 
 def findings(spark: SparkSession, ledger: str, rules: Mapping[str, Rule] = RULES) -> DataFrame:
@@ -123,10 +124,9 @@ def findings(spark: SparkSession, ledger: str, rules: Mapping[str, Rule] = RULES
     return rows.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
-def scan(docs: DataFrame, ledger: str, rules: Mapping[str, Rule] = RULES) -> DataFrame:
-    """(doc_id, blob, spans) for every row of ``docs``, after extending the ledger."""
+def report(docs: DataFrame, ledger: str, rules: Mapping[str, Rule] = RULES) -> DataFrame:
+    """(doc_id, blob, spans) for every row of ``docs``, all of whose blobs the ledger has."""
     spark = docs.sparkSession
-    extend(docs, ledger, rules)
     if _read(spark, ledger) is None:
         spark.createDataFrame([], LEDGER).write.mode("append").parquet(ledger)
     # Stored, so that adaptive execution can split a blob that very many paths share.
@@ -134,6 +134,12 @@ def scan(docs: DataFrame, ledger: str, rules: Mapping[str, Rule] = RULES) -> Dat
     return join_groups(docs.select("doc_id", blob_id(F.col("text")).alias("blob")), found, ["blob"])
 
 
+def scan(docs: DataFrame, ledger: str, rules: Mapping[str, Rule] = RULES) -> DataFrame:
+    """(doc_id, blob, spans) for every row of ``docs``, after extending the ledger."""
+    extend(docs, ledger, rules)
+    return report(docs, ledger, rules)
+
+
 def written(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -147,20 +153,22 @@ def redact(docs: DataFrame, ledger: str, rules: Mapping[str, Rule] = RULES, mark
     """
     extend(docs, ledger, rules)
     found = materialise(findings(docs.sparkSession, ledger, rules).where(F.size("spans") > 0), "findings")
-    found = found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    rows = docs.withColumn("__key", blob_id(F.col("text"))).join(found.hint("merge"), F.col("__key") == F.col("__blob"), "left")
+    key, blob, spans = (fresh(docs, n) for n in ("__key", "__blob", "__spans"))
+    found = found.select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    rows = docs.withColumn(key, blob_id(F.col("text"))).join(found.hint("merge"), F.col(key) == F.col(blob), "left")
     # Spans ascend by start; fold them into (text so far, place reached).
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
 
     def step(state, span):
-        fresh = span["start"] >= state["at"]
+        new = span["start"] >= state["at"]
         kept = F.substr(F.col("text"), (state["at"] + 1).cast("int"), F.greatest(span["start"] - state["at"], F.lit(0)).cast("int"))
-        done = F.when(fresh, F.concat(state["done"], kept, F.lit(mark))).otherwise(state["done"])
+        done = F.when(new, F.concat(state["done"], kept, F.lit(mark))).otherwise(state["done"])
         return F.struct(done.alias("done"), F.greatest(state["at"], span["end"]).alias("at"))
 
-    text = F.aggregate("__spans", start, step, lambda s: F.concat(s["done"], F.substr(F.col("text"), (s["at"] + 1).cast("int"))))
-    changed = rows.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(text))
+    text = F.aggregate(spans, start, step, lambda s: F.concat(s["done"], F.substr(F.col("text"), (s["at"] + 1).cast("int"))))
+    clean = F.col(spans).isNull()
+    changed = rows.withColumn("text", F.when(clean, F.col("text")).otherwise(text))
     if "n_chars" in docs.columns:
-        chars = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        chars = F.when(clean, F.col("n_chars")).otherwise(F.length("text"))
         changed = changed.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType))
     return changed.select(*docs.columns)

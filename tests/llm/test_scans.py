@@ -2,11 +2,13 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 
 from millrace.llm import pii, secret_scan
 from millrace.llm.queries import QUERIES
+from millrace.session import held, made
 from pyspark.sql import functions as F
 
 from .conftest import collected
@@ -74,6 +76,36 @@ def test_ledger_scans_each_pair_once(spark, frame, tmp_path):
     assert [s for _, s in collected(out.where("doc_id = 4").select("doc_id", secret_scan.written(F.col("spans")).alias("s")), "doc_id", "s")] == ["access:0:20", "access:0:20,access:21:30"]
 
 
+def test_query_scans_each_pair_of_blob_and_rule_once(spark, sf_dir, docs, rows):
+    """The query delivers its table in two parts; texts that both have are in the ledger once, with every rule once."""
+    first = made()
+    QUERIES["op1_secret_scan"](spark, sf_dir)
+    ledger = next(p for p in held(first) if "/ledger-" in p)
+    pairs = spark.read.parquet(ledger).select("blob", F.explode("rules").alias("rule"))
+    blobs = {hashlib.sha256((t or "").encode()).hexdigest() for _, t, *_ in rows}
+    assert pairs.count() == pairs.distinct().count() == len(blobs) * len(secret_scan.RULES)
+    middle = sorted(d for d, *_ in rows)[len(rows) // 2]
+    assert {t for d, t, *_ in rows if d < middle - 9} & {t for d, t, *_ in rows if d > middle + 9}
+
+
+def test_long_texts_of_each_rule_take_linear_time():
+    pieces = [
+        "password", "token=", "api_key : ", "AKIA", "AKIAABCDEF ", "0123456789abcdef0123456g", "-----BEGIN ", "-----BEGIN PRIVATE KEY-----", "PRIVATE KEY",
+        "eyJ", "eyJaaaaaaaa.", "eyJaaaaaaaa.eyJbbbbbbbb.", "ghp_", "gho_a", "xoxb-", "xoxb-a ",
+    ]
+    for piece in pieces:
+        began = time.monotonic()
+        secret_scan.find(piece * (5_000_000 // len(piece)), secret_scan.RULES)
+        assert time.monotonic() - began < 5, piece
+
+
+def test_long_texts_of_personal_data_take_linear_time():
+    for piece in ("a", "a.", "a@", "a@b", "a@b.", "1", "1.", "1 ", "1-", "+1", "+1 (", "1.1.1.", "one ", "plus one ", " at ", " dot ", "x at y dot ", "[at] ", "[dot]", "\uff11", "\u0430"):
+        began = time.monotonic()
+        pii.find(piece * (2_000_000 // len(piece)))
+        assert time.monotonic() - began < 10, piece
+
+
 def test_redact(spark, frame, tmp_path):
     made = frame([(1, "my token=abcdefg1 and\npassword: hunter22!"), (2, "clean"), (3, None)])
     got = secret_scan.redact(made, str(tmp_path / "ledger"))
