@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices, texts
+from millrace.llm.common import slices, texts, tidy
 from millrace.llm.tokens import SLICE, default_path, encoder
 from millrace.session import materialise
 
@@ -59,7 +59,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in PIECES.split(", ")])
 
-    return texts(docs).mapInArrow(run, PIECES)
+    return texts(docs).mapInArrow(tidy(run), PIECES)
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
