@@ -1,9 +1,12 @@
 """The pipeline against a plain reading of its stages, and its behaviour on odd input."""
 
 import hashlib
+import os
 from collections import Counter, defaultdict
 from math import floor
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from millrace.llm import secret_scan
 from millrace.llm.queries import QUERIES
@@ -41,7 +44,7 @@ def slow_copies(rows):
 
 def test_pipeline_equals_plain_reading(spark, docs, rows, sf_dir):
     known = [(d, t, s) for d, t, _, s, _ in rows if t and any(c.isalpha() for c in t)]
-    kept = {d for d, _, c in slow_classes([(d, t) for d, t, _ in known], 3, 9, 10) if d == c}
+    kept = {d for d, _, c in slow_classes([(d, t) for d, t, _ in known], 5, 8, 10) if d == c}
     clean = [(d, redacted(t), s) for d, t, s in known if d in kept]
     copies = slow_copies(clean)
     frame, by_stage = docs, {}
@@ -88,6 +91,38 @@ def test_stages_on_odd_rows(spark, frame, sf_dir):
     assert P.packed(spark, frame([]), sf_dir).collect() == []
 
 
+def test_language_stage_drops_only_texts_without_letters(spark, frame, sf_dir):
+    unlabelled = frame([(1, "some words"), (2, "12 34"), (3, None), (4, "łódź")])
+    assert {r["doc_id"] for r in P.with_language(spark, unlabelled, sf_dir).collect()} == {1, 4}
+    called_und = frame([(1, "some words here", "und"), (2, "andere Wörter hier", "de"), (3, "more words here", "und"), (4, "--")])
+    assert {r["doc_id"] for r in P.with_language(spark, called_und, sf_dir).collect()} == {1, 2, 3}
+
+
+def test_clashing_columns_and_maps(spark, frame, sf_dir):
+    """Columns called as the stages' own ones come out as they went in, and columns without a hash do no harm."""
+    names = ["__row", "__hash", "__gone", "__kept", "__key", "__blob", "__spans", "__number", "__copies", "__copy", "__language", "__values", "__BLOCK_"]
+    rows = [(1, passage(40), "en", "a"), (2, passage(40), "en", "a"), (3, "my password = hunter2222 here", "en", "b"), (3, "other words", None, "b")]
+    made = frame(rows).withColumns({n: F.concat(F.lit(n), "doc_id") for n in names} | {"notes": F.create_map(F.lit("k"), "doc_id")})
+    kept = {}
+    for name, stage in P.STAGES[:-1]:
+        got = stage(spark, made, sf_dir)
+        assert got.columns == made.columns
+        kept[name] = got.collect()
+        for r in kept[name]:
+            assert all(r[n] == f"{n}{r['doc_id']}" for n in names) and r["notes"] == {"k": r["doc_id"]}
+    assert [len(kept[n]) for n in ("language", "copies", "secrets")] == [4, 3, 4]
+    assert any("[secret]" in r["text"] for r in kept["secrets"])
+
+
+def test_scratch_of_a_stage_goes_with_the_next(spark, frame, sf_dir):
+    made = frame([(1, passage(40), "en", "a"), (2, passage(50, 3), "en", "b")])
+    P.without_copies(spark, made, sf_dir).collect()
+    own = list(P._own["without_copies"])
+    assert own and all(os.path.exists(p) for p in own)
+    P.without_secrets(spark, made, sf_dir).collect()
+    assert not any(os.path.exists(p) for p in own)
+
+
 def test_every_operator_has_a_query():
     assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert [name for name, _ in P.STAGES] == ["language", "copies", "secrets", "mix", "packing"]
