@@ -1,11 +1,13 @@
 """Exact top-k by inner product over an impact-ordered index, score at a time.
 
 Vectors are dealt into blocks of bounded size. A block's index has, for each component, the rows in
-descending order of the value, cut into segments of one quantised level. A query takes segments of
-all components together in descending order of impact (its own component times the best value of the
-segment), adds their exact contributions, and keeps for every row what it can still gain or lose at most.
-After each round, rows that provably cannot reach the k-th best score are out; when a round rules out little,
-the rows left, all that can be in the answer, ties included, are scored exactly.
+descending order of the value, cut into segments of one quantised level; these lists are made and stored once. A query
+takes segments of all components together in descending order of impact (its own component times the best value of
+the segment) and adds their exact contributions. After each round, the rows that lead so far are scored exactly, which
+gives a floor that the k-th best score cannot be below, and every row whose sum, with the most that its open
+components can still add, stays under the floor is out by proof. The walk ends when the rows left are so few that
+scoring them exactly costs less than going on, or when no segment is left. No row is given up without that proof, ties
+included, and no walk ends before it.
 
 Queries travel to every block in groups, and each (group, block) gives back k rows for a query. Equal scores
 go to the smaller id. Rows with a null id, or with a null vector or one holding null or non-finite values,
@@ -26,13 +28,14 @@ from pyspark.sql import functions as F
 from millrace.session import materialise
 
 BLOCK_ROWS = 16_384
-GROUP_QUERIES = 512
+GROUP_QUERIES = 2_048
 LEVELS = 32
 #: Rounds end at these shares of a query's greatest impact; the last one takes all segments.
-_SHARES = (0.4, 0.25, 0.16, 0.1, 0.05, 0.0)
-#: A search goes on while a round rules out this share of the rows left, as 1 in so many. Scoring a row exactly
-#: costs less than walking its share of the lists, so where bounds tell little, all that can win is scored.
-WORTH = 8
+_SHARES = (0.4, 0.2, 0.1, 0.07, 0.05, 0.036, 0.026, 0.019, 0.014, 0.01, 0.007, 0.0)
+#: Leading rows scored exactly in each round, as often as rows are asked for, and at least.
+LEADERS, LEAST_LEADERS = 4, 32
+#: Rows left, as 1 in so many, that are scored exactly: that costs less than walking the rest of the lists.
+FEW = 64
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
@@ -45,27 +48,31 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite, F.lit(False))
 
 
+def sorted_lists(vectors: np.ndarray) -> np.ndarray:
+    """For each component, the rows in descending order of their value."""
+    return np.argsort(-np.ascontiguousarray(vectors.T), axis=1, kind="stable").astype("<i4")
+
+
 class Block:
     """The index of some vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, order: np.ndarray | None = None):
         self.ids, self.vectors = ids, vectors
+        self.order = sorted_lists(vectors) if order is None else order
         # One list per component, each in one piece of memory.
-        columns = np.ascontiguousarray(vectors.T)
-        self.order = np.argsort(-columns, axis=1, kind="stable").astype(np.int32)
-        self.values = np.take_along_axis(columns, self.order, axis=1)
+        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
         low, high = (int(vectors.min()), int(vectors.max())) if vectors.size else (0, 0)
         self.width = max(1, -(-(high - low + 1) // LEVELS))
         self.low, self.high, self.exact = low, high, vectors.astype(np.float64)
+        self.segments = [self._cuts(d) for d in range(vectors.shape[1])]
+        # Of all searches: contributions added in walks, those there are, rows scored exactly, rows there are.
+        self.walked = self.postings = self.scored = self.rows = 0
 
     def _cuts(self, d: int) -> np.ndarray:
         """Where the quantised level of component ``d`` changes along its list, both ends included."""
         level = (self.values[d] - self.low) // self.width
         return np.concatenate([[0], np.flatnonzero(np.diff(level)) + 1, [len(level)]])
 
-    def prepare(self) -> None:
-        self.segments = [self._cuts(d) for d in range(self.vectors.shape[1])]
-
     def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
         """(id, score) of the best ``k`` rows for a query, best first.
 
@@ -75,6 +82,8 @@ class Block:
         n, dims = self.vectors.shape
         eligible = self.ids != own
         few = min(k, int(eligible.sum()))
+        if not few:
+            return []
         sure, open_ = np.zeros(n), np.ones((dims, n), dtype=np.float32)
         walks = []
         for d in np.flatnonzero(query[:dims]):
@@ -85,9 +94,11 @@ class Block:
             walks.append((d, cuts if query[d] > 0 else cuts[::-1], high, low))
         top = max((max(high[0], -low[-1]) for *_, high, low in walks), default=0.0)
         done = [(0, len(high)) for *_, high, _ in walks]
-        maybe = np.flatnonzero(eligible)
+        leaders = min(int(eligible.sum()), max(LEAST_LEADERS, LEADERS * few))
+        floor, maybe = -np.inf, np.flatnonzero(eligible)
+        self.postings += n * len(walks)
         for share in _SHARES:
-            limit, most, least = share * top, np.zeros(dims, dtype=np.float32), np.zeros(dims, dtype=np.float32)
+            limit, most = share * top, np.zeros(dims, dtype=np.float32)
             for at, (d, cuts, high, low) in enumerate(walks):
                 start, stop = done[at]
                 i = max(start, int(np.searchsorted(-high, -limit, side="right")))
@@ -98,21 +109,21 @@ class Block:
                         rows = self.order[d, a:b]
                         sure[rows] += float(query[d]) * self.values[d, a:b]
                         open_[d, rows] = 0.0
+                        self.walked += b - a
                 done[at] = (min(i, stop), j)
                 if i < j:
-                    most[d], least[d] = high[i], low[j - 1]
-            if not few:
-                break
-            # The sums are rounded; the margin is far above what rounding to 32 bits can add up to.
-            margin = 1e-5 * (1.0 + float(np.abs(most).sum() + np.abs(least).sum())) + 1e-9 * float(np.abs(sure).max())
-            best, worst = sure + most @ open_ + margin, sure + least @ open_ - margin
-            floor = np.partition(worst[eligible], -few)[-few]
-            left, maybe = len(maybe), np.flatnonzero(eligible & (best >= floor))
-            if WORTH * (left - len(maybe)) < left:
+                    most[d] = high[i]
+            ahead = maybe[np.argpartition(-sure[maybe], min(leaders, len(maybe)) - 1)[:leaders]]
+            floor = max(floor, float(np.partition(self._scores(ahead, query[:dims]), -few)[-few]))
+            # What sums in 32 bits (of as many terms as components, with most itself rounded) can be off by, twice.
+            margin = 2.0 * (dims + 2) * 2.0**-23 * float(np.abs(most).sum()) + 1e-9 * float(np.abs(sure).max())
+            best = sure[maybe] + (most @ open_)[maybe] + margin
+            maybe = maybe[best >= floor]
+            if FEW * len(maybe) <= n or len(maybe) <= leaders:
                 break
-        if not few:
-            return []
         scores = self._scores(maybe, query[:dims])
+        self.rows += n
+        self.scored += len(maybe)
         won = np.flatnonzero(scores >= np.partition(scores, -few)[-few])
         order = won[np.lexsort((self.ids[maybe[won]], -scores[won]))[:k]]
         return [(int(self.ids[maybe[i]]), int(scores[i])) for i in order]
@@ -124,9 +135,9 @@ class Block:
         return self.vectors[rows] @ query
 
 
-def _packed(rows: DataFrame, at: str) -> DataFrame:
-    """One row per value of ``at``: (at, n, dims, ids, values) with row-major 64-bit values."""
-    schema = f"{at} long, n long, dims long, ids binary, vectors binary"
+def _packed(rows: DataFrame, at: str, lists: bool) -> DataFrame:
+    """One row per value of ``at``: (at, n, dims, ids, vectors, lists) with row-major 64-bit values; lists if asked for."""
+    schema = pa.schema([(at, pa.int64()), ("n", pa.int64()), ("dims", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary()), ("lists", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, ids, vectors = None, [], []
@@ -136,8 +147,9 @@ def _packed(rows: DataFrame, at: str) -> DataFrame:
             matrix = np.zeros((len(vectors), dims), dtype="<i8")
             for i, v in enumerate(vectors):
                 matrix[i, : len(v)] = v
-            row = {at: held, "n": len(ids), "dims": dims, "ids": np.array(ids, dtype="<i8").tobytes(), "vectors": matrix.tobytes()}
-            return pa.RecordBatch.from_pylist([row], schema=pa.schema([(at, pa.int64()), ("n", pa.int64()), ("dims", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary())]))
+            order = sorted_lists(matrix).tobytes() if lists else b""
+            row = {at: held, "n": len(ids), "dims": dims, "ids": np.array(ids, dtype="<i8").tobytes(), "vectors": matrix.tobytes(), "lists": order}
+            return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches:
             for place, vec, values in zip(*[batch[c].to_pylist() for c in (at, "vec_id", "vector")], strict=True):
@@ -150,7 +162,8 @@ def _packed(rows: DataFrame, at: str) -> DataFrame:
         if ids:
             yield flush()
 
-    return rows.select(at, "vec_id", "vector").repartition(at).sortWithinPartitions(at).mapInArrow(run, schema)
+    dealt = rows.select(at, "vec_id", "vector").repartition(at).sortWithinPartitions(at)
+    return dealt.mapInArrow(run, f"{at} long, n long, dims long, ids binary, vectors binary, lists binary")
 
 
 def _unpack(row: dict, prefix: str = "") -> tuple[np.ndarray, np.ndarray]:
@@ -166,17 +179,20 @@ def search(vectors: DataFrame, queries: Column, k: int, scale: int = 256) -> Dat
     total, asks = stored.agg(F.count(F.lit(1)), F.count(F.when(F.col("__asks"), 1))).first()
     blocks, groups = max(1, -(-total // BLOCK_ROWS)), max(1, -(-asks // GROUP_QUERIES))
     deal = F.xxhash64("__n")
-    index = materialise(_packed(stored.withColumn("block", F.pmod(deal, F.lit(blocks))), "block"), "index")
-    asked = _packed(stored.where("__asks").withColumn("grp", F.pmod(deal, F.lit(groups))), "grp")
+    index = materialise(_packed(stored.withColumn("block", F.pmod(deal, F.lit(blocks))), "block", True), "index")
+    asked = _packed(stored.where("__asks").withColumn("grp", F.pmod(deal, F.lit(groups))), "grp", False)
     asked = asked.select("grp", *[F.col(c).alias(f"q_{c}") for c in ("n", "dims", "ids", "vectors")])
     # Every group meets every block once: groups * blocks rows, each of bounded size.
     sent = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def run(batches):
+        number, block = None, None
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block(*_unpack(row))
-                block.prepare()
+                # Groups that meet the same block in a row share its index.
+                if row["block"] != number:
+                    ids, matrix = _unpack(row)
+                    number, block = row["block"], Block(ids, matrix, np.frombuffer(row["lists"], "<i4").reshape(matrix.T.shape))
                 asked_ids, asked_vectors = _unpack(row, "q_")
                 out = []
                 for place, (own, query) in enumerate(zip(asked_ids.tolist(), asked_vectors, strict=True)):
