@@ -31,7 +31,7 @@ BLOCK_ROWS = 16_384
 GROUP_QUERIES = 2_048
 LEVELS = 32
 #: Rounds end at these shares of a query's greatest impact; the last one takes all segments.
-_SHARES = (0.4, 0.2, 0.1, 0.07, 0.05, 0.036, 0.026, 0.019, 0.014, 0.01, 0.007, 0.0)
+_SHARES = (0.2, 0.1, 0.06, 0.04, 0.028, 0.02, 0.014, 0.01, 0.007, 0.0)
 #: Leading rows scored exactly in each round, as often as rows are asked for, and at least.
 LEADERS, LEAST_LEADERS = 4, 32
 #: Rows left, as 1 in so many, that are scored exactly: that costs less than walking the rest of the lists.
@@ -58,9 +58,11 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, order: np.ndarray | None = None):
         self.ids, self.vectors = ids, vectors
-        self.order = sorted_lists(vectors) if order is None else order
-        # One list per component, each in one piece of memory.
+        # One list per component, each in one piece of memory, in the types that indexing and sums work with.
+        self.order = (sorted_lists(vectors) if order is None else order).astype(np.intp)
         self.values = np.take_along_axis(vectors.T, self.order, axis=1)
+        self.summed = self.values.astype(np.float64)
+        self.open = np.ones(self.values.shape, dtype=np.float32)
         low, high = (int(vectors.min()), int(vectors.max())) if vectors.size else (0, 0)
         self.width = max(1, -(-(high - low + 1) // LEVELS))
         self.low, self.high, self.exact = low, high, vectors.astype(np.float64)
@@ -84,7 +86,8 @@ class Block:
         few = min(k, int(eligible.sum()))
         if not few:
             return []
-        sure, open_ = np.zeros(n), np.ones((dims, n), dtype=np.float32)
+        sure, open_ = np.zeros(n), self.open
+        open_.fill(1.0)
         walks = []
         for d in np.flatnonzero(query[:dims]):
             cuts = self.segments[d]
@@ -95,7 +98,7 @@ class Block:
         top = max((max(high[0], -low[-1]) for *_, high, low in walks), default=0.0)
         done = [(0, len(high)) for *_, high, _ in walks]
         leaders = min(int(eligible.sum()), max(LEAST_LEADERS, LEADERS * few))
-        floor, maybe = -np.inf, np.flatnonzero(eligible)
+        floor, maybe, seen = -np.inf, np.flatnonzero(eligible), 0
         self.postings += n * len(walks)
         for share in _SHARES:
             limit, most = share * top, np.zeros(dims, dtype=np.float32)
@@ -107,14 +110,17 @@ class Block:
                     if a < b:
                         a, b = sorted((cuts[a], cuts[b]))
                         rows = self.order[d, a:b]
-                        sure[rows] += float(query[d]) * self.values[d, a:b]
-                        open_[d, rows] = 0.0
-                        self.walked += b - a
+                        sure[rows] += float(query[d]) * self.summed[d, a:b]
+                        open_[d][rows] = 0.0
+                        seen += b - a
                 done[at] = (min(i, stop), j)
                 if i < j:
                     most[d] = high[i]
             ahead = maybe[np.argpartition(-sure[maybe], min(leaders, len(maybe)) - 1)[:leaders]]
             floor = max(floor, float(np.partition(self._scores(ahead, query[:dims]), -few)[-few]))
+            # While a row with its share of components open is above the floor, most rows are: no use in asking yet.
+            if share and most.sum() * (1 - seen / max(1, n * len(walks))) > floor - sure.mean():
+                continue
             # What sums in 32 bits (of as many terms as components, with most itself rounded) can be off by, twice.
             margin = 2.0 * (dims + 2) * 2.0**-23 * float(np.abs(most).sum()) + 1e-9 * float(np.abs(sure).max())
             best = sure[maybe] + (most @ open_)[maybe] + margin
@@ -122,6 +128,7 @@ class Block:
             if FEW * len(maybe) <= n or len(maybe) <= leaders:
                 break
         scores = self._scores(maybe, query[:dims])
+        self.walked += seen
         self.rows += n
         self.scored += len(maybe)
         won = np.flatnonzero(scores >= np.partition(scores, -few)[-few])
