@@ -11,8 +11,9 @@ also listed under as many of its first shingles as hold at least one that both h
 many shingles, but these fall into parts at random: fewer parts, of which only those with several shingles have a
 list, still leave linked sets without a shared list with a chance below MISSED only.
 
-A task ties the sets it holds itself and sends one of them to each list, so a list never grows beyond the
-number of slices of the input. Lists only tie sets into families; ``similar_sets`` compares whole sets. Passages that
+A task ties the sets it holds itself, each to the least one reached through its lists, and lists tell only that one
+to other tasks. So a list never grows beyond the number of slices of the input, and a group of near copies, which share
+very many lists, is tied by about one pair a row. Lists only tie sets into families; ``similar_sets`` compares whole sets. Passages that
 many documents have can tie unlike sets. So a large family is tied again, by lists of large parts under several hash
 functions, which linked sets share as surely and unlike ones hardly ever, and falls apart before sets are compared.
 
@@ -165,7 +166,8 @@ def second_keys(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def index(docs: DataFrame, size: int, num: int, den: int, keys_of: Callable = part_keys) -> DataFrame:
-    """(doc_id, n_shingles, digest, keys, tied): per row, the lists it stands in, and rows of its slice it is tied to."""
+    """(doc_id, n_shingles, digest, keys, root): per row, lists that no row before it stands in, and the least id of its
+    slice that lists of the slice tie it to."""
 
     def run(batch):
         ids, sets, keys = batch["doc_id"].to_pylist(), [], []
@@ -183,7 +185,9 @@ def index(docs: DataFrame, size: int, num: int, den: int, keys_of: Callable = pa
         head = order[np.maximum.accumulate(np.where(new, np.arange(len(every)), 0))] if len(every) else order
         kept = np.zeros(len(every), dtype=bool)
         kept[order[new]] = True
-        pairs = np.unique(np.stack([owner[order[~new]], owner[head[~new]]], axis=1), axis=0)
+        # Ids ascend, so the first of those tied is the least.
+        names, place = np.unique(node, return_inverse=True)
+        least = similar_sets.firsts(len(names), place[owner[order[~new]]], place[owner[head[~new]]])
 
         def lists(of: np.ndarray, values: np.ndarray) -> pa.ListArray:
             """One list per row from values whose row numbers ascend."""
@@ -192,19 +196,19 @@ def index(docs: DataFrame, size: int, num: int, den: int, keys_of: Callable = pa
 
         columns = [
             pa.array(ids, pa.int64()), pa.array([n for n, _ in sets], pa.int64()), pa.array([d for _, d in sets], pa.binary()),
-            lists(owner[kept], every[kept].view(np.int64)), lists(pairs[:, 0], node[pairs[:, 1]]),
+            lists(owner[kept], every[kept].view(np.int64)), pa.array(names[least[place]]),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "keys", "tied"])
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "keys", "root"])
 
-    return map_arrow(texts(docs), run, "doc_id long, n_shingles long, digest binary, keys array<long>, tied array<long>")
+    return map_arrow(texts(docs), run, "doc_id long, n_shingles long, digest binary, keys array<long>, root long")
 
 
 def ties(indexed: DataFrame) -> DataFrame:
-    """(a, b): each member of a list with its least one, and what tasks tied themselves."""
-    listed = indexed.select(F.col("doc_id").alias("a"), F.explode("keys").alias("key"))
+    """(a, b): of each list, what its slices' rows are tied to with the least of these, and every other row with its own."""
+    listed = indexed.select(F.col("root").alias("a"), F.explode("keys").alias("key"))
     # A list has at most one row for each slice of the input.
     across = listed.select("a", F.min("a").over(Window.partitionBy("key")).alias("b")).where("a <> b")
-    return across.union(indexed.select(F.col("doc_id").alias("a"), F.explode("tied").alias("b")))
+    return across.distinct().union(indexed.where("doc_id <> root").select(F.col("doc_id").alias("a"), F.col("root").alias("b")))
 
 
 def components_of(docs: DataFrame, size: int = SIZE, num: int = 9, den: int = 10) -> DataFrame:

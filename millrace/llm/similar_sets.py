@@ -2,8 +2,9 @@
 
 Candidates come as ties (pairs of documents). Tied documents form families; within a family equal sets are
 one, and sets meet in cells of bounded size: the sets of a family are dealt into blocks by size class and
-hash, and every two blocks whose sizes allow a link share a cell. A cell computes all overlaps of its sets and
-gives back one pair for each set that a link connects to others, never all pairs.
+hash, and every two blocks whose sizes allow a link share a cell. A cell computes all overlaps of its sets. A block's
+own cell gives back one pair for each set that a link connects to others; the cell of two blocks sees what these cells
+connect and gives back only pairs that connect more, never all pairs.
 
 In a cell, the overlaps of a set with all others are derived from those of the most similar set done
 before: only the index lists of the shingles in which the two differ are added and taken away.
@@ -90,16 +91,41 @@ def stars(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def links_of(ids: Sequence[int], sets: Sequence[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """What the pairs with den * |a & b| >= num * |a | b| connect: each set with the first of its component."""
+def firsts(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each of the numbers 0 to n - 1, the least that pairs (a, b) of numbers connect it to, or itself."""
+    first = np.arange(n)
+    while True:
+        x, y = first[a], first[b]
+        np.minimum.at(first, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(further := first[first], first):
+            first = further
+        if np.array_equal(first[a], first[b]):
+            return first
+
+
+def links_of(ids: Sequence[int], sets: Sequence[np.ndarray], num: int, den: int, block: Sequence[int] | None = None) -> list[tuple[int, int]]:
+    """What the pairs with den * |a & b| >= num * |a | b| connect: each set with the first of its component.
+
+    Of sets from two blocks (0 and 1), only what they connect beyond the links within each block: a pair for each
+    component of a block that is joined to another, where one for every set would come again in each cell of a block.
+    """
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     shared = overlaps(sets)
     linked = den * shared >= num * (sizes[:, None] + sizes[None, :] - shared)
-    return [(ids[a], ids[b]) for a, b in stars(linked)]
+    if block is None or len(set(block)) < 2:
+        return [(ids[a], ids[b]) for a, b in stars(linked)]
+    apart = np.not_equal.outer(block, block)
+    own = np.arange(len(ids))
+    for a, b in stars(linked & ~apart):
+        own[b] = a
+    joined = np.argwhere(np.triu(linked & apart))
+    first = firsts(len(ids), own[joined[:, 0]], own[joined[:, 1]])
+    return [(ids[first[n]], ids[n]) for n in np.flatnonzero(first != np.arange(len(ids)))]
 
 
 def _cells(families: DataFrame, num: int, den: int) -> DataFrame:
-    """(set_id, cell): the cells of every distinct set, from (family, set_id, n_shingles)."""
+    """(set_id, cell, block): the cells of every distinct set and which of its blocks the set is from (0 or 1), from
+    (family, set_id, n_shingles)."""
     sums = families.groupBy("family").agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("shingles"))
     large = (F.col("sets") > BLOCK_SETS) | (F.col("shingles") > BLOCK_SHINGLES)
     sums = materialise(sums.where("sets > 1").select("family", large.alias("large")), "families")
@@ -120,17 +146,18 @@ def _cells(families: DataFrame, num: int, den: int) -> DataFrame:
     near = counts.select("family", "cls", blocks.alias("k")).withColumns({"k_next": beside(1), "k_last": beside(-1)})
     known = placed.join(materialise(near, "blocks"), ["family", "cls"]).withColumn("i", F.pmod(F.xxhash64("set_id"), F.col("k")))
 
-    def named(c1, i, c2, j):
-        return F.concat_ws(":", F.col("family"), c1, i, c2, j)
+    def named(c1, i, c2, j, block):
+        return F.struct(F.concat_ws(":", F.col("family"), c1, i, c2, j).alias("cell"), block.cast("byte").alias("block"))
 
     def upto(k):
         return F.when(F.col(k) > 0, F.sequence(F.lit(0).cast("long"), F.col(k) - 1)).otherwise(F.array().cast("array<long>"))
 
+    one, two = F.lit(0), F.lit(1)
     c, i = F.col("cls"), F.col("i")
-    own = F.transform(upto("k"), lambda j: named(c, F.least(i, j), c, F.greatest(i, j)))
-    after = F.transform(upto("k_next"), lambda j: named(c, i, c + 1, j))
-    before = F.transform(upto("k_last"), lambda j: named(c - 1, j, c, i))
-    return known.select("set_id", F.explode(F.concat(own, after, before)).alias("cell"))
+    own = F.transform(upto("k"), lambda j: named(c, F.least(i, j), c, F.greatest(i, j), i > j))
+    after = F.transform(upto("k_next"), lambda j: named(c, i, c + 1, j, one))
+    before = F.transform(upto("k_last"), lambda j: named(c - 1, j, c, i, two))
+    return known.select("set_id", F.explode(F.concat(own, after, before)).alias("at")).select("set_id", "at.*")
 
 
 def verified_links(docs: DataFrame, families: DataFrame, size: int, num: int, den: int) -> DataFrame:
@@ -141,23 +168,24 @@ def verified_links(docs: DataFrame, families: DataFrame, size: int, num: int, de
     known only now, and grows with the table.
     """
     cells = materialise(_cells(families, num, den), "cells")
-    some = only_known(texts(docs), cells, "doc_id", "set_id").join(cells.hint("merge"), F.col("doc_id") == F.col("set_id")).select("cell", "set_id", "text")
+    some = only_known(texts(docs), cells, "doc_id", "set_id").join(cells.hint("merge"), F.col("doc_id") == F.col("set_id")).select("cell", "set_id", "block", "text")
     dealt = some.repartition("cell").sortWithinPartitions("cell", "set_id")
 
     def run(batches):
-        cell, ids, sets = None, [], []
+        cell, ids, sets, blocks = None, [], [], []
 
         def flush():
-            found = links_of(ids, sets, num, den) if len(ids) > 1 else []
+            found = links_of(ids, sets, num, den, blocks) if len(ids) > 1 else []
             a, b = zip(*found, strict=True) if found else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in slices(batches):
-            for at, node, text in zip(*[batch[c].to_pylist() for c in ("cell", "set_id", "text")], strict=True):
+            for at, node, block, text in zip(*[batch[c].to_pylist() for c in ("cell", "set_id", "block", "text")], strict=True):
                 if at != cell:
                     yield flush()
-                    cell, ids, sets = at, [], []
+                    cell, ids, sets, blocks = at, [], [], []
                 ids.append(node)
+                blocks.append(block)
                 sets.append(np.unique(shingles(text, size)))
         yield flush()
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.llm import language, minhash, ngram_join, similar_sets, topk
 from millrace.llm.queries import QUERIES
 from millrace.llm.shingles import shingles
+from millrace.session import materialise
 
 from .conftest import collected, passage
 
@@ -273,3 +274,26 @@ def test_near_duplicates_against_brute_force_at_size(spark):
     for a, b in pairs:
         at[max(root(a), root(b))] = min(root(a), root(b))
     assert {d: root(d) for d in sets} == got
+
+
+def test_near_copies_are_tied_by_about_one_pair_a_row(spark, frame):
+    """Each row was tied to the first of every list it stands in: very many for copies with different edits."""
+    r, base = np.random.default_rng(3), passage(300).split()
+    rows = [(n, " ".join(f"edit{n}x{at}" if at in cut else w for at, w in enumerate(base))) for n in range(400) for cut in [set(r.integers(0, 300, 2).tolist())]]
+    docs = frame(rows).repartition(4)
+    ties = ngram_join.ties(materialise(ngram_join.index(docs, 5, 8, 10), "indexed"))
+    assert ties.distinct().count() <= 400 + 4 * 4
+    found = dict(collected(ngram_join.components_of(docs, 5, 8, 10), "doc_id", "component_id"))
+    assert found == {doc: component for doc, _, component in slow_classes(rows, 5, 8, 10)}
+
+
+def test_two_blocks_tell_only_what_they_join():
+    """Every cell of a block gave back a pair for each of its sets, whatever their own cell had connected."""
+    same = np.arange(100, dtype=np.uint64)
+    ids, block = list(range(10, 50)), [n % 2 for n in range(40)]
+    sets = [same] * 38 + [same + np.uint64(1000)] * 2
+    own = [similar_sets.links_of([i for i, b in zip(ids, block, strict=True) if b == k], sets[k::2], 9, 10) for k in (0, 1)]
+    across = similar_sets.links_of(ids, sets, 9, 10, block)
+    assert sorted(across) == [(10, 11), (48, 49)]
+    assert sorted(set(similar_sets.firsts(50, *np.array([*own[0], *own[1], *across]).T)[10:].tolist())) == [10, 48]
+    assert similar_sets.links_of(ids, sets, 9, 10, [1] * 40) == similar_sets.links_of(ids, sets, 9, 10)
