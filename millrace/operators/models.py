@@ -8,11 +8,11 @@ from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import LDA, KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, Evaluator, RegressionEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.nested import index_of_max, index_words
@@ -135,6 +135,30 @@ def regression_evaluator(label: str, metric: str = "rmse") -> RegressionEvaluato
     return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
 
 
+def vocabulary_model(
+    df: DataFrame, token_column: str, output: str, size: int = 2048, min_df: float = 0.05, max_df: float = 1.0, min_tf: float = 1
+) -> CountVectorizerModel:
+    """What ``CountVectorizer`` fits, as an aggregate: it would hold the tokens of all documents in memory.
+
+    The ``size`` words that come most often, of those in a share of the documents from ``min_df`` to ``max_df``. Words
+    that come equally often follow by name, where Spark's own fit leaves their order open.
+    """
+    documents = df.count()
+    once, again = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def seen(words: Column | str, n: Column, docs: Column) -> Column:
+        return F.transform(words, lambda w: F.struct(w.alias("word"), n.alias("n"), docs.alias("docs")))
+
+    every = F.concat(seen(token_column, once, again), seen(F.array_distinct(token_column), again, once))
+    counts = df.select(F.explode(every).alias("w")).select("w.*").groupBy("word").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    common = counts.where(F.col("docs").between(min_df * documents, max_df * documents))
+    # As many words as the model holds.
+    words = [r["word"] for r in common.orderBy(F.col("n").desc(), "word").limit(size).select("word").collect()]
+    if not words:
+        raise ValueError(f"no word is in {min_df} to {max_df} of the documents")
+    return CountVectorizerModel.from_vocabulary(words, inputCol=token_column, outputCol=output, minTF=min_tf)
+
+
 def text_features(token_column: str, vocabulary_size: int = 2048, min_df: float = 0.05) -> list:
     counts = CountVectorizer(inputCol=token_column, outputCol="tf", vocabSize=vocabulary_size, minDF=min_df, minTF=1)
     return [counts, IDF(inputCol="tf", outputCol="features")]
@@ -151,7 +175,7 @@ def classify_text(df: DataFrame, token_column: str, label: str, keep: Sequence[s
 
 def lda_topics(df: DataFrame, doc: str, token_column: str, k: int, seed: int, iterations: int = 10, words: int = 10) -> tuple[DataFrame, DataFrame]:
     """(dominant topic and topic shares per document, key words and document count per topic)."""
-    vectorizer = CountVectorizer(inputCol=token_column, outputCol="tf", vocabSize=2048, minDF=0.05, maxDF=0.7, minTF=2).fit(df)
+    vectorizer = vocabulary_model(df, token_column, "tf", max_df=0.7, min_tf=2)
     counted = materialise(vectorizer.transform(df).select(doc, "tf"), "topics")
     model = LDA(k=k, seed=seed, maxIter=iterations, featuresCol="tf").fit(counted)
     shares = vector_to_array("topicDistribution")

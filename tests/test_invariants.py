@@ -131,3 +131,21 @@ def test_grouped_forecast(run):
     per = rows.groupBy("l_returnflag", "l_linestatus").agg(F.count("y").alias("y"), F.count("*").alias("n"))
     assert all(r["n"] - r["y"] == 90 for r in per.collect())
     assert rows.where("NOT (yhat_lower <= yhat AND yhat <= yhat_upper)").count() == 0
+
+
+def test_vocabulary_is_the_vectorizers_without_holding_tokens(spark, sf_dir, monkeypatch):
+    """The vectorizer's fit keeps the tokens of all documents; words that come equally often follow by name here."""
+    from pyspark.ml.feature import CountVectorizer
+
+    from millrace.operators import models as ML
+    from millrace.operators import text as X
+
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", X.tokens("text", 4).alias("w")).cache()
+    plain = CountVectorizer(inputCol="w", vocabSize=100, minDF=0.05, maxDF=0.7).fit(rows).vocabulary
+    n = dict(rows.select(F.explode("w").alias("w")).groupBy("w").count().collect())
+    monkeypatch.setattr(CountVectorizer, "_fit", None)
+    found = ML.vocabulary_model(rows, "w", "tf", 100, max_df=0.7).vocabulary
+    assert [n[w] for w in found] == [n[w] for w in plain] and found == sorted(found, key=lambda w: (-n[w], w))
+    per_doc, topics = ML.lda_topics(rows, "doc_id", "w", 2, 1, iterations=1)
+    assert per_doc.count() == rows.count() and topics.count() == 2
+    rows.unpersist()
