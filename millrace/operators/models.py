@@ -8,7 +8,7 @@ from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import LDA, KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, Evaluator, RegressionEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel
+from pyspark.ml.feature import IDF, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -159,16 +159,13 @@ def vocabulary_model(
     return CountVectorizerModel.from_vocabulary(words, inputCol=token_column, outputCol=output, minTF=min_tf)
 
 
-def text_features(token_column: str, vocabulary_size: int = 2048, min_df: float = 0.05) -> list:
-    counts = CountVectorizer(inputCol=token_column, outputCol="tf", vocabSize=vocabulary_size, minDF=min_df, minTF=1)
-    return [counts, IDF(inputCol="tf", outputCol="features")]
-
-
 def classify_text(df: DataFrame, token_column: str, label: str, keep: Sequence[str]) -> DataFrame:
     """Supervised text label: term weights and logistic regression, fitted on the rows that have one."""
-    stages = [*text_features(token_column), LogisticRegression(labelCol=label, maxIter=20, regParam=0.01)]
-    model = Pipeline(stages=stages).fit(df.where(F.col(label).isNotNull()))
-    scored = model.transform(df)
+    counts = vocabulary_model(df.where(F.col(label).isNotNull()), token_column, "tf")
+    # Read by every stage of the fit and by the scores; far smaller than the tokens.
+    counted = materialise(counts.transform(df).select(*dict.fromkeys([*keep, label, "tf"])), "counted")
+    stages = [IDF(inputCol="tf", outputCol="features"), LogisticRegression(labelCol=label, maxIter=20, regParam=0.01)]
+    scored = Pipeline(stages=stages).fit(counted.where(F.col(label).isNotNull())).transform(counted)
     score = F.array_max(vector_to_array("probability"))
     return scored.select(*keep, F.col("prediction").cast("int").alias("predicted"), F.col(label).alias("truth"), score.alias("score"))
 

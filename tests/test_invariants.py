@@ -148,4 +148,7 @@ def test_vocabulary_is_the_vectorizers_without_holding_tokens(spark, sf_dir, mon
     assert [n[w] for w in found] == [n[w] for w in plain] and found == sorted(found, key=lambda w: (-n[w], w))
     per_doc, topics = ML.lda_topics(rows, "doc_id", "w", 2, 1, iterations=1)
     assert per_doc.count() == rows.count() and topics.count() == 2
+    labelled = rows.withColumn("label", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 3 - 1))
+    scored = ML.classify_text(labelled, "w", "label", ["doc_id"])
+    assert scored.columns == ["doc_id", "predicted", "truth", "score"] and scored.count() == rows.count()
     rows.unpersist()
