@@ -92,8 +92,12 @@ def run_updates(stream: DataFrame, folder: str, timers: bool = False) -> DataFra
     """
     spark = stream.sparkSession
 
+    # A task for each core goes through several shards of the state, not a task for each shard in every batch: what a
+    # task reports to the driver is as much for an empty shard as for a full one.
+    tasks = spark.sparkContext.defaultParallelism
+
     def write(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
+        rows.coalesce(tasks).write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
 
     writer = stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{folder}/log")
     # With timers there is always another batch to come, so "all that is available" has no end.

@@ -236,3 +236,19 @@ def test_idle_keys_are_dropped(spark):
     add([two_keys(2, 30)])
     last = keyed.newest(keyed.run_updates(keyed_stream(spark, path, 1), folder, timers=True)).where("key = 'b'").first()
     assert last["batches"] == 1
+
+
+def test_keyed_batches_take_a_task_for_each_core(spark):
+    """A task for every shard of the state reported to the driver in every batch, whatever the cores."""
+    path, folder = scratch(spark, "many-keys"), scratch(spark, "many-keys-out")
+    rows = spark.range(600).selectExpr("CAST(id % 300 AS STRING) AS k", "CAST(id AS DOUBLE) AS label", "array(1.0D, CAST(id % 7 AS DOUBLE)) AS features")
+    rows.coalesce(1).write.parquet(path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        found = keyed.run_updates(keyed.keyed_linear(stream, "k", OnlineLinear(features=2)), folder)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found.count() == 300 and {r["rows"] for r in found.collect()} == {2}
+    assert len(set(found.inputFiles())) <= spark.sparkContext.defaultParallelism
