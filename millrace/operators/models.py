@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import LDA, KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, Evaluator, RegressionEvaluator
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.nested import index_of_max, index_words
+from millrace.operators.cells import CellError, as_cells
 from millrace.operators.features import assembler
 from millrace.session import materialise
 
@@ -105,26 +106,39 @@ def grid_search(
     folds: int,
     seed: int,
     parallelism: int = 4,
+    inputs: Sequence[str] = (),
 ) -> tuple[object, DataFrame]:
-    """Cross-validated grid: the best model, and a row per candidate with its mean score."""
+    """Cross-validated grid: the best model, and a row per candidate with its mean score.
+
+    With ``inputs``, the few columns that trees for regression learn from, rows are counted once by the bins these lie
+    in, and every fold and candidate reads the counts. Without, each reads the rows.
+    """
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), list(values))
     candidates = builder.build()
+    if inputs:
+        if not isinstance(evaluator, RegressionEvaluator) or evaluator.getMetricName() != "rmse":
+            raise ValueError("cells are scored by rmse")
+        most = max(grid.get("numTrees", [estimator.getOrDefault("numTrees")])) if estimator.hasParam("numTrees") else 0
+        bins, rows, estimator = as_cells(df, estimator, most, evaluator.getLabelCol(), inputs, folds, seed)
+        evaluator = CellError()
+    else:
+        # Every fold and candidate reads the rows again, so they are written once.
+        rows = materialise(df, "grid")
     search = CrossValidator(
         estimator=estimator, estimatorParamMaps=candidates, evaluator=evaluator, numFolds=folds, seed=seed,
-        parallelism=parallelism,
+        parallelism=parallelism, foldCol="fold" if inputs else "",
     )
-    # Every fold and candidate reads the rows again, so they are written once.
-    fitted = search.fit(materialise(df, "grid"))
+    fitted = search.fit(rows)
     better = max if evaluator.isLargerBetter() else min
     best = better(fitted.avgMetrics)
-    rows = [
+    scores = [
         (i, ", ".join(f"{p.name}={v}" for p, v in sorted(c.items(), key=lambda kv: kv[0].name)), float(s), bool(s == best))
         for i, (c, s) in enumerate(zip(candidates, fitted.avgMetrics, strict=True))
     ]
-    table = df.sparkSession.createDataFrame(rows, "candidate int, params string, score double, best boolean")
-    return fitted.bestModel, table
+    table = df.sparkSession.createDataFrame(scores, "candidate int, params string, score double, best boolean")
+    return PipelineModel([*bins.stages, fitted.bestModel]) if inputs else fitted.bestModel, table
 
 
 def binary_evaluator(label: str) -> BinaryClassificationEvaluator:

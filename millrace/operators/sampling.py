@@ -109,6 +109,13 @@ def _poisson_steps(rate: float) -> Column:
     return F.array(*[F.lit(p) for p in steps])
 
 
+def poisson_draw(rate: float, seed: int) -> Column:
+    """How often a row stands in a sample with replacement, drawn anew for every row."""
+    # Drawn inside a transform, so that the steps are held against one draw.
+    drawn = F.transform(F.array(F.rand(seed)), lambda u: F.size(F.filter(_poisson_steps(rate), lambda p: p < u)))
+    return F.get(drawn, F.lit(0))
+
+
 def mark_random(df: DataFrame, weights: Mapping[str, float], seed: int, key: Sequence[str], part: str = "part") -> DataFrame:
     """Name the part of every row in one column, at random by weight, from a hash of the seed and the key: one scan
     for all parts."""

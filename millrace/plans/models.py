@@ -116,7 +116,7 @@ def _(t: Tables):
     train, _ = _lines(t)
     models, evaluator = ML.regressors("l_extendedprice"), ML.regression_evaluator("l_extendedprice")
     grids = {"forest": {"maxDepth": [3, 5], "numTrees": [5, 10]}, "boosted": {"maxDepth": [2, 3], "maxIter": [3, 5]}}
-    tables = [ML.grid_search(train, models[n], g, evaluator, folds=3, seed=7)[1].withColumn("model", F.lit(n)) for n, g in grids.items()]
+    tables = [ML.grid_search(train, models[n], g, evaluator, folds=3, seed=7, inputs=_INPUTS)[1].withColumn("model", F.lit(n)) for n, g in grids.items()]
     return tables[0].unionByName(tables[1])
 
 
