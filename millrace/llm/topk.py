@@ -173,9 +173,8 @@ def _packed(rows: DataFrame, at: str, lists: bool) -> DataFrame:
     return dealt.mapInArrow(run, f"{at} long, n long, dims long, ids binary, vectors binary, lists binary")
 
 
-def _unpack(row: dict, prefix: str = "") -> tuple[np.ndarray, np.ndarray]:
-    shape = (row[f"{prefix}n"], row[f"{prefix}dims"])
-    return np.frombuffer(row[f"{prefix}ids"], "<i8"), np.frombuffer(row[f"{prefix}vectors"], "<i8").reshape(shape)
+def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["vectors"], "<i8").reshape(row["n"], row["dims"])
 
 
 def search(vectors: DataFrame, queries: Column, k: int, scale: int = 256) -> DataFrame:
@@ -188,28 +187,33 @@ def search(vectors: DataFrame, queries: Column, k: int, scale: int = 256) -> Dat
     deal = F.xxhash64("__n")
     index = materialise(_packed(stored.withColumn("block", F.pmod(deal, F.lit(blocks))), "block", True), "index")
     asked = _packed(stored.where("__asks").withColumn("grp", F.pmod(deal, F.lit(groups))), "grp", False)
-    asked = asked.select("grp", *[F.col(c).alias(f"q_{c}") for c in ("n", "dims", "ids", "vectors")])
-    # Every group meets every block once: groups * blocks rows, each of bounded size.
+    # Every group meets every block once: groups * blocks rows, each of bounded size. A task has one block, whose index comes
+    # first, and takes the groups one after another. A join would be planned by what Spark takes the groups for, before they
+    # are packed and sent to all blocks, and so broadcast them through the driver, or repeat the index in each of its rows.
     sent = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    met = index.withColumn("grp", F.lit(None).cast("long")).unionByName(sent)
+    met = met.repartitionById(blocks, F.col("block").cast("int")).sortWithinPartitions("block", F.asc_nulls_first("grp"))
 
     def run(batches):
         number, block = None, None
         for batch in batches:
-            for row in batch.to_pylist():
-                # Groups that meet the same block in a row share its index.
-                if row["block"] != number:
-                    ids, matrix = _unpack(row)
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                ids, matrix = _unpack(row)
+                if row["grp"] is None:
                     number, block = row["block"], Block(ids, matrix, np.frombuffer(row["lists"], "<i4").reshape(matrix.T.shape))
-                asked_ids, asked_vectors = _unpack(row, "q_")
+                    continue
+                if row["block"] != number:
+                    continue  # without rows of its own
                 out = []
-                for place, (own, query) in enumerate(zip(asked_ids.tolist(), asked_vectors, strict=True)):
+                for place, (own, query) in enumerate(zip(ids.tolist(), matrix, strict=True)):
                     wide = np.zeros(max(block.vectors.shape[1], len(query)), dtype=np.int64)
                     wide[: len(query)] = query
                     out += [(row["grp"], place, own, vec, score) for vec, score in block.search(wide, own, k)]
                 columns = zip(*out, strict=True) if out else [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["grp", "place", "query_id", "vec_id", "score"])
 
-    found = index.join(sent, "block").mapInArrow(run, "grp long, place long, query_id long, vec_id long, score long")
+    found = met.mapInArrow(run, "grp long, place long, query_id long, vec_id long, score long")
     best = Window.partitionBy("grp", "place").orderBy(F.desc("score"), F.asc("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -209,6 +209,19 @@ def test_topk_cases(spark, monkeypatch):
     assert sorted(tuple(x) for x in got.collect()) == slow_topk(rows, 5, lambda q: q % 50 == 0)
 
 
+def test_topk_sends_no_queries_through_the_driver(spark, monkeypatch):
+    """Vectors that Spark's files hold in few bytes: by their estimate the queries of all blocks look fit for a broadcast."""
+    df = spark.range(6000).select(F.col("id").alias("vec_id"), F.array([(F.col("id") % 3 + i).cast("float") for i in range(8)]).alias("embedding"))
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 500)
+    monkeypatch.setattr(topk, "GROUP_QUERIES", 10)
+    got = topk.search(df, F.col("vec_id") % 50 == 0, 2)
+    assert got.count() == 240
+    assert {r["vec_id"] for r in got.where("query_id = 100").collect()} == {2, 5}
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "MapInArrow" in plan and "Broadcast" not in plan
+
+
 def test_topk_with_few_rows(spark):
     def run(rows):
         df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
